@@ -13,6 +13,7 @@ from .text import blank_to_null
 _COMPACT = r"^\d{8}$"
 _US_SLASHED = r"^\d{1,2}/\d{1,2}/\d{4}$"
 _US_SLASHED_SHORT = r"^\d{1,2}/\d{1,2}/\d{2}$"
+_FIRST_1900S_YEAR = 69  # fixed value: two-digit years from here on are 19xx, below it 20xx
 _ISO_LIKE = r"^\d{4}-\d{1,2}-\d{1,2}"
 
 
@@ -44,6 +45,9 @@ def parse_rfc3339(c: Column) -> Column:
 def try_iso_or_us(c: Column) -> Column:
     """RFC3339 or `M/D/YY`, else NULL: the caller reports a non-blank text that gave NULL."""
     text = blank_to_null(c)
+    year = F.right(text, F.lit(2))
+    century = F.when(year >= str(_FIRST_1900S_YEAR), "19").otherwise("20")
+    four_digits = F.concat(F.regexp_replace(text, r"\d{2}$", ""), century, year)
     return F.when(text.rlike(_ISO_LIKE), text.try_cast("timestamp_ntz")).when(
-        text.rlike(_US_SLASHED_SHORT), F.try_to_timestamp(text, F.lit("M/d/yy")).cast("timestamp_ntz")
+        text.rlike(_US_SLASHED_SHORT), F.try_to_timestamp(four_digits, F.lit("M/d/yyyy")).cast("timestamp_ntz")
     )

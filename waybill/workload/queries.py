@@ -490,7 +490,7 @@ def _(spark, folder):
     return w.ledger(w.enriched())
 
 
-@query("ledger_backfill", o.gold("SELECT * REPLACE (CASE WHEN bill_date < DATE '2024-06-01' THEN status ELSE status END AS status) FROM ledger"))
+@query("ledger_backfill", o.gold("SELECT * FROM ledger"))
 def _(spark, folder):
     # first load: the warehouse knows half of the packages; the rest arrives later
     w = warehouse(spark, folder)
@@ -517,11 +517,8 @@ def _(spark, folder):
 
 
 @query("markup_price", o.simple(["priced_items", "catalog_markups"], """
-SELECT p.*, k.markup, CAST(round(p.amount * (10000 + COALESCE(CAST(k.markup * 100 AS INT), 0)) / 10000, 2) AS DECIMAL(18,2)) AS customer_price
-FROM (SELECT *, CAST(amount * 100 AS BIGINT) AS c FROM priced_items) p LEFT JOIN catalog_markups k USING (shipping_method_id)""").replace(
-    "CAST(round(p.amount * (10000 + COALESCE(CAST(k.markup * 100 AS INT), 0)) / 10000, 2) AS DECIMAL(18,2))",
-    "CAST(CAST(p.amount AS DECIMAL(18,6)) * CAST(1 + COALESCE(CAST(k.markup AS INT), 0) / 100.0 AS DECIMAL(8,4)) AS DECIMAL(18,2))",
-).replace("SELECT p.*,", "SELECT p.* EXCLUDE (c),"))
+SELECT p.*, k.markup, CAST(p.amount * CAST(1 + COALESCE(k.markup, 0) / 100.0 AS DECIMAL(8,4)) AS DECIMAL(18,2)) AS customer_price
+FROM priced_items p LEFT JOIN catalog_markups k USING (shipping_method_id)"""))
 def _(spark, folder):
     return gold.marked_up(*rel(spark, folder, "priced_items", "catalog_markups"))
 
@@ -529,7 +526,7 @@ def _(spark, folder):
 # --- variance and thresholds --------------------------------------------------------------------------------------
 
 
-@query("recon_variance_fixed", o.simple(["billed_packages"], "SELECT 1").replace("SELECT 1", "").rstrip() + ", " + o.fixed_variance("billed_packages") + " SELECT * FROM fixed_var WHERE is_cost_exception = 1")
+@query("recon_variance_fixed", "WITH " + o.ctes("billed_packages") + ", " + o.fixed_variance("billed_packages") + " SELECT * FROM fixed_var WHERE is_cost_exception = 1")
 def _(spark, folder):
     return variance.fixed_variance(relation(spark, folder, "billed_packages"))
 
@@ -609,8 +606,8 @@ def _json_ranges(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("threshold_json", "WITH " + o.ctes("json_configs") + _JSON_SQL + """
 SELECT scope, 'cost' AS metric_type, CAST(0 AS DECIMAL(12,2)) AS range_min, CAST(z + 1 AS DECIMAL(12,2)) AS range_max, 'pct' AS threshold_type, CAST(15 AS DECIMAL(10,2)) AS threshold_value, CAST(NULL AS VARCHAR) AS weight_unit FROM parts
-UNION ALL SELECT scope, 'cost', z + 1 - CASE WHEN clash THEN 1 ELSE 0 END, NULL, 'abs', z % 5, NULL FROM parts
-UNION ALL SELECT scope, 'weight', 0, 16, 'abs', 2.5, 'oz' FROM parts""")
+UNION ALL SELECT scope, 'cost', z + 1 - CASE WHEN clash THEN 1 ELSE 0 END, NULL, 'abs', CAST(z % 5 AS DECIMAL(10,2)), NULL FROM parts
+UNION ALL SELECT scope, 'weight', 0, 16, 'abs', CAST(2.5 AS DECIMAL(10,2)), 'oz' FROM parts""")
 def _(spark, folder):
     return _json_ranges(spark, folder).drop("range_id")
 
