@@ -13,13 +13,14 @@ _HOT, _COLD, _SPREAD = "__hot", "__cold", "__spread"
 
 
 def with_group_stats(
-    rows: DataFrame, keys: list[str], stats: dict[str, Column], *, hot_rows: int = HOT_ROWS
+    rows: DataFrame, keys: list[str], stats: dict[str, Column], spread_by: list[str], *, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """Attach aggregates of a row's group to the row: what a window without order would give.
 
     A window brings a whole group into one task. Here the aggregates are built with map-side partial
     sums and joined back. Rows of hot groups get theirs from a broadcast and are spread over the
-    exchange by a hash of the row, so no task holds a whole hot group. ``keys`` must be non-null.
+    exchange by a hash of ``spread_by``, so no task holds a whole hot group. The hash is of content,
+    so a task that runs again sends each row to the same place. ``keys`` must be non-null.
     """
     size = "__size"
     grouped = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(size), *[c.alias(n) for n, c in stats.items()])
@@ -29,7 +30,7 @@ def with_group_stats(
     marked = rows.join(F.broadcast(hot), keys, "left").withColumn(
         _SPREAD,
         F.when(F.col(_HOT).isNull(), 0).otherwise(
-            F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns]), F.lit(SPREAD)).cast("int")
+            F.pmod(F.xxhash64(*spread_by), F.lit(SPREAD)).cast("int")
         ),
     )
     joined = marked.join(cold, [*keys, _SPREAD], "left")

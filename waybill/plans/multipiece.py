@@ -8,6 +8,8 @@ from ..functions import blank_to_null
 from ..operators.groups import with_group_stats
 
 GROUP = ["file_id", "express_or_ground_tracking_id"]
+# differ between the packages of a group; few, so that unused columns of the wide line stay unread
+SPREAD_BY = ["msp_tracking_id", "bill_number", "net_charge_amount", "rated_weight_amount", "dim_length", "dim_width"]
 HOISTED = ("net_charge_amount", "shipment_date", "service_type", "zone_code")
 
 
@@ -34,7 +36,7 @@ def with_roles(lines: DataFrame, *, hot_rows: int | None = None) -> DataFrame:
         stats[f"__header_{name}"] = F.max(F.when(from_header, F.col(name)))
         stats[f"__any_{name}"] = F.max(name)
     options = {} if hot_rows is None else {"hot_rows": hot_rows}
-    tallied = with_group_stats(lines.where(F.col(GROUP[1]).isNotNull()), GROUP, stats, **options)
+    tallied = with_group_stats(lines.where(F.col(GROUP[1]).isNotNull()), GROUP, stats, SPREAD_BY, **options)
     single = F.col("group_rows") == 1
     return tallied.select(
         *lines.columns,

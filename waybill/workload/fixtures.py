@@ -11,8 +11,10 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.contracts import FEDEX_CHARGE_PAIRS, PASSPORT_FEES, UNIUNI_FEES
+from ..sources.tables import read_table
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+LARGE = ("orders", "lineitem", "events")
 
 
 def s(expr: str) -> str:
@@ -471,10 +473,18 @@ def ctes(*names: str) -> str:
     return ",\n".join(f"{n} AS ({RELATIONS[n].strip()})" for n in ordered)
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """A table that comes in fewer splits than there are cores is dealt out before text is made of it;
+    one of many splits stays as it is read."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def relation(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One derived relation over the tables of ``folder``."""
     text = f"WITH {ctes(name)} SELECT * FROM {name}"
     for table in TABLES:
         if re.search(rf"\bFROM {table}\b", text):
-            spark.read.parquet(f"{folder}/{table}.parquet").createOrReplaceTempView(table)
+            rows = read_table(spark, folder, table)
+            (spread(rows) if table in LARGE else rows).createOrReplaceTempView(table)
     return spark.sql(text)
