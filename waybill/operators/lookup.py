@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import written
+
 BROADCAST_ROWS = 200_000
 SALTS = 32
 
@@ -22,6 +24,7 @@ def lookup_join(
     how: str = "left",
     *,
     null_safe: bool = False,
+    derived: bool = False,
     max_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Join facts to a reference table with one row per key.
@@ -29,7 +32,12 @@ def lookup_join(
     Reference keys are few and uneven (one charge name may be a third of all rows), so shuffling the
     facts on them is never right. A table that is measured small is broadcast. A larger one is copied
     once per salt and joined on key plus salt, so that a hot key is spread over ``SALTS`` tasks.
+
+    ``derived`` marks a table that is itself computed from the facts: it is written first, so that
+    measuring and joining it do not compute it twice.
     """
+    if derived:
+        dim = written(dim, "lookup")
     if fits_broadcast(dim, max_rows):
         return _join(facts, F.broadcast(dim), keys, how, null_safe)
     salted_dim = dim.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))

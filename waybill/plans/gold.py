@@ -25,6 +25,13 @@ def file_shipments(charges: DataFrame, file_ids: DataFrame | None = None) -> Dat
     return charges.select(*SHIPMENT_KEY).distinct()
 
 
+def of_files(attributes: DataFrame, in_files: DataFrame) -> DataFrame:
+    """The attributes of some files' shipments."""
+    keyed = attributes.withColumn("__shipment", fold(F.col("tracking_number")))
+    wanted = in_files.select("carrier_id", fold(F.col("tracking_number")).alias("__shipment"))
+    return keyed.join(wanted, ["carrier_id", "__shipment"], "left_semi").select(*attributes.columns)
+
+
 def _by_tracking(rows: DataFrame, latest_first: list[str]) -> DataFrame:
     """One row per tracking number over all carriers: warehouse tables know no carrier at this point.
     Several candidates agree on the latest shipment."""
@@ -50,7 +57,7 @@ def with_method_id(shipments: DataFrame, methods: DataFrame) -> DataFrame:
 
 def enrich_shipments(shipments: DataFrame, packages: DataFrame, attributes: DataFrame, in_files: DataFrame) -> DataFrame:
     """Warehouse shipments get zone and carrier of the billed shipment of one of their packages."""
-    billed = attributes.join(in_files, SHIPMENT_KEY, "left_semi").select(
+    billed = of_files(attributes, in_files).select(
         "tracking_number", "shipment_date", "destination_zone", "carrier_id"
     )
     one = _by_tracking(billed, ["shipment_date"])
@@ -67,10 +74,12 @@ def enrich_shipments(shipments: DataFrame, packages: DataFrame, attributes: Data
     )
 
 
-def enrich_packages(packages: DataFrame, summary: DataFrame, methods: DataFrame, in_files: DataFrame) -> DataFrame:
-    """Warehouse packages get date, method, weight, size and cost of the billed shipment."""
-    billed = summary.join(in_files, SHIPMENT_KEY, "left_semi")
-    values = with_method_id(_by_tracking(billed, ["shipment_date"]), methods).select(
+def enrich_packages(packages: DataFrame, summary: DataFrame, methods: DataFrame) -> DataFrame:
+    """Warehouse packages get date, method, weight, size and cost of the billed shipment.
+
+    ``summary`` is that of the shipments to carry over, see :func:`of_files`.
+    """
+    values = with_method_id(_by_tracking(summary, ["shipment_date"]), methods).select(
         "__tracking",
         F.col("shipment_date").alias("carrier_pickup_date"),
         *PACKAGE_UPDATES[1:],
@@ -93,15 +102,13 @@ def warehouse_view(packages: DataFrame, shipments: DataFrame, orders: DataFrame)
 
     Flags are computed on the package row itself, so the (already enriched) packages are read once.
     """
-    flagged = fixed_variance(packages, exceptions_only=False).select(
-        "shipment_package_id", "tracking_number", "is_cost_exception", "cost_exception_type",
+    flagged = fixed_variance(packages, exceptions_only=False, keep=("shipment_id",)).select(
+        "shipment_package_id", "shipment_id", "tracking_number", "is_cost_exception", "cost_exception_type",
         "is_weight_exception", "weight_exception_type",
     )
-    links = packages.select("shipment_package_id", "shipment_id")
     one = _by_tracking(flagged, ["shipment_package_id"])
     return (
-        one.join(links, "shipment_package_id")
-        .join(shipments.select("shipment_id", "order_id", "external_id"), "shipment_id", "left")
+        one.join(shipments.select("shipment_id", "order_id", "external_id"), "shipment_id", "left")
         .join(orders.select("order_id", "customer_id"), "order_id", "left")
         .select(
             "__tracking", "shipment_package_id", F.col("external_id").alias("shipment_external_id"), "customer_id",

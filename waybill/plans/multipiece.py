@@ -49,6 +49,21 @@ def with_roles(lines: DataFrame, *, hot_rows: int | None = None) -> DataFrame:
     )
 
 
+def shipment_numbers(lines: DataFrame) -> DataFrame:
+    """The tracking numbers of all packages: every package id, and the ground id of a group that is
+    one row without package id. Reads three columns and needs no group values."""
+    package_id, group_id = blank_to_null(F.col("msp_tracking_id")), F.col(GROUP[1])
+    named = lines.where(package_id.isNotNull()).select("carrier_id", package_id.alias("tracking_number"))
+    single = (
+        lines.where(group_id.isNotNull())
+        .groupBy("carrier_id", *GROUP)
+        .agg(F.count(F.lit(1)).alias("n"), F.count(package_id).alias("with_id"))
+        .where("n = 1 AND with_id = 0")
+        .select("carrier_id", group_id.alias("tracking_number"))
+    )
+    return named.unionByName(single).distinct()
+
+
 def packages(lines: DataFrame) -> DataFrame:
     """The rows that are packages: all but the headers."""
     return with_roles(lines).where("mps_role != 'MPS_HEADER'")

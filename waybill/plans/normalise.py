@@ -64,21 +64,21 @@ def invoice_rollup(plan: CarrierPlan, staged: DataFrame) -> DataFrame:
     )
 
 
-def typed_lines(plan: CarrierPlan, staged: DataFrame) -> DataFrame:
+def typed_lines(
+    plan: CarrierPlan, staged: DataFrame, bills: DataFrame | None = None, *, bills_are_stored: bool = False
+) -> DataFrame:
     """Typed lines with their invoice's key.
 
     The key is computed from the line itself. Only a carrier whose invoice is made from the whole
-    file looks it up, by file.
+    file looks it up, by file, in its invoices.
     """
     invoice = plan.invoice
     rows = staged.where(plan.required() & plan.line_required())
     if invoice.per_file:
-        last = (
-            staged.where(plan.required())
-            .groupBy("file_id")
-            .agg(F.max(parse_rfc3339(F.col("time_utc")).cast("date")).alias("last_day"))
-        )
-        rows = lookup_join(rows, last, ["file_id"], "inner")
+        if bills is None:
+            bills = invoice_rollup(plan, staged)
+        by_file = bills.select("file_id", F.col("bill_date").alias("last_day"))
+        rows = lookup_join(rows, by_file, ["file_id"], "inner", derived=not bills_are_stored)
     return rows.select(
         F.lit(plan.carrier_id).alias("carrier_id"),
         "file_id",
@@ -91,7 +91,8 @@ def typed_lines(plan: CarrierPlan, staged: DataFrame) -> DataFrame:
 def normalise(plan: CarrierPlan, staged: DataFrame, loaded: DataFrame | None = None) -> Normalised:
     if loaded is not None:
         staged = skip_loaded_files(staged, loaded)
-    return Normalised(invoice_rollup(plan, staged), typed_lines(plan, staged))
+    bills = invoice_rollup(plan, staged)
+    return Normalised(bills, typed_lines(plan, staged, bills))
 
 
 def check_bills(bills: DataFrame) -> DataFrame:
@@ -103,4 +104,4 @@ def lines_with_invoice(lines: DataFrame, bills: DataFrame, columns: list[str]) -
     """Lines next to columns of their invoice."""
     key: list[str] = ["carrier_id", *BILL_KEY]
     picked: list[Column] = [F.col(c) for c in columns]
-    return lookup_join(lines, bills.select(*key, *picked), key, "inner")
+    return lookup_join(lines, bills.select(*key, *picked), key, "inner", derived=True)

@@ -132,8 +132,8 @@ def shipment_charges(
         require_unique(typed, CHARGE_KEY, "charges")
     charges = typed.groupBy(*CHARGE_KEY).agg(F.sum("amount").cast("decimal(18,2)").alias("amount"))
     if plan is FEDEX:
-        attributes = shipment_attributes(plan, lines) if attributes is None else attributes
-        shipments = attributes.select("carrier_id", fold(F.col("tracking_number")).alias("__shipment"))
+        known_shipments = multipiece.shipment_numbers(lines) if attributes is None else attributes
+        shipments = known_shipments.select("carrier_id", fold(F.col("tracking_number")).alias("__shipment"))
         charges = (
             charges.withColumn("__shipment", fold(F.col("tracking_number")))
             .join(shipments, ["carrier_id", "__shipment"], "left_semi")

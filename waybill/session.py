@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings the jobs rely on; all can be changed on a live session.
 RUNTIME_SETTINGS = {
@@ -42,5 +42,13 @@ def shared_dir(spark: SparkSession) -> str:
     return _fallback_dir
 
 
+def written(frame: DataFrame, label: str) -> DataFrame:
+    """The frame as a table in the shared folder: computed once, and kept when executors are lost."""
+    spark = frame.sparkSession
+    folder = fresh_dir(spark, label)
+    frame.write.parquet(folder)
+    return spark.read.schema(frame.schema).parquet(folder)
+
+
 def fresh_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"

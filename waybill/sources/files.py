@@ -110,7 +110,7 @@ def attach_header(details: DataFrame, headers: DataFrame) -> DataFrame:
     own = headers.select(
         PATH, F.col("header_bill_number").alias("invoice_number"), F.col("header_bill_date").alias("invoice_date")
     )
-    return lookup_join(details, own, [PATH], "inner")
+    return lookup_join(details, own, [PATH], "inner", derived=True)
 
 
 def header_totals(details: DataFrame, headers: DataFrame) -> DataFrame:

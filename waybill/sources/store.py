@@ -21,6 +21,7 @@ class Store:
         self._path = jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
         self._fs.mkdirs(self._path(f"{self.root}/manifests"))
+        self._staged: dict[int, tuple[DataFrame, str]] = {}
 
     def _versions(self) -> list[int]:
         names = [s.getPath().getName() for s in self._fs.listStatus(self._path(f"{self.root}/manifests"))]
@@ -46,14 +47,24 @@ class Store:
     def read_or(self, table: str, empty: DataFrame) -> DataFrame:
         return self.read(table) if self.has(table) else empty.limit(0)
 
+    def stage(self, table: str, frame: DataFrame) -> DataFrame:
+        """Write a frame that later steps of the same load read; :meth:`publish` takes it as it is."""
+        folder = f"{self.root}/data/{table}/staged-{uuid.uuid4().hex[:12]}"
+        frame.write.parquet(folder)
+        stored = self.spark.read.schema(frame.schema).parquet(folder)
+        self._staged[id(stored)] = (stored, folder)
+        return stored
+
     def publish(self, *, append: dict[str, DataFrame] | None = None, replace: dict[str, DataFrame] | None = None) -> None:
         """Write all frames, then swap the manifest in one rename. A failed write publishes nothing."""
         tables = self.manifest()
         number = (self._versions() or [0])[-1] + 1
         for mode, frames in (("append", append or {}), ("replace", replace or {})):
             for table, frame in frames.items():
-                folder = f"{self.root}/data/{table}/{number:012d}-{uuid.uuid4().hex[:8]}"
-                frame.write.parquet(folder)
+                _, folder = self._staged.pop(id(frame), (None, None))
+                if folder is None:
+                    folder = f"{self.root}/data/{table}/{number:012d}-{uuid.uuid4().hex[:8]}"
+                    frame.write.parquet(folder)
                 tables[table] = [*tables.get(table, []), folder] if mode == "append" else [folder]
         staged = self._path(f"{self.root}/manifests/_{uuid.uuid4().hex}.tmp")
         stream = self._fs.create(staged)
@@ -62,5 +73,5 @@ class Store:
         finally:
             stream.close()
         final = self._path(f"{self.root}/manifests/{number:012d}.json")
-        if not self._fs.rename(staged, final):
+        if self._fs.exists(final) or not self._fs.rename(staged, final):
             raise RuntimeError(f"another load published version {number} of {self.root}; run this one again")

@@ -13,13 +13,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions import fold
 from ..operators.lookup import lookup_join
 from ..operators.merge import append_new
 from ..plans import gold
 from ..plans.carriers import UPS, CarrierPlan
 from ..plans.intake import file_id
-from ..plans.normalise import normalise
+from ..plans.normalise import invoice_rollup, typed_lines
 from ..plans.unify import SHIPMENT_KEY, shipment_attributes, shipment_charges, shipment_summary, upsert_attributes
 from ..sources.contracts import Contract
 from ..sources.files import path_parts
@@ -71,10 +70,12 @@ class FileLoader:
             rows = lookup_join(rows, done.distinct(), ["file_id"], "left_anti")
         if files.isEmpty():
             return False
-        bills, lines = normalise(self.plan, rows)
+        # the files' text is parsed once per table; what follows reads the typed lines
+        bills = self.store.stage("bills", invoice_rollup(self.plan, rows))
+        lines = self.store.stage("lines", typed_lines(self.plan, rows, bills, bills_are_stored=True))
         found = shipment_attributes(self.plan, lines, methods=self.methods, carriers=self.carriers)
-        charges = shipment_charges(self.plan, lines, self.charge_types, attributes=found)
-        append = {"bills": bills, "charges": charges, "tracker": files}
+        charges = shipment_charges(self.plan, lines, self.charge_types)
+        append = {"bills": bills, "lines": lines, "charges": charges, "tracker": files}
         replace = {}
         if not self.store.has("attributes"):
             append["attributes"] = found
@@ -118,7 +119,3 @@ def backfill_when_packages_arrive(
             store.read("ledger"), store.read("attributes"), methods, packages, shipments, orders
         )
     })
-
-
-def same_tracking(a: Column, b: Column) -> Column:
-    return fold(a) == fold(b)

@@ -24,8 +24,9 @@ from ..plans.unify import (
     CHARGE_KEY, SHIPMENT_KEY, _consolidate, charge_rows, new_charges, shipment_attributes, shipment_charges,
     shipment_summary, upsert_attributes,
 )
-from ..session import configure
+from ..session import configure, fresh_dir
 from ..sources.contracts import EASYPOST as EASYPOST_CONTRACT
+from ..sources.store import Store
 from . import oracle as o
 from .fixtures import relation
 
@@ -451,16 +452,22 @@ class Warehouse:
         return gold.file_shipments(self.charges)
 
     def enriched(self) -> DataFrame:
-        return gold.enrich_packages(self.packages, shipment_summary(self.attributes, self.charges), self.methods, self.in_files)
+        billed = gold.of_files(self.attributes, self.in_files)
+        return gold.enrich_packages(self.packages, shipment_summary(billed, self.charges), self.methods)
 
     def ledger(self, packages: DataFrame) -> DataFrame:
         return gold.cost_ledger(self.charges, self.attributes, self.methods, self.types, self.categories, packages, self.shipments, self.orders)
 
 
 def warehouse(spark: SparkSession, folder: str) -> Warehouse:
+    """The gold jobs read the unified tables from the store that the carrier load published them to."""
+    store = Store(spark, fresh_dir(spark, "store"))
+    store.publish(append={
+        "attributes": attributes_of(spark, folder, "easypost"), "charges": charges_of(spark, folder, "easypost"),
+    })
     return Warehouse(
-        attributes_of(spark, folder, "easypost"),
-        charges_of(spark, folder, "easypost"),
+        store.read("attributes"),
+        store.read("charges"),
         *rel(spark, folder, "methods", "charge_types", "categories", "packages", "shipments", "wms_orders"),
     )
 
