@@ -12,30 +12,37 @@ SPREAD = 1024
 _HOT, _COLD, _SPREAD = "__hot", "__cold", "__spread"
 
 
-def with_group_stats(
-    rows: DataFrame, keys: list[str], stats: dict[str, Column], spread_by: list[str], *, hot_rows: int = HOT_ROWS
+def attach_group_values(
+    rows: DataFrame,
+    keys: list[str],
+    groups: DataFrame,
+    size: str,
+    spread_by: list[str],
+    *,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Attach aggregates of a row's group to the row: what a window without order would give.
+    """Left join rows to aggregates of their own group: what a window without order would give.
 
-    A window brings a whole group into one task. Here the aggregates are built with map-side partial
-    sums and joined back. Rows of hot groups get theirs from a broadcast and are spread over the
-    exchange by a hash of ``spread_by``, so no task holds a whole hot group. The hash is of content,
-    so a task that runs again sends each row to the same place. ``keys`` must be non-null.
+    A window brings a whole group into one task. Here the aggregates in ``groups`` (one row per
+    non-null key, with the group's row count in ``size``) are built with map-side partial results and
+    joined back. Rows of hot groups get theirs from a broadcast and are spread over the exchange by a
+    hash of ``spread_by``, so no task holds a whole hot group. The hash is of content, so a task that
+    runs again sends each row to the same place.
     """
-    size = "__size"
-    grouped = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(size), *[c.alias(n) for n, c in stats.items()])
-    payload = F.struct(*stats)
-    hot = grouped.where(F.col(size) > hot_rows).select(*keys, payload.alias(_HOT))
-    cold = grouped.where(F.col(size) <= hot_rows).select(*keys, payload.alias(_COLD), F.lit(0).alias(_SPREAD))
+    values = [c for c in groups.columns if c not in keys]
+    payload = F.struct(*values)
+    hot = groups.where(F.col(size) > hot_rows).select(*keys, payload.alias(_HOT))
+    # zero, but not as a literal: the optimizer would drop a constant from the join key and bring
+    # the rows of a hot group together again
+    zero = F.pmod(F.col(size), F.lit(1)).cast("int")
+    cold = groups.where(F.col(size) <= hot_rows).select(*keys, payload.alias(_COLD), zero.alias(_SPREAD))
     marked = rows.join(F.broadcast(hot), keys, "left").withColumn(
         _SPREAD,
-        F.when(F.col(_HOT).isNull(), 0).otherwise(
-            F.pmod(F.xxhash64(*spread_by), F.lit(SPREAD)).cast("int")
-        ),
+        F.when(F.col(_HOT).isNull(), 0).otherwise(F.pmod(F.xxhash64(*spread_by), F.lit(SPREAD)).cast("int")),
     )
     joined = marked.join(cold, [*keys, _SPREAD], "left")
     found = F.coalesce(F.col(_HOT), F.col(_COLD))
-    return joined.select(*[F.col(c) for c in rows.columns], *[found[n].alias(n) for n in stats])
+    return joined.select(*[F.col(c) for c in rows.columns], *[found[n].alias(n) for n in values])
 
 
 def last_per_key(rows: DataFrame, keys: list[Column], order_first: list[str]) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import blank_to_null
-from ..operators.groups import with_group_stats
+from ..operators.groups import HOT_ROWS, attach_group_values
 
 GROUP = ["file_id", "express_or_ground_tracking_id"]
 # differ between the packages of a group; few, so that unused columns of the wide line stay unread
@@ -24,28 +24,35 @@ def role(size: Column, package_id: Column, group_id: Column) -> Column:
     )
 
 
-def with_roles(lines: DataFrame, *, hot_rows: int | None = None) -> DataFrame:
+def group_values(lines: DataFrame) -> DataFrame:
+    """Groups of several rows: their size and the values of their header, the row without package id.
+
+    Sizes count all rows over the two key columns; the header's texts, whose maximum needs sorting,
+    are taken from header rows only.
+    """
+    sizes = lines.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("group_rows")).where("group_rows > 1")
+    headers = (
+        lines.where(blank_to_null(F.col("msp_tracking_id")).isNull())
+        .groupBy(*GROUP)
+        .agg(*[F.max(n).alias(f"header_{n}") for n in HOISTED])
+    )
+    return sizes.join(headers, GROUP, "left")
+
+
+def with_roles(lines: DataFrame, *, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Lines with group size, role and the header's values carried to the whole group.
 
-    The header of a group is its row without a package id, or its only row. Both kinds of maximum
-    are taken in the one aggregate that also counts the group.
+    A row that is alone in its group keeps its own values.
     """
-    from_header = blank_to_null(F.col("msp_tracking_id")).isNull()
-    stats = {"group_rows": F.count(F.lit(1))}
-    for name in HOISTED:
-        stats[f"__header_{name}"] = F.max(F.when(from_header, F.col(name)))
-        stats[f"__any_{name}"] = F.max(name)
-    options = {} if hot_rows is None else {"hot_rows": hot_rows}
-    tallied = with_group_stats(lines.where(F.col(GROUP[1]).isNotNull()), GROUP, stats, SPREAD_BY, **options)
-    single = F.col("group_rows") == 1
-    return tallied.select(
+    grouped = lines.where(F.col(GROUP[1]).isNotNull())
+    joined = attach_group_values(grouped, GROUP, group_values(grouped), "group_rows", SPREAD_BY, hot_rows=hot_rows)
+    single = F.col("group_rows").isNull()
+    size = F.coalesce("group_rows", F.lit(1).cast("bigint"))
+    return joined.select(
         *lines.columns,
-        F.col("group_rows"),
-        role(F.col("group_rows"), F.col("msp_tracking_id"), F.col(GROUP[1])).alias("mps_role"),
-        *[
-            F.when(single, F.col(f"__any_{n}")).otherwise(F.col(f"__header_{n}")).alias(f"group_{n}")
-            for n in HOISTED
-        ],
+        size.alias("group_rows"),
+        role(size, F.col("msp_tracking_id"), F.col(GROUP[1])).alias("mps_role"),
+        *[F.when(single, F.col(n)).otherwise(F.col(f"header_{n}")).alias(f"group_{n}") for n in HOISTED],
     )
 
 
