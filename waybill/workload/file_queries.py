@@ -114,7 +114,7 @@ def _(spark, folder):
 
 
 @query("dhl_header_total", "WITH " + o.ctes("stg_dhl") + f""", t AS (SELECT file_id, CAST(sum({_DHL_SUM}) AS DECIMAL(18,2)) AS detail_total FROM stg_dhl GROUP BY 1)
-SELECT file_id, 'F' || file_id AS bill_number, detail_total + CASE WHEN file_id = 3 THEN 1 ELSE 0 END AS header_total, detail_total, file_id <> 3 AS agrees FROM t""")
+SELECT file_id, 'F' || file_id AS bill_number, CAST(detail_total + CASE WHEN file_id = 3 THEN 1 ELSE 0 END AS DECIMAL(18,2)) AS header_total, detail_total, file_id <> 3 AS agrees FROM t""")
 def _(spark, folder):
     headers, details = dhl_with_header(spark, folder)
     return with_file_id(header_totals(details, headers)).select("file_id", "bill_number", "header_total", "detail_total", "agrees")
