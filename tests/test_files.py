@@ -7,8 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from waybill.plans import intake
-from waybill.plans.carriers import EASYPOST, FEDEX, UPS
-from waybill.plans.normalise import invoice_rollup, typed_lines
+from waybill.plans.carriers import EASYPOST, FEDEX, UNIUNI, UPS
+from waybill.plans.normalise import IncompleteLines, invoice_rollup, typed_lines
 from waybill.plans.run import publish_counted, run_job
 from waybill.session import shared_dir
 from waybill.sources import contracts
@@ -205,6 +205,28 @@ def test_failed_file_is_retried(spark, tmp_path, loader):
     assert costs(loader) == {"A": (D("5.00"), 1)}
 
 
+def uniuni_row(spark, file, tracking):
+    columns = [*contracts.UNIUNI.columns, "file_path"]
+    row = {"invoice_number": "1", "invoice_time": "2026-02-15", "merchant_id": "A", "tracking_number": tracking, "total_billed_amount": "2", "base_fee": "2", "file_path": f"t/uniuni/A/{file}"}
+    return spark.createDataFrame([tuple(row.get(c) for c in columns)], ", ".join(f"{c} string" for c in columns))
+
+
+def test_files_without_tracking_are_refused(spark, tmp_path):
+    types = spark.createDataFrame([(1, 8, "Base Rate")], "charge_type_id int, carrier_id int, charge_name string")
+    loader = FileLoader(UNIUNI, Store(spark, str(tmp_path / "store")), types)
+    rows = uniuni_row(spark, "good.csv", "U1").unionByName(uniuni_row(spark, "bad.csv", " "))
+    with pytest.raises(IncompleteLines, match="tracking_number"):
+        loader.load(rows, run_ts())
+    assert loader.store.manifest() == {}
+    loader.skip_bad_files = True
+    loader.load(rows, run_ts())
+    assert [r.file_name for r in loader.store.read("tracker").collect()] == ["good.csv"]
+    assert [(r.n_lines, r.missing) for r in loader.store.read("refused").collect()] == [(1, "tracking_number")]
+    # the corrected file comes again under its name
+    loader.load(uniuni_row(spark, "bad.csv", "U2"), run_ts())
+    assert costs(loader) == {"U1": (D("2.00"), 1), "U2": (D("2.00"), 1)}
+
+
 def test_shared_dir_is_the_clusters(spark):
     class Session:
         class conf:

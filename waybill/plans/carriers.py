@@ -60,6 +60,7 @@ class CarrierPlan:
     line_required: Callable[[], Column] = lambda: F.lit(True)
     seeds: list[tuple[str, bool, int]] = field(default_factory=list)  # charge name, freight, category
     integrated: bool = False  # lines name the carrier that did the work
+    not_null: tuple[str, ...] = ()  # line columns without which the file is refused
 
 
 STANDARD, ADJUSTMENT = 11, 16  # fixed values: ids of charge categories
@@ -124,6 +125,7 @@ FEDEX = CarrierPlan(
         height_in=lambda: to_inches(F.col("dim_height"), F.col("dim_unit"), "fedex"),
     ),
     charges=lambda: fixed(("Transportation Charge", "transportation_charge_amount")) + described(*FEDEX_CHARGES),
+    not_null=("express_or_ground_tracking_id",),
 )
 
 
@@ -191,6 +193,7 @@ UPS = CarrierPlan(
     charges=lambda: [
         (ups_charge_name(F.col("charge_description"), F.col("charge_category_code")), F.col("net_amount"))
     ],
+    not_null=("charge_category_code", "charge_category_detail_code", "net_amount"),
 )
 
 
@@ -369,6 +372,7 @@ ELITEWORKS = CarrierPlan(
     charges=lambda: fixed(("Platform Charged", "platform_charged")),
     seeds=[("Platform Charged", False, STANDARD)],
     integrated=True,
+    not_null=("tracking_number",),
 )
 
 
@@ -428,6 +432,7 @@ FLAVORCLOUD = CarrierPlan(
     charges=lambda: fixed(*FLAVORCLOUD_CHARGES),
     seeds=[(name, name.startswith("Shipping"), STANDARD) for name, _ in FLAVORCLOUD_CHARGES],
     integrated=True,
+    not_null=("tracking_number",),
 )
 
 
@@ -484,6 +489,7 @@ PASSPORT = CarrierPlan(
     ),
     charges=lambda: fixed(*PASSPORT_CHARGES) + described(*PASSPORT_FEE_PAIRS),
     seeds=[(name, name == "Rate", STANDARD) for name, _ in PASSPORT_CHARGES],
+    not_null=("tracking_number",),
 )
 
 
@@ -550,6 +556,7 @@ UNIUNI = CarrierPlan(
     ),
     charges=lambda: fixed(*UNIUNI_CHARGES),
     seeds=[(name, name == "Base Rate", STANDARD) for name, _ in UNIUNI_CHARGES],
+    not_null=("tracking_number",),
 )
 
 PLANS = {p.key: p for p in (FEDEX, UPS, DHL, EASYPOST, ELITEWORKS, FLAVORCLOUD, PASSPORT, UNIUNI)}

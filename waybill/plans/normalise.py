@@ -95,6 +95,30 @@ def normalise(plan: CarrierPlan, staged: DataFrame, loaded: DataFrame | None = N
     return Normalised(bills, typed_lines(plan, staged, bills))
 
 
+class IncompleteLines(ValueError):
+    """Lines lack a value that the model requires; their file is refused."""
+
+
+def incomplete_files(plan: CarrierPlan, lines: DataFrame) -> DataFrame:
+    """Files with lines that lack a required value: number of such lines and the columns concerned."""
+    required = ("bill_number", "bill_date", *plan.not_null)
+    lacking = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in required]))
+    return (
+        lines.select("file_id", lacking.alias("lacking"))
+        .where(F.size("lacking") > 0)
+        .groupBy("file_id")
+        .agg(F.count(F.lit(1)).alias("n_lines"), F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_set("lacking")))), ",").alias("missing"))
+    )
+
+
+def require_complete(plan: CarrierPlan, lines: DataFrame) -> DataFrame:
+    bad = incomplete_files(plan, lines).limit(1).collect()
+    if bad:
+        row = bad[0]
+        raise IncompleteLines(f"{plan.key}: file {row['file_id']} has {row['n_lines']} lines without {row['missing']}")
+    return lines
+
+
 def check_bills(bills: DataFrame) -> DataFrame:
     """Before a write: one invoice per number, day, carrier and file (two accounts on one invoice fail)."""
     return require_unique(bills, ["carrier_id", *BILL_KEY], "invoices")

@@ -18,10 +18,11 @@ from ..operators.merge import append_new
 from ..plans import gold
 from ..plans.carriers import UPS, CarrierPlan
 from ..plans.intake import file_id
-from ..plans.normalise import invoice_rollup, typed_lines
+from ..plans.normalise import check_bills, incomplete_files, invoice_rollup, require_complete, typed_lines
 from ..plans.unify import SHIPMENT_KEY, shipment_attributes, shipment_charges, shipment_summary, upsert_attributes
 from ..sources.contracts import Contract
 from ..sources.files import path_parts
+from ..session import written
 from ..sources.store import Store
 
 
@@ -52,6 +53,7 @@ class FileLoader:
     charge_types: DataFrame
     methods: DataFrame | None = None
     carriers: DataFrame | None = None
+    skip_bad_files: bool = False  # load the other files of a batch and record the refused ones
     name_of: Callable[[Column], Column] = lambda path: path_parts(path).getField("file_name")
 
     def load(self, staged: DataFrame, run_ts: Column) -> bool:
@@ -73,9 +75,22 @@ class FileLoader:
         # the files' text is parsed once per table; what follows reads the typed lines
         bills = self.store.stage("bills", invoice_rollup(self.plan, rows))
         lines = self.store.stage("lines", typed_lines(self.plan, rows, bills, bills_are_stored=True))
+        refused = None
+        if not self.skip_bad_files:
+            require_complete(self.plan, lines)
+        else:
+            bad = incomplete_files(self.plan, lines)
+            if not bad.isEmpty():
+                refused = written(bad, "refused")
+                files, bills, lines = (
+                    lookup_join(f, refused.select("file_id"), ["file_id"], "left_anti") for f in (files, bills, lines)
+                )
+        check_bills(bills)
         found = shipment_attributes(self.plan, lines, methods=self.methods, carriers=self.carriers)
         charges = shipment_charges(self.plan, lines, self.charge_types)
         append = {"bills": bills, "lines": lines, "charges": charges, "tracker": files}
+        if refused is not None:
+            append["refused"] = refused.withColumn("refused_at", run_ts)
         replace = {}
         if not self.store.has("attributes"):
             append["attributes"] = found

@@ -17,7 +17,7 @@ from ..operators.merge import append_new, duplicate_keys
 from ..plans import adapter, gold, intake, legacy, multipiece, quality, thresholds, variance
 from ..plans.carriers import EASYPOST, FEDEX, FLAVORCLOUD, PASSPORT, PLANS, UNIUNI, UPS, split_dimensions
 from ..plans.normalise import (
-    invoice_rollup, lines_with_invoice, normalise, skip_loaded_files, typed_lines,
+    incomplete_files, invoice_rollup, lines_with_invoice, normalise, skip_loaded_files, typed_lines,
 )
 from ..plans.reference import discover_carriers, discover_charge_types, discover_methods
 from ..plans.unify import (
@@ -462,8 +462,11 @@ class Warehouse:
 def warehouse(spark: SparkSession, folder: str) -> Warehouse:
     """The gold jobs read the unified tables from the store that the carrier load published them to."""
     store = Store(spark, fresh_dir(spark, "store"))
+    typed = store.stage("lines", lines(spark, folder, "easypost"))
     store.publish(append={
-        "attributes": attributes_of(spark, folder, "easypost"), "charges": charges_of(spark, folder, "easypost"),
+        "lines": typed,
+        "attributes": shipment_attributes(EASYPOST, typed, **reference(spark, folder)),
+        "charges": shipment_charges(EASYPOST, typed, relation(spark, folder, "charge_types")),
     })
     return Warehouse(
         store.read("attributes"),
@@ -797,6 +800,12 @@ def _(spark, folder):
     )
 
 
+@query("incomplete_files", "WITH " + o.ctes("stg_uniuni") + ", " + o.lines("uniuni") + """ SELECT file_id, count(*) AS n_lines, 'tracking_number' AS missing
+  FROM lines_uniuni WHERE tracking_number IS NULL GROUP BY 1""")
+def _(spark, folder):
+    return incomplete_files(UNIUNI, lines(spark, folder, "uniuni"))
+
+
 _HEADERS = list(EASYPOST_CONTRACT.headers.values())
 
 
