@@ -55,6 +55,10 @@ class Store:
         self._staged[id(stored)] = (stored, folder)
         return stored
 
+    def compact(self, table: str, files: int) -> None:
+        """Bring the folders of many small appends into one of a given number of files."""
+        self.publish(replace={table: self.read(table).repartition(files)})
+
     def publish(self, *, append: dict[str, DataFrame] | None = None, replace: dict[str, DataFrame] | None = None) -> None:
         """Write all frames, then swap the manifest in one rename. A failed write publishes nothing."""
         tables = self.manifest()

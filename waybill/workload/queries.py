@@ -13,9 +13,9 @@ from ..functions import (
     to_ounces, try_iso_or_us,
 )
 from ..operators.intervals import as_of_join, gaps, overlaps, version_on, version_periods
-from ..operators.merge import append_new, duplicate_keys
+from ..operators.merge import duplicate_keys
 from ..plans import adapter, gold, intake, legacy, multipiece, quality, thresholds, variance
-from ..plans.carriers import EASYPOST, FEDEX, FLAVORCLOUD, PASSPORT, PLANS, UNIUNI, UPS, split_dimensions
+from ..plans.carriers import EASYPOST, FEDEX, PASSPORT, PLANS, UNIUNI, UPS, split_dimensions
 from ..plans.normalise import (
     incomplete_files, invoice_rollup, lines_with_invoice, normalise, skip_loaded_files, typed_lines,
 )
