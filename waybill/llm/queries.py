@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import configure, fresh_dir
 from ..sources.tables import read_table
-from . import id_store, piece_codec
+from . import id_store, pii, piece_codec, quality, toxicity
 
 TOKENIZERS = "/opt/tokenizers"
 
@@ -42,3 +42,42 @@ def op5_id_store(spark: SparkSession, folder: str) -> DataFrame:
     store = fresh_dir(spark, "ids")
     id_store.write(read_table(spark, folder, "documents"), store, f"{TOKENIZERS}/word_bpe_49k.json", 1)
     return id_store.read(spark, store, digest=True)
+
+
+@query
+def op7_pii(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.find(read_table(spark, folder, "documents").select("doc_id", "text"))
+    spans = F.col("pii_spans")
+    counts = [F.size(pii.of_kinds(spans, (k,))).cast("bigint").alias(f"n_{k}") for k in pii.BASE]
+    return found.select(
+        "doc_id", *counts,
+        F.sha2(pii.written_out(spans, pii.BASE), 256).alias("base_sha256"),
+        pii.written_out(spans).alias("spans"),
+    )
+
+
+def remainder(n: int) -> Column:
+    """What the decimal id's CRC-32 leaves by ``n``; a null id counts as 0."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % n, F.lit(0))
+
+
+@query
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents").select("doc_id", "text", "lang")
+    model = toxicity.train(docs, read_table(spark, folder, "labels"), remainder(3) != 1)
+    scored = toxicity.score(docs, model)
+    score = F.col("toxicity.score")
+    return scored.select(
+        "doc_id", (remainder(3) == 1).alias("held_out"), score.alias("score"), (score >= 0.7).cast("int").alias("predicted"),
+        F.col("toxicity.threshold").alias("threshold"), F.col("toxicity.toxic").alias("rejected"),
+    )
+
+
+@query
+def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    net = quality.train(docs, read_table(spark, folder, "labels"), remainder(5) != 0)
+    score = F.col("quality_score")
+    return quality.score(docs, net).select(
+        "doc_id", (remainder(5) == 0).alias("held_out"), score.alias("score"), (score >= 0.3).cast("int").alias("predicted"),
+    )
