@@ -13,11 +13,13 @@ hashed id; everything is stored whatever the dictionary. Null and empty texts ho
 from __future__ import annotations
 
 import hashlib
+import os
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
@@ -25,12 +27,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
-from .chunks import SeenTable, slices, utf8
+from .chunks import slices
+from .tokens import words_of
 
 DICTIONARY_DOCS = 1_500
 DICTIONARY_CHARS = 20_000
 DICTIONARY_BYTES = 64 << 10
 BLOCK_BYTES = 1 << 20
+TABLE_WORDS = 1_500_000
 LEVEL = 3
 
 _BLOCK = ("shard int, block int, least bigint, greatest bigint, doc_ids array<bigint>, n_tokens array<int>, "
@@ -42,24 +46,110 @@ def tokenizer(path: str) -> Tokenizer:
     return Tokenizer.from_file(path)
 
 
-def id_table(path: str) -> SeenTable:
-    """Words between ASCII white space to their ids as little-endian unsigned 32-bit integers.
+class WordTable:
+    """Ids of distinct words between ASCII white space, kept as arrays and looked up many words at a time.
 
-    The tokenizer drops white space and never merges across it, so each distinct word is segmented once.
+    The tokenizer folds case, drops white space and never merges across it, so a word is segmented once however its ASCII
+    letters are written. Words are known by two 64-bit hashes. At ``TABLE_WORDS`` the table starts anew. Texts that may
+    spell a special token go through the library whole.
     """
-    tok = tokenizer(path)
 
-    def segment(words: list[bytes]) -> list[bytes]:
-        found = tok.encode_batch([w.decode() for w in words], add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
+    def __init__(self, path: str) -> None:
+        self.tokenizer = tokenizer(path)
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.separator = special[0]
+        self.separator_id = self.tokenizer.token_to_id(self.separator)
+        self.opening = os.path.commonprefix(special).encode()
+        probe = self.tokenizer.encode(f"Ab {self.separator} c\td", add_special_tokens=False).ids
+        parts = [self.tokenizer.encode(w, add_special_tokens=False).ids for w in ("ab", "c", "d")]
+        if not self.opening or probe != [*parts[0], self.separator_id, *parts[1], *parts[2]]:
+            raise ValueError("the tokenizer does not treat words apart")
+        self.empty()
+
+    def empty(self) -> None:
+        self.keys = np.zeros(0, np.uint64)
+        self.checks = np.zeros(0, np.uint64)
+        self.starts = np.zeros(0, np.int64)
+        self.sizes = np.zeros(0, np.int64)
+        self.flat = np.zeros(0, np.uint32)
+
+    def segment(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words in order, and how many each has."""
+        between = f" {self.separator} "
+        ids, sizes = [], []
+        joined = [between.join(words[i:i + 500]) for i in range(0, len(words), 500)]
+        for found in self.tokenizer.encode_batch_fast(joined, add_special_tokens=False):
+            every = np.array(found.ids, np.uint32)
+            own = every != self.separator_id
+            cuts = np.flatnonzero(~own)
+            sizes.append(np.diff(np.concatenate([[-1], cuts, [len(every)]])) - 1)
+            ids.append(every[own])
+        return np.concatenate(ids), np.concatenate(sizes)
+
+    def add(self, keys: np.ndarray, checks: np.ndarray, words: list[str]) -> None:
+        if len(self.keys) + len(keys) > TABLE_WORDS:
+            self.empty()
+        ids, sizes = self.segment(words)
+        starts = len(self.flat) + np.cumsum(sizes) - sizes
+        self.flat = np.concatenate([self.flat, ids])
+        order = np.argsort(keys)
+        to = np.searchsorted(self.keys, keys[order])
+        for name, new in (("keys", keys), ("checks", checks), ("starts", starts), ("sizes", sizes)):
+            setattr(self, name, np.insert(getattr(self, name), to, new[order]))
+
+    def place(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.minimum(np.searchsorted(self.keys, keys), max(len(self.keys) - 1, 0))
+        return at, (self.keys[at] == keys) if len(self.keys) else np.zeros(len(keys), bool)
+
+    def serialized(self, texts: pa.Array, end_id: int) -> list[bytes]:
+        """Each text's ids and the end id, as little-endian unsigned 32-bit integers."""
+        words = words_of(texts, check=True)
+        which, keys = pd.factorize(words.hashes)
+        first = np.zeros(len(keys), np.int64)
+        first[which[::-1]] = np.arange(len(which))[::-1]
+        at, known = self.place(keys)
+        if not known.all():
+            new = np.flatnonzero(~known)
+            if len(self.keys) + len(new) > TABLE_WORDS:
+                self.empty()
+                new = np.arange(len(keys))
+            raw = words.data.tobytes()
+            spelled = [raw[a:b].decode() for a, b in zip(words.first[first[new]].tolist(), words.last[first[new]].tolist())]
+            # words with what may be a special token have no entry of their own: their texts go whole
+            spelled = ["" if self.opening.decode() in w else w for w in spelled]
+            self.add(keys[new], words.checks[first[new]], spelled)
+            at, known = self.place(keys)
+        slot = at[which]
+        sizes = np.diff(words.offsets)
+        lengths = self.sizes[slot]
+        total = np.concatenate([[0], np.cumsum(lengths)])
+        # every text's ids, then its end id
+        ends = total[words.offsets] + np.arange(len(words.offsets))
+        out = np.full(int(ends[-1]), end_id, "<u4")
+        shift = np.repeat(np.arange(len(sizes)), sizes)
+        to = np.repeat(total[:-1] + shift - self.starts[slot], lengths)
+        source = np.repeat(self.starts[slot] - total[:-1], lengths) + np.arange(int(total[-1]))
+        out[source + to] = self.flat[source]
+        made = out.tobytes()
+        cuts = (ends * 4).tolist()
+        result = [made[a:b] for a, b in zip(cuts, cuts[1:])]
+        odd = np.zeros(len(sizes), bool)
+        clash = np.flatnonzero(self.checks[slot] != words.checks)
+        odd[np.searchsorted(words.offsets, clash, side="right") - 1] = True
+        for i in range(len(result)):
+            if not sizes[i]:
+                continue
+            a, b = words.first[words.offsets[i]], words.last[words.offsets[i + 1] - 1]
+            if odd[i] or self.opening in words.data[a:b].tobytes():
+                ids = self.tokenizer.encode(texts[i].as_py(), add_special_tokens=False).ids
+                result[i] = np.array([*ids, end_id], "<u4").tobytes()
+        return result
 
-    return SeenTable(segment)
 
-
-def serialized(texts: list[bytes], table: SeenTable, end: bytes) -> list[bytes]:
-    split = [t.split() for t in texts]
-    table.cover([w for words in split for w in words])
-    return [b"".join(map(table.__getitem__, words)) + end for words in split]
+@lru_cache(maxsize=2)
+def word_table(path: str) -> WordTable:
+    """One table per worker process, kept from task to task."""
+    return WordTable(path)
 
 
 def fit_dictionary(docs: DataFrame, path: str, end_id: int) -> bytes:
@@ -68,7 +158,7 @@ def fit_dictionary(docs: DataFrame, path: str, end_id: int) -> bytes:
         docs.where(F.length("text") <= DICTIONARY_CHARS)
         .orderBy(F.xxhash64("id"), "id").limit(DICTIONARY_DOCS).select("text").collect()
     )
-    samples = serialized([r.text.encode() for r in rows], id_table(path), np.array([end_id], "<u4").tobytes())
+    samples = word_table(path).serialized(pa.array([r.text for r in rows], pa.string()), end_id)
     if sum(map(len, samples)) < 16 * DICTIONARY_BYTES or len(samples) < 64:
         return b"".join(samples)[:DICTIONARY_BYTES] if len(samples) > 1 else b""
     return zstandard.train_dictionary(DICTIONARY_BYTES, samples, level=LEVEL).as_bytes()
@@ -84,10 +174,9 @@ def write(docs: DataFrame, folder: str, path: str, end_id: int, *, id_col: str =
         .coalesce(1).write.parquet(f"{folder}/dictionary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, table = TaskContext.get().partitionId(), id_table(path)
+        shard, table = TaskContext.get().partitionId(), word_table(path)
         shared = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
         press = zstandard.ZstdCompressor(level=LEVEL, dict_data=shared)
-        end = np.array([end_id], "<u4").tobytes()
         block, start = 0, 0
         ids, counts, starts, offsets, frames, held = [], [], [], [], [], 0
 
@@ -99,7 +188,7 @@ def write(docs: DataFrame, folder: str, path: str, end_id: int, *, id_col: str =
             return pa.RecordBatch.from_pylist([row], schema=_SCHEMA)
 
         for batch in slices(batches, "text"):
-            found = serialized(utf8(batch.column("text")), table, end)
+            found = table.serialized(batch.column("text"), end_id)
             for doc, raw in zip(batch.column("id").to_pylist(), found):
                 frame = press.compress(raw)
                 if held and held + len(frame) > BLOCK_BYTES:
