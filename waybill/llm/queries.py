@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import configure, fresh_dir
 from ..sources.tables import read_table
-from . import id_store, pii, piece_codec, quality, toxicity
+from . import id_store, jaccard_join, pii, piece_codec, quality, toxicity
 
 TOKENIZERS = "/opt/tokenizers"
 
@@ -81,3 +81,9 @@ def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.score(docs, net).select(
         "doc_id", (remainder(5) == 0).alias("held_out"), score.alias("score"), (score >= 0.3).cast("int").alias("predicted"),
     )
+
+
+@query
+def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    found = jaccard_join.similar_documents(read_table(spark, folder, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
