@@ -29,6 +29,7 @@ from ..session import written
 from .chunks import slices
 from .filters import key_filter, passes
 from .links import connect, similar
+from .sampling import most_counted
 from .tokens import mix, shingles_of, words_of
 
 FREQUENT = 1 << 17
@@ -80,7 +81,7 @@ def frequent_shingles(docs: DataFrame, width: int) -> np.ndarray:
             yield counted()
 
     counts = docs.select("text").mapInArrow(run, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
-    top = counts.orderBy(F.desc("n"), "key").limit(FREQUENT).toArrow()
+    top = most_counted(written(counts, "frequent"), "n", FREQUENT).toArrow()
     keys = top["key"].to_numpy().view(np.uint64)
     order = np.argsort(keys)
     return np.stack([keys[order], top["n"].to_numpy().astype(np.uint64)[order]])

@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .chunks import slices
+from .sampling import hashed_sample
 from .tokens import bytes_of
 
 SEGMENT = 64  # bytes between the starts of two steps of the maximum
@@ -148,8 +149,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, *, label: str = "qu
     """``learn`` says, of ``doc_id``, whose labels may be learned from. Without both labels, every text is of that one."""
     known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min(label).alias("label"))
     known = known.where(learn)
-    order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    parts = [known.where(F.col("label") == x).orderBy(*order).limit(rows) for x in (0, 1)]
+    parts = [hashed_sample(known.where(F.col("label") == x), "doc_id", rows) for x in (0, 1)]
     texts = docs.where(F.length("text") <= SAMPLE_CHARS).select("doc_id", "text")
     found = texts.join(F.broadcast(parts[0].unionByName(parts[1])), "doc_id").toArrow()
     found = found.sort_by([("doc_id", "ascending"), ("text", "ascending")])

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import configure, fresh_dir
 from ..sources.tables import read_table
-from . import id_store, jaccard_join, pii, piece_codec, quality, toxicity
+from . import decontaminate, id_store, jaccard_join, pii, piece_codec, quality, toxicity, vector_dups
 
 TOKENIZERS = "/opt/tokenizers"
 
@@ -87,3 +87,14 @@ def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
 def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     found = jaccard_join.similar_documents(read_table(spark, folder, "documents"))
     return found.select("doc_id", "n_shingles", "component_id")
+
+
+@query
+def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    docs, items = (read_table(spark, folder, name) for name in ("documents", "benchmark"))
+    return decontaminate.overlaps(docs, items).drop("text_hash").distinct()
+
+
+@query
+def op6_vector_dups(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_dups.links(read_table(spark, folder, "embeddings"))

@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .chunks import slices
+from .sampling import hashed_sample
 from .tokens import words_of
 
 WORD_BUCKETS, PREFIX_BUCKETS = 1 << 15, 1 << 14
@@ -150,12 +151,11 @@ class Model:
 
 
 def sample(docs: DataFrame, labels: DataFrame, learn: Column, label: str, rows: int, chars: int) -> DataFrame:
-    """(id, text, lang, label): at most ``rows`` labelled rows of each label, those of smallest hashed id."""
+    """(id, text, lang, label): about ``rows`` labelled rows of each label at most, those of smallest hashed id."""
     known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(label).alias("label"))
     known = known.where(learn)
     texts = docs.where(F.length("text") <= chars).select("doc_id", "text", "lang")
-    order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    parts = [known.where(F.col("label") == x).orderBy(*order).limit(rows) for x in (0, 1)]
+    parts = [hashed_sample(known.where(F.col("label") == x), "doc_id", rows) for x in (0, 1)]
     chosen = parts[0].unionByName(parts[1])
     return texts.join(F.broadcast(chosen), "doc_id")
 
