@@ -38,12 +38,13 @@ class SeenTable(dict):
         self.segment, self.entries = segment, entries
 
     def cover(self, chunks: list) -> None:
-        new = [c for c in dict.fromkeys(chunks) if c not in self]
+        wanted = set(chunks)
+        new = list(wanted.difference(self))
         if not new:
             return
         if len(self) + len(new) > self.entries and len(self):
             self.clear()
-            new = list(dict.fromkeys(chunks))
+            new = list(wanted)
         self.update(zip(new, self.segment(new)))
 
 

@@ -1,9 +1,10 @@
-"""SentencePiece ids of whole texts, and texts of ids, through a table of distinct chunks.
+"""SentencePiece ids of whole texts through a table of distinct chunks, and texts of ids.
 
 Where no piece holds a white-space marker after another character, no merge can cross the start of a marked word: each
 marked word (its run of markers and what follows up to the next) is segmented on its own, once per table, and the ids are
 joined back by position. The table of a task is bounded; a word met again after it was emptied is segmented again. Nothing
-is shuffled: the words of a text stay where the text is.
+is shuffled: the words of a text stay where the text is. Decoding joins the surfaces of the ids; texts with bytes of
+longer characters, unknown ids or a control id in front go through the library.
 
 Null and empty texts have no ids but the end id, and decode to an empty text. Rows come back one to one, repeated rows
 and null ids included; other columns of the input are not looked at.
@@ -12,6 +13,7 @@ and null ids included; other columns of the input are not looked at.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -54,13 +56,30 @@ def marked_words(text: str) -> list[str]:
     return [run[1:] for run in _RUNS.findall(MARK + text.replace(" ", MARK))]
 
 
+def surfaces(sp: sentencepiece.SentencePieceProcessor) -> tuple[list[str], np.ndarray]:
+    """What each id decodes to after a text's first, and which ids need the library: the bytes of longer characters."""
+    texts, rest = [], np.zeros(sp.get_piece_size(), bool)
+    for i in range(len(rest)):
+        piece = sp.id_to_piece(i)
+        if sp.is_byte(i):
+            value = int(piece[1:-1], 16)
+            texts.append(chr(value) if value < 128 else "")
+            rest[i] = value >= 128 or value == 32
+        elif sp.is_control(i):
+            texts.append("")
+        else:
+            texts.append(piece.replace(MARK, " "))
+            rest[i] = sp.is_unknown(i) or sp.is_unused(i)
+    return texts, rest
+
+
 def encode(docs: DataFrame, model: str, *, id_col: str = "doc_id", text_col: str = "text", end_id: bool = True) -> DataFrame:
     """(id, ids array<int>) of each row's whole text."""
     check_model(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sp = processor(model)
-        table = SeenTable(lambda words: [np.array(x, dtype="<i4").tobytes() for x in sp.encode(words, num_threads=1)])
+        table = SeenTable(lambda words: [array("i", x).tobytes() for x in sp.encode(words, num_threads=1)])
         end = np.array([sp.eos_id()] if end_id else [], dtype="<i4").tobytes()
         for batch in slices(batches, "text"):
             texts = [marked_words(t.decode()) for t in utf8(batch.column("text"))]
@@ -74,29 +93,28 @@ def encode(docs: DataFrame, model: str, *, id_col: str = "doc_id", text_col: str
 
 
 def decode(encoded: DataFrame, model: str, *, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
-    """(id, ids, decoded) of each row's ids; distinct runs of ids from one marker to the next are decoded once."""
+    """(id, ids, decoded) of each row's ids. Null ids decode to an empty text."""
     check_model(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sp = processor(model)
-        opens = np.array([sp.id_to_piece(i).startswith(MARK) for i in range(sp.get_piece_size())])
-        table = SeenTable(lambda runs: sp.decode([np.frombuffer(r, dtype="<i4").tolist() for r in runs]))
+        surface, rest = surfaces(sp)
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
                 lists = part.column("ids")
-                flat = lists.flatten().fill_null(sp.unk_id()).to_numpy(zero_copy_only=False).astype("<i4")
+                flat = lists.flatten().fill_null(sp.unk_id()).to_numpy(zero_copy_only=False)
                 sizes = pc.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False)
-                raw = flat.tobytes()
-                docs, to = [], 0
-                for size in sizes.tolist():
-                    at_id, to = to, to + size
-                    cuts = (np.flatnonzero(opens[flat[at_id:to]]) + at_id).tolist()
-                    marked = bool(cuts) and cuts[0] == at_id
-                    edges = [*([] if marked else [at_id]), *cuts, to]
-                    docs.append(([raw[4 * a:4 * b] for a, b in zip(edges, edges[1:])], marked))
-                table.cover([r for runs, _ in docs for r in runs])
-                texts = [" ".join(map(table.__getitem__, runs)) for runs, _ in docs]
+                ends = np.concatenate([[0], np.cumsum(sizes)])
+                odd = np.concatenate([[0], np.cumsum(rest[flat])])
+                texts = []
+                for a, b in zip(ends.tolist(), ends[1:].tolist()):
+                    ids = flat[a:b].tolist()
+                    if odd[a] != odd[b] or (ids and sp.is_control(ids[0])):
+                        texts.append(sp.decode(ids))
+                    else:
+                        text = "".join(map(surface.__getitem__, ids))
+                        texts.append(text[1:] if text[:1] == " " else text)
                 yield pa.record_batch([part.column("id"), lists, pa.array(texts, pa.string())], names=["id", "ids", "decoded"])
 
     kind = encoded.schema[id_col].dataType.simpleString()
