@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..session import written
 from .chunks import slices
 from .filters import key_filter, passes
-from .links import connect, similar
+from .links import at_least, connect, verified
 from .sampling import most_counted
 from .tokens import mix, shingles_of, words_of
 
@@ -163,7 +163,7 @@ def similar_documents(
         pairs = written(pairs, "pairs")
         if "all" not in sets:
             sets["all"] = _sets_of(texts, members, width)
-        return similar(pairs, sets["all"], percent)
+        return verified(pairs, sets["all"], at_least(percent))
 
     roots = connect(members, ["n", "place"], may_link, check)
     joined = known.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))

@@ -21,10 +21,25 @@ from .components import components
 STAR_ROUNDS = 4
 
 
-def similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those (a, b) whose sets have 100 * intersection >= percent * union. ``sets``: node, items (sorted distinct uint64)."""
-    left = sets.select(F.col("node").alias("a"), F.col("items").alias("x"))
-    right = sets.select(F.col("node").alias("b"), F.col("items").alias("y"))
+def at_least(percent: int) -> Callable[[np.ndarray, np.ndarray], bool]:
+    """Whether two sorted sets have 100 * intersection >= percent * union."""
+
+    def decide(x: np.ndarray, y: np.ndarray) -> bool:
+        if len(x) > len(y):
+            x, y = y, x
+        if not len(x) or 100 * len(x) < percent * len(y):
+            return False
+        at = np.minimum(np.searchsorted(y, x), len(y) - 1)
+        common = int((y[at] == x).sum())
+        return 100 * common >= percent * (len(x) + len(y) - common)
+
+    return decide
+
+
+def verified(pairs: DataFrame, nodes: DataFrame, decide: Callable[[np.ndarray, np.ndarray], bool]) -> DataFrame:
+    """Those (a, b) whose items are close enough. ``nodes``: node, items (uint64 as bytes)."""
+    left = nodes.select(F.col("node").alias("a"), F.col("items").alias("x"))
+    right = nodes.select(F.col("node").alias("b"), F.col("items").alias("y"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -32,11 +47,7 @@ def similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             for i in range(batch.num_rows):
                 x = np.frombuffer(batch.column("x")[i].as_buffer(), np.uint64)
                 y = np.frombuffer(batch.column("y")[i].as_buffer(), np.uint64)
-                if len(x) > len(y):
-                    x, y = y, x
-                at = np.searchsorted(y, x)
-                common = int((y[np.minimum(at, len(y) - 1)] == x).sum()) if len(y) else 0
-                if 100 * common >= percent * (len(x) + len(y) - common) and common:
+                if decide(x, y):
                     keep.append(i)
             yield batch.select(["a", "b"]).take(pa.array(keep, pa.int64()))
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import configure, fresh_dir
 from ..sources.tables import read_table
-from . import decontaminate, id_store, jaccard_join, pii, piece_codec, quality, toxicity, vector_dups
+from . import decontaminate, id_store, jaccard_join, paragraphs, pii, piece_codec, quality, toxicity, vector_dups
 
 TOKENIZERS = "/opt/tokenizers"
 
@@ -98,3 +98,9 @@ def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op6_vector_dups(spark: SparkSession, folder: str) -> DataFrame:
     return vector_dups.links(read_table(spark, folder, "embeddings"))
+
+
+@query
+def op9_paragraph_dups(spark: SparkSession, folder: str) -> DataFrame:
+    found = paragraphs.repeated(read_table(spark, folder, "documents"))
+    return found.select("doc_id", "start", "n_words", "cluster", "kept")
