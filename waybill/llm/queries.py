@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import configure, fresh_dir
 from ..sources.tables import read_table
-from . import decontaminate, id_store, jaccard_join, paragraphs, pii, piece_codec, quality, toxicity, vector_dups
+from . import decontaminate, id_store, jaccard_join, lm_scoring, paragraphs, pii, piece_codec, quality, toxicity, vector_dups
 
 TOKENIZERS = "/opt/tokenizers"
 
@@ -104,3 +104,10 @@ def op6_vector_dups(spark: SparkSession, folder: str) -> DataFrame:
 def op9_paragraph_dups(spark: SparkSession, folder: str) -> DataFrame:
     found = paragraphs.repeated(read_table(spark, folder, "documents"))
     return found.select("doc_id", "start", "n_words", "cluster", "kept")
+
+
+@query
+def op1_lm_score(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    scored = lm_scoring.score(docs, remainder(7) != 2)
+    return scored.select("doc_id", (remainder(7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
