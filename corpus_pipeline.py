@@ -1,15 +1,59 @@
-"""Corpus preparation: stages over the documents, each written as Parquet and read again as the next one's input."""
+"""Corpus preparation: stages over the documents, each written as Parquet and read again as the next one's input.
+
+A row is known by its id and a hash of its text, null ids included. Every stage but the last returns the columns of its
+input. Rows that a stage has nothing against stay as they are.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from waybill.llm import piece_codec
-from waybill.llm.queries import TOKENIZERS
-from waybill.session import configure, fresh_dir
+from waybill.llm import decontaminate, jaccard_join, pii, piece_codec, toxicity
+from waybill.llm.queries import TOKENIZERS, remainder
+from waybill.session import configure, fresh_dir, written
 from waybill.sources.tables import read_table
 
 MODEL = f"{TOKENIZERS}/piece_bpe_32k.model"
+SHINGLE_WORDS, PERCENT = 5, 80
+
+
+def without(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that are not among ``found`` (doc_id, text_hash)."""
+    keys = found.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
+    same = docs["doc_id"].eqNullSafe(keys["__id"]) & (F.xxhash64(docs["text"]) == keys["__hash"])
+    return docs.join(keys, same, "left_anti")
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Leaves out the documents whose score reaches the threshold of their language."""
+    model = toxicity.train(docs, read_table(spark, sf_dir, "labels"), remainder(3) != 1)
+    return toxicity.score(docs, model, into="__toxicity").where("not __toxicity.toxic").select(*docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents connected by similar sets of shingles, the one of least id stays; of repeated rows, one."""
+    found = written(jaccard_join.similar_documents(docs, width=SHINGLE_WORDS, percent=PERCENT), "near-copies")
+    order = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_hash")
+    # empty texts are linked with nothing
+    linked = found.where("n_shingles > 0")
+    first = linked.groupBy("root").agg(F.min(order).alias("first"))
+    more = linked.join(first, "root").where(order != F.col("first"))
+    rest = without(docs, more).withColumn("__hash", F.xxhash64("text"))
+    return rest.dropDuplicates(["doc_id", "__hash"]).select(*docs.columns)
+
+
+def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Leaves out the documents that hold a passage of the benchmark."""
+    return without(docs, decontaminate.overlaps(docs, read_table(spark, sf_dir, "benchmark")))
+
+
+def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Puts the kind in place of every span of personal data."""
+    clean = pii.redact(pii.find(docs, into="__spans"), spans_col="__spans")
+    if "n_chars" in docs.columns:
+        changed = F.size("__spans") > 0
+        clean = clean.withColumn("n_chars", F.when(changed, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
+    return clean.select(*docs.columns)
 
 
 def piece_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -18,8 +62,14 @@ def piece_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_copies", drop_near_copies),
+    ("benchmark", drop_benchmark),
+    ("personal_data", hide_personal_data),
     ("piece_ids", piece_ids),
 ]
+
+# the first stage is a trained model: no SQL
 ORACLE_SQL = None
 
 

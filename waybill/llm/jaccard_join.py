@@ -105,19 +105,20 @@ def prefixes(shingles: np.ndarray, ends: np.ndarray, frequent: np.ndarray, perce
 def similar_documents(
     docs: DataFrame, *, width: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
-    """One row per document: id, node (equal for equal sets), n_shingles, component_id (the least id connected)."""
+    """One row per document: id, text_hash, n_shingles, component_id (the least id connected), root (one per component)."""
     spark = docs.sparkSession
-    texts = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
+    texts = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"), F.xxhash64(docs[text_col]).alias("text_hash"))
 
     def classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             shingles, ends = distinct_sets(batch.column("text"), width)
             yield pa.record_batch(
-                [batch.column("id"), pa.array(node_ids(shingles, ends)), pa.array(np.diff(ends))], names=["id", "node", "n_shingles"]
+                [batch.column("id"), batch.column("text_hash"), pa.array(node_ids(shingles, ends)), pa.array(np.diff(ends))],
+                names=["id", "text_hash", "node", "n_shingles"],
             )
 
     kind = texts.schema["id"].dataType.simpleString()
-    known = written(texts.mapInArrow(classes, f"id {kind}, node bigint, n_shingles bigint"), "sets")
+    known = written(texts.mapInArrow(classes, f"id {kind}, text_hash bigint, node bigint, n_shingles bigint"), "sets")
     frequent = spark.sparkContext.broadcast(frequent_shingles(texts, width))
 
     def first_look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,7 +172,7 @@ def similar_documents(
     out = joined.join(least, "root", "left").withColumn(
         "component_id", F.when((F.col("n_shingles") > 0) & F.col("id").isNotNull(), F.col("component_id")).otherwise(F.col("id"))
     )
-    return out.select(F.col("id").alias(id_col), "node", "n_shingles", "component_id")
+    return out.select(F.col("id").alias(id_col), "text_hash", "n_shingles", "component_id", "root")
 
 
 def _sets_of(texts: DataFrame, members: DataFrame, width: int) -> DataFrame:
