@@ -38,8 +38,10 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     linked = found.where("n_shingles > 0")
     first = linked.groupBy("root").agg(F.min(order).alias("first"))
     more = linked.join(first, "root").where(order != F.col("first"))
-    rest = without(docs, more).withColumn("__hash", F.xxhash64("text"))
-    return rest.dropDuplicates(["doc_id", "__hash"]).select(*docs.columns)
+    name = "text_hash"
+    while name in docs.columns:
+        name += "_"
+    return without(docs, more).withColumn(name, F.xxhash64("text")).dropDuplicates(["doc_id", name]).select(*docs.columns)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

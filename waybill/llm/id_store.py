@@ -230,7 +230,7 @@ def read(spark: SparkSession, folder: str, only: list[int] | None = None, *, dig
     dictionary are refused.
     """
     dictionary, sha = dictionary_of(spark, folder)
-    blocks = spark.read.parquet(f"{folder}/blocks")
+    blocks = spark.read.schema(_BLOCK).parquet(f"{folder}/blocks")
     # ids in the shards before: one row per shard, from the index alone
     totals = blocks.select("shard", F.aggregate("n_tokens", F.lit(0).cast("bigint"), lambda a, n: a + n).alias("n"))
     sums = totals.groupBy("shard").agg(F.sum("n").alias("n"))

@@ -21,6 +21,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -165,9 +166,7 @@ def removals(found: DataFrame, *, id_col: str = "doc_id") -> DataFrame:
 
     Words that a kept paragraph of the same text holds stay.
     """
-    def run(cells) -> object:
-        import pandas as pd
-
+    def run(cells: pd.DataFrame) -> pd.DataFrame:
         spans: list[list[int]] = []
         for start in sorted(cells.loc[~cells["kept"], "start"]):
             if spans and start <= spans[-1][1]:

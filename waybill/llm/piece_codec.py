@@ -41,7 +41,7 @@ def check_model(model: str) -> None:
     if crossing:
         raise ValueError(f"pieces cross white-space markers: {crossing[:3]}")
     probe = " a  b\t ﬁ "
-    if sp.decode(sp.encode(probe)) != probe or sp.encode(MARK + "x") != sp.encode(" x"):
+    if sp.id_to_piece(sp.piece_to_id(MARK)) != MARK or sp.decode(sp.encode(probe)) != probe or sp.encode(MARK + "x") != sp.encode(" x"):
         raise ValueError("the model changes white space or characters before segmentation")
 
 
@@ -80,10 +80,14 @@ def encode(docs: DataFrame, model: str, *, id_col: str = "doc_id", text_col: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sp = processor(model)
         table = SeenTable(lambda words: [array("i", x).tobytes() for x in sp.encode(words, num_threads=1)])
+        # a marker on its own; the library has no ids for an empty text
+        alone = array("i", [sp.piece_to_id(MARK)]).tobytes()
         end = np.array([sp.eos_id()] if end_id else [], dtype="<i4").tobytes()
         for batch in slices(batches, "text"):
             texts = [marked_words(t.decode()) for t in utf8(batch.column("text"))]
             table.cover([w for words in texts for w in words])
+            if "" in table:
+                table[""] = alone
             found = [b"".join(map(table.__getitem__, words)) + end for words in texts]
             yield pa.record_batch([batch.column("id"), lists_of(found, pa.int32())], names=["id", "ids"])
 

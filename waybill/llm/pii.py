@@ -126,18 +126,17 @@ def _matches(kind: str, text: Column) -> Column:
     none = F.array().cast("array<struct<start:int,rank:int,end:int,kind:string,score:double>>")
     hint = text.contains(_HINT[kind]) if _HINT[kind] else F.lit(True)
     if kind != "email":
-        hint = F.col("__digits") & hint
+        hint = F.col("digits") & hint
     return F.when(hint, F.when(F.size(found) > 0, out).otherwise(none)).otherwise(none)
 
 
 def find(docs: DataFrame, *, text_col: str = "text", into: str = "pii_spans") -> DataFrame:
     """The rows with a column of spans, by start and then kind: array<struct<start, rank, end, kind, score>>."""
-    text = F.coalesce(F.col("__text"), F.lit(""))
-    names = [c for c in docs.columns if c != into]
-    rows = docs.select(*[docs[c] for c in names], docs[text_col].alias("__text"))
-    rows = rows.withColumn("__digits", text.rlike("[0-9]"))
-    spans = F.array_sort(F.concat(*[_matches(k, text) for k in KINDS]))
-    return rows.select(*[F.col(f"`{c}`") for c in names], spans.alias(into))
+    others = [docs[f"`{c}`"] for c in docs.columns if c != into]
+    rows = docs.select(F.struct(*others).alias("row"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
+    rows = rows.withColumn("digits", F.col("text").rlike("[0-9]"))
+    spans = F.array_sort(F.concat(*[_matches(k, F.col("text")) for k in KINDS]))
+    return rows.select("row.*", spans.alias(into))
 
 
 def redact(found: DataFrame, *, text_col: str = "text", spans_col: str = "pii_spans") -> DataFrame:

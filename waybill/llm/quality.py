@@ -18,6 +18,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from .chunks import slices
 from .sampling import hashed_sample
@@ -165,8 +166,8 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, *, label: str = "qu
 def score(docs: DataFrame, net: Network, *, text_col: str = "text", into: str = "quality_score") -> DataFrame:
     """The rows with a column of the probability of label 1."""
     shared = docs.sparkSession.sparkContext.broadcast(net)
-    others = [c for c in docs.columns if c != into]
-    rows = docs.select(F.struct(*[docs[c] for c in others]).alias("row"), docs[text_col].alias("text"))
+    others = [docs[f"`{c}`"] for c in docs.columns if c != into]
+    rows = docs.select(F.struct(*others).alias("row"), docs[text_col].alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
@@ -174,6 +175,5 @@ def score(docs: DataFrame, net: Network, *, text_col: str = "text", into: str =
         for batch in slices(batches, "text", SLICE):
             yield pa.record_batch([batch.column("row"), pa.array(own.score(batch.column("text"), tables), pa.float64())], names=["row", "score"])
 
-    kind = rows.schema["row"].dataType.simpleString()
-    scored = rows.mapInArrow(run, f"row {kind}, score double")
+    scored = rows.mapInArrow(run, StructType([rows.schema["row"], StructField("score", DoubleType())]))
     return scored.select("row.*", F.col("score").alias(into))

@@ -21,6 +21,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from .chunks import slices
 from .sampling import hashed_sample
@@ -82,12 +83,14 @@ class Network:
 
     def score(self, ids: np.ndarray, ends: np.ndarray, tables: list[list[np.ndarray]]) -> np.ndarray:
         pooled = []
+        # a filter begins at a word, or at the first blank after the last: it never reaches the next text
+        inside = np.stack([ends[:-1], ends[1:] - _GAP + 1], axis=1).ravel()
         for per_place in tables:
             r = per_place[0][ids[0]] + per_place[0][ids[1]]
             for j in range(1, len(per_place)):
                 r[:-j] += per_place[j][ids[0, j:]]
                 r[:-j] += per_place[j][ids[1, j:]]
-            pooled.append(np.maximum(np.maximum.reduceat(r, ends[:-1], axis=0), 0))
+            pooled.append(np.maximum(np.maximum.reduceat(r, inside, axis=0)[::2], 0))
         logit = np.concatenate(pooled, axis=1) @ self.weights + self.bias
         return 1 / (1 + np.exp(-np.clip(logit.astype(np.float64), -30, 30)))
 
@@ -108,7 +111,7 @@ def fit(texts: list[np.ndarray], labels: np.ndarray, *, epochs: int = 8, batch:
             ids = np.concatenate([texts[i] for i in chosen], axis=1)
             cuts = np.cumsum([0, *(texts[i].shape[1] for i in chosen)])
             r = net.responses(ids)
-            peak = np.stack([r[a:b].argmax(axis=0) + a for a, b in zip(cuts, cuts[1:])])
+            peak = np.stack([r[a:b - _GAP + 1].argmax(axis=0) + a for a, b in zip(cuts, cuts[1:])])
             top = np.take_along_axis(r, peak, axis=0)
             f = np.maximum(top, 0)
             p = 1 / (1 + np.exp(-np.clip(f @ net.weights + net.bias, -30, 30)))
@@ -205,8 +208,8 @@ def score(docs: DataFrame, model: Model, *, text_col: str = "text", lang_col: st
     """The rows with a column struct<score, threshold, toxic>."""
     spark = docs.sparkSession
     net = spark.sparkContext.broadcast(model.network)
-    others = [c for c in docs.columns if c != into]
-    rows = docs.select(F.struct(*[docs[c] for c in others]).alias("row"), docs[text_col].alias("text"))
+    others = [docs[f"`{c}`"] for c in docs.columns if c != into]
+    rows = docs.select(F.struct(*others).alias("row"), docs[text_col].alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = net.value
@@ -215,10 +218,9 @@ def score(docs: DataFrame, model: Model, *, text_col: str = "text", lang_col: st
             ids, ends = word_ids(batch.column("text"))
             yield pa.record_batch([batch.column("row"), pa.array(own.score(ids, ends, tables), pa.float64())], names=["row", "score"])
 
-    kind = rows.schema["row"].dataType.simpleString()
-    scored = rows.mapInArrow(run, f"row {kind}, score double")
+    scored = rows.mapInArrow(run, StructType([rows.schema["row"], StructField("score", DoubleType())]))
     threshold = F.lit(model.thresholds[None])
     for lang, t in sorted((k, v) for k, v in model.thresholds.items() if k is not None):
-        threshold = F.when(F.col(f"row.{lang_col}") == lang, t).otherwise(threshold)
+        threshold = F.when(F.col("row")[lang_col] == lang, t).otherwise(threshold)
     result = F.struct(F.col("score"), threshold.alias("threshold"), (F.col("score") >= threshold).alias("toxic"))
     return scored.select("row.*", result.alias(into))
