@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .lookup import fits_broadcast
-
 # Fixed value: stands for "no upper bound" while ranges are compared.
 UNBOUNDED = "9999999999.99"
 RANGE_TYPE = "decimal(12,2)"
 
-# A nested-loop lookup compares each fact with each range, so it is run over this many at a time.
-RANGES_PER_PASS = 1_000
+# Ranges and values are compared within buckets of their order, at most this many.
+BUCKETS = 256
+
+
+class OverlappingRanges(ValueError):
+    """Ranges of which more than one may hold a value."""
 
 
 def _upper() -> Column:
@@ -19,65 +21,79 @@ def _upper() -> Column:
 
 
 def range_lookup(facts: DataFrame, value: str, ranges: DataFrame, columns: list[str], prefix: str) -> DataFrame:
-    """Left join each fact to the one range that holds its value.
+    """Left join each fact to the one range that holds its value; overlapping ranges are refused.
 
-    ``ranges`` must not overlap (see :func:`overlaps`), so a fact has at most one match. A table of
-    measured small size is one broadcast nested loop. A larger one is cut into slices that are looked
-    up in turn; the matches are disjoint, so taking the first non-NULL of them is exact.
+    The distinct values of the facts are laid among the lower bounds, and the last range that begins
+    at or below a value is carried forward to it: within buckets of values, and from bucket to bucket
+    through one row per bucket. Facts get their range by equality of the value. No fact is compared
+    with every range, however many there are.
     """
-    payload = ranges.select(
-        F.col("range_min").alias("__lo"), F.col("range_max").alias("__hi"),
-        F.struct(*columns).alias("__match"),
+    named = ranges.select("range_min", "range_max", F.struct(*columns).alias("__match"))
+    clash = overlaps(named.withColumn("__row", F.to_json("__match")), [], "__row").limit(1).collect()
+    if clash:
+        raise OverlappingRanges(f"a range from {clash[0]['range_min']} begins before {clash[0]['reached']}, where another ends")
+    kind = facts.schema[value].dataType
+    values = facts.where(F.col(value).isNotNull()).select(F.col(value).alias("__at")).distinct()
+    held = F.struct(F.col("range_max").alias("high"), "__match").alias("__held")
+    begins = named.select(F.col("range_min").alias("__at"), F.lit(0).alias("__order"), held)
+    empty = F.lit(None).cast(begins.schema["__held"].dataType)
+    events = begins.unionByName(values.select("__at", F.lit(1).alias("__order"), empty.alias("__held")))
+    bounds = _bounds(events, "__at")
+    events = events.withColumn("__bucket", _bucket("__at", bounds))
+    within = Window.partitionBy("__bucket").orderBy("__at", "__order").rowsBetween(Window.unboundedPreceding, 0)
+    carried = events.withColumn("__own", F.last("__held", ignorenulls=True).over(within)).where("__order = 1")
+    tops = begins.withColumn("__bucket", _bucket("__at", bounds)).groupBy("__bucket").agg(F.max(F.struct("__at", "__held")).alias("__top"))
+    buckets = events.select("__bucket").distinct().join(tops, "__bucket", "left")
+    earlier = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    before = buckets.select("__bucket", F.last("__top", ignorenulls=True).over(earlier).getField("__held").alias("__before"))
+    found = F.coalesce("__own", "__before")
+    high = F.col("__found.high")
+    resolved = (
+        carried.join(F.broadcast(before), "__bucket").select(F.col("__at").cast(kind).alias(value), found.alias("__found"))
+        .where(high.isNull() | (F.col(value) < high)).select(value, "__found.__match")
     )
-
-    def one_pass(rows: DataFrame, part: DataFrame) -> DataFrame:
-        v = F.col(value)
-        inside = (v >= F.col("__lo")) & (F.col("__hi").isNull() | (v < F.col("__hi")))
-        return rows.join(F.broadcast(part), inside, "left").drop("__lo", "__hi")
-
-    if fits_broadcast(payload, RANGES_PER_PASS):
-        joined = one_pass(facts, payload)
-    else:
-        slices = -(-payload.count() // (RANGES_PER_PASS // 2))
-        slot = F.pmod(F.xxhash64("__lo", "__hi"), F.lit(slices))
-        joined = facts.withColumn("__found", F.lit(None).cast(payload.schema["__match"].dataType))
-        for i in range(slices):
-            joined = (
-                one_pass(joined, payload.where(slot == i))
-                .withColumn("__found", F.coalesce("__found", "__match"))
-                .drop("__match")
-            )
-        joined = joined.withColumnRenamed("__found", "__match")
+    joined = facts.join(resolved, value, "left")
     return joined.select(
         *[F.col(c) for c in facts.columns], *[F.col(f"__match.{c}").alias(f"{prefix}{c}") for c in columns]
     )
 
 
-def _bucket(width: int) -> Column:
-    return F.floor(F.col("range_min") / F.lit(width)).alias("__bucket")
+def _bounds(rows: DataFrame, column: str) -> list:
+    """Quantiles of a column, as values; a plan that cuts two tables uses one list for both."""
+    shares = ", ".join(f"{i / BUCKETS}D" for i in range(1, BUCKETS))
+    found = rows.agg(F.expr(f"percentile_approx(`{column}`, array({shares}), 10000)")).head()[0]
+    return sorted(set(found or []))
+
+
+def _bucket(column: str, bounds: list) -> Column:
+    """How many bounds are at or below the column."""
+    above = F.lit(0)
+    for part in range(0, len(bounds), 64):
+        above = above + F.size(F.filter(F.array(*[F.lit(b) for b in bounds[part:part + 64]]), lambda b: b <= F.col(column)))
+    return above
 
 
-def overlaps(ranges: DataFrame, keys: list[str], row_id: str, *, bucket_width: int = 10_000) -> DataFrame:
+def overlaps(ranges: DataFrame, keys: list[str], row_id: str) -> DataFrame:
     """Each range that begins before an earlier one of its group has ended.
 
     One row per offending range, with the farthest end among the ranges before it (NULL = unbounded),
     instead of all overlapping pairs. Ranges with the same lower bound are ordered by ``row_id``.
 
-    A group may be large, so it is cut into buckets by lower bound: a running maximum within the
-    bucket is joined with the running maximum over the earlier buckets' summaries.
+    A group may be large, so it is cut into buckets by the quantiles of all lower bounds: a running
+    maximum within the bucket is joined with the running maximum over the earlier buckets' summaries.
     """
-    rows = ranges.withColumn("__bucket", _bucket(bucket_width)).withColumn("__upper", _upper())
+    rows = ranges.withColumn("__bucket", _bucket("range_min", _bounds(ranges, "range_min"))).withColumn("__upper", _upper())
     inner = Window.partitionBy(*keys, "__bucket").orderBy("range_min", row_id)
-    rows = rows.withColumn("__within", F.max("__upper").over(inner.rowsBetween(Window.unboundedPreceding, -1)))
+    marked = rows.withColumn("__within", F.max("__upper").over(inner.rowsBetween(Window.unboundedPreceding, -1)))
     outer = Window.partitionBy(*keys).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     before = (
-        ranges.groupBy(*keys, _bucket(bucket_width))
-        .agg(F.max(_upper()).alias("__top"))
+        rows.groupBy(*keys, "__bucket")
+        .agg(F.max("__upper").alias("__top"))
         .select(*keys, "__bucket", F.max("__top").over(outer).alias("__before"))
     )
     reach = F.greatest(F.col("__within"), F.col("__before"))
     return (
-        rows.join(before, [*keys, "__bucket"])
+        marked.join(before, [*keys, "__bucket"])
         .where(reach > F.col("range_min"))
         .select(
             *keys, row_id, "range_min", "range_max",
@@ -86,20 +102,20 @@ def overlaps(ranges: DataFrame, keys: list[str], row_id: str, *, bucket_width: i
     )
 
 
-def gaps(ranges: DataFrame, keys: list[str], row_id: str, *, bucket_width: int = 10_000) -> DataFrame:
+def gaps(ranges: DataFrame, keys: list[str], row_id: str) -> DataFrame:
     """Values between a range's end and the next range's start, which no range covers."""
-    rows = ranges.withColumn("__bucket", _bucket(bucket_width))
+    rows = ranges.withColumn("__bucket", _bucket("range_min", _bounds(ranges, "range_min")))
     inner = Window.partitionBy(*keys, "__bucket").orderBy("range_min", row_id)
-    rows = rows.withColumn("__next", F.lead("range_min").over(inner))
+    marked = rows.withColumn("__next", F.lead("range_min").over(inner))
     outer = Window.partitionBy(*keys).orderBy("__bucket")
     after = (
-        ranges.groupBy(*keys, _bucket(bucket_width))
+        rows.groupBy(*keys, "__bucket")
         .agg(F.min("range_min").alias("__first"))
         .select(*keys, "__bucket", F.lead("__first").over(outer).alias("__after"))
     )
     following = F.coalesce("__next", "__after")
     return (
-        rows.join(after, [*keys, "__bucket"])
+        marked.join(after, [*keys, "__bucket"])
         .where(F.col("range_max") < following)
         .select(*keys, F.col("range_max").alias("gap_start"), following.alias("gap_end"))
     )

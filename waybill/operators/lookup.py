@@ -7,14 +7,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..session import written
 
 BROADCAST_ROWS = 200_000
-SALTS = 32
+BROADCAST_BYTES = 64 << 20
 
-_SALT = "__salt"
 
-
-def fits_broadcast(dim: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Counts at most ``max_rows`` + 1 rows; nothing is brought to the driver but the number."""
-    return dim.limit(max_rows + 1).count() <= max_rows
+def fits_broadcast(dim: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Rows and bytes as text, by a plain aggregate: each task sends one row."""
+    size = F.sum(F.length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in dim.columns]))))
+    found = dim.agg(F.count(F.lit(1)).alias("rows"), size.alias("bytes")).head()
+    return found["rows"] <= max_rows and (found["bytes"] or 0) <= max_bytes
 
 
 def lookup_join(
@@ -30,21 +30,15 @@ def lookup_join(
     """Join facts to a reference table with one row per key.
 
     Reference keys are few and uneven (one charge name may be a third of all rows), so shuffling the
-    facts on them is never right. A table that is measured small is broadcast. A larger one is copied
-    once per salt and joined on key plus salt, so that a hot key is spread over ``SALTS`` tasks.
+    facts on them is avoided while the table is measured small: then it is broadcast. A larger one is
+    joined by equality; adaptive execution splits the partitions of hot keys.
 
     ``derived`` marks a table that is itself computed from the facts: it is written first, so that
     measuring and joining it do not compute it twice.
     """
     if derived:
         dim = written(dim, "lookup")
-    if fits_broadcast(dim, max_rows):
-        return _join(facts, F.broadcast(dim), keys, how, null_safe)
-    salted_dim = dim.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salted_facts = facts.withColumn(
-        _SALT, F.pmod(F.xxhash64(*[F.col(c) for c in facts.columns]), F.lit(SALTS)).cast("int")
-    )
-    return _join(salted_facts, salted_dim, [*keys, _SALT], how, null_safe).drop(_SALT)
+    return _join(facts, F.broadcast(dim) if fits_broadcast(dim, max_rows) else dim, keys, how, null_safe)
 
 
 def _join(left: DataFrame, right: DataFrame, keys: list[str], how: str, null_safe: bool) -> DataFrame:

@@ -10,7 +10,11 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 from ..sources.store import Store
 
 RESULT_SCHEMA = "job string, status string, rows_by_table map<string,bigint>, message string"
-ERROR_SCHEMA = "job string, error_type string, message string, location string"
+# number, severity and state are those of a raised user error
+ERROR_SCHEMA = (
+    "job string, error_type string, error_number int, severity int, state int, message string, location string, line int"
+)
+USER_ERROR = (50000, 16, 1)
 
 
 def publish_counted(
@@ -36,7 +40,7 @@ def run_job(spark: SparkSession, store: Store, job: str, body: Callable[[], dict
         counts = body()
     except Exception as error:
         last = traceback.extract_tb(error.__traceback__)[-1]
-        row = [(job, type(error).__name__, str(error)[:4000], f"{last.name}:{last.lineno}")]
+        row = [(job, type(error).__name__, *USER_ERROR, str(error), last.name, last.lineno)]
         record = spark.createDataFrame(row, ERROR_SCHEMA).withColumn("error_time", run_ts)
         store.publish(append={"errors": record})
         raise

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -34,22 +35,33 @@ def configure(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by the cluster.
 
-    Only a session that names none (tests, one machine) gets a folder of its own.
+    A session on one machine that names none gets a folder of its own; on a cluster the name is required.
     """
     global _fallback_dir
     named = spark.conf.get(_CHECKPOINT_SETTING, None) or spark.sparkContext.getConf().get(_CHECKPOINT_SETTING)
     if named:
         return named.rstrip("/")
+    master = spark.sparkContext.master
+    if not re.fullmatch(r"local(\[[^-]*\])?", master):
+        raise RuntimeError(f"set {_CHECKPOINT_SETTING} to a folder that all executors of {master} share")
     if _fallback_dir is None:
         _fallback_dir = tempfile.mkdtemp(prefix="waybill-")
+        remove_at_exit(spark, _fallback_dir)
     return _fallback_dir
 
 
+def remove_at_exit(spark: SparkSession, folder: str) -> None:
+    """Have the file system delete a folder of intermediate data when the application ends."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+
+
 def written(frame: DataFrame, label: str) -> DataFrame:
     """The frame as a table in the shared folder: computed once, and kept when executors are lost."""
     spark = frame.sparkSession
     folder = fresh_dir(spark, label)
     frame.write.parquet(folder)
+    remove_at_exit(spark, folder)
     return spark.read.schema(frame.schema).parquet(folder)
 
 

@@ -146,7 +146,8 @@ def _(spark, folder):
     return result.select("job", "status", *[F.col("rows_by_table")[t].alias(t) for t in ("bills", "lines", "charges")])
 
 
-@query("error_log", None)
+@query("error_log", "SELECT 'load easypost' AS job, 'NumberFormatException' AS error_type, 50000 AS error_number, 16 AS severity, 1 AS state, "
+       "true AS names_the_value, TIMESTAMP '2026-01-01' AS error_time FROM (SELECT count(*) FROM lineitem) t")
 def _(spark, folder):
     store = Store(spark, fresh_dir(spark, "store"))
 
@@ -158,7 +159,9 @@ def _(spark, folder):
         run_job(spark, store, "load easypost", fails, run_ts())
     except Exception:  # recorded by the run
         pass
-    return store.read("errors").select("job", "error_type", "error_time")
+    return store.read("errors").select(
+        "job", "error_type", "error_number", "severity", "state", F.col("message").contains("CAST_INVALID_INPUT").alias("names_the_value"), "error_time"
+    )
 
 
 # --- streams -----------------------------------------------------------------------------------------------

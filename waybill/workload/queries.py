@@ -581,13 +581,13 @@ _OVERLAP = """over AS (SELECT scope, metric_type, range_id, range_min, range_max
 @query("threshold_overlaps", "WITH " + o.ctes("config_ranges") + ", " + _OVERLAP + """ SELECT scope, metric_type, range_id, range_min, range_max,
   CAST(NULLIF(reach, 9999999999.99) AS DECIMAL(12,2)) AS reached FROM over WHERE reach > range_min""")
 def _(spark, folder):
-    return overlaps(relation(spark, folder, "config_ranges"), ["scope", "metric_type"], "range_id", bucket_width=200)
+    return overlaps(relation(spark, folder, "config_ranges"), ["scope", "metric_type"], "range_id")
 
 
 @query("threshold_gaps", "WITH " + o.ctes("config_ranges") + """, nxt AS (SELECT *, lead(range_min) OVER (PARTITION BY scope, metric_type ORDER BY range_min, range_id) AS n FROM config_ranges)
 SELECT scope, metric_type, range_max AS gap_start, n AS gap_end FROM nxt WHERE range_max < n""")
 def _(spark, folder):
-    return gaps(relation(spark, folder, "config_ranges"), ["scope", "metric_type"], "range_id", bucket_width=200)
+    return gaps(relation(spark, folder, "config_ranges"), ["scope", "metric_type"], "range_id")
 
 
 _ISSUES = _OVERLAP + """, broken AS (
