@@ -21,12 +21,13 @@ def append_new(new: DataFrame, existing: DataFrame, keys: list[str], *, text_key
     return new.join(known, condition, "left_anti")
 
 
-def _key(column: str, text_keys: tuple[str, ...]) -> Column:
-    return fold(F.col(column)) if column in text_keys else F.col(column)
+def _key(column: str, text_keys: tuple[str, ...], name: str | None = None) -> Column:
+    return fold(F.col(column)) if (name or column) in text_keys else F.col(column)
 
 
 def upsert(
-    target: DataFrame, source: DataFrame, keys: list[str], *, refresh: list[str], insert_only: list[str]
+    target: DataFrame, source: DataFrame, keys: list[str], *, refresh: list[str], insert_only: list[str],
+    text_keys: tuple[str, ...] = (),
 ) -> DataFrame:
     """Source rows are inserted; matched ones overwrite ``refresh`` columns where they have a value.
 
@@ -35,7 +36,7 @@ def upsert(
     t, s = target.alias("t"), source.alias("s")
     condition = None
     for k in keys:
-        same = F.col(f"t.{k}").eqNullSafe(F.col(f"s.{k}"))
+        same = _key(f"t.{k}", text_keys, k).eqNullSafe(_key(f"s.{k}", text_keys, k))
         condition = same if condition is None else condition & same
     known = F.col("t.__in").isNotNull()
     return (

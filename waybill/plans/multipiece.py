@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions import blank_to_null
+from ..functions import blank_to_null, fold
 from ..operators.groups import HOT_ROWS, attach_group_values
 
 GROUP = ["file_id", "express_or_ground_tracking_id"]
@@ -18,8 +18,8 @@ def role(size: Column, package_id: Column, group_id: Column) -> Column:
     return (
         F.when(size == 1, "NORMAL_SINGLE")
         .when(package_id.isNull(), "MPS_HEADER")
-        .when(package_id == group_id, "MPS_PARENT")
-        .when(package_id != group_id, "MPS_CHILD")
+        .when(fold(package_id) == fold(group_id), "MPS_PARENT")
+        .when(fold(package_id) != fold(group_id), "MPS_CHILD")
         .otherwise("UNKNOWN")
     )
 

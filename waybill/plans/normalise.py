@@ -6,7 +6,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions import parse_rfc3339
+from ..functions import fold, parse_rfc3339
 from ..operators.lookup import lookup_join
 from ..operators.merge import require_unique
 from .carriers import CarrierPlan
@@ -51,7 +51,13 @@ def invoice_rollup(plan: CarrierPlan, staged: DataFrame) -> DataFrame:
     )
     shipments = F.count_distinct("shipment") if invoice.count_distinct is not None else F.sum("n")
     grain = [*keys, "account_number"] if invoice.by_account else keys
+    # one invoice however its number is spelled; few rows are left here
+    spelled = "bill_number" in grain
+    if spelled:
+        partial = partial.withColumn("__bill", fold(F.col("bill_number")))
+        grain = ["__bill" if c == "bill_number" else c for c in grain]
     bills = partial.groupBy(*grain).agg(
+        *([F.min("bill_number").alias("bill_number")] if spelled else []),
         F.sum("amount").cast("decimal(18,2)").alias("total_amount"),
         shipments.cast("int").alias("num_shipments"),
         *([] if invoice.by_account else [F.max("account_number").alias("account_number")]),
@@ -85,6 +91,7 @@ def typed_lines(
         invoice.number().alias("bill_number"),
         invoice.date().alias("bill_date"),
         *[c.alias(n) for n, c in plan.line().items()],
+        *(["arrival"] if "arrival" in staged.columns else []),
     )
 
 
@@ -121,11 +128,14 @@ def require_complete(plan: CarrierPlan, lines: DataFrame) -> DataFrame:
 
 def check_bills(bills: DataFrame) -> DataFrame:
     """Before a write: one invoice per number, day, carrier and file (two accounts on one invoice fail)."""
-    return require_unique(bills, ["carrier_id", *BILL_KEY], "invoices")
+    return require_unique(bills.withColumn("bill_number", fold(F.col("bill_number"))), ["carrier_id", *BILL_KEY], "invoices")
 
 
 def lines_with_invoice(lines: DataFrame, bills: DataFrame, columns: list[str]) -> DataFrame:
     """Lines next to columns of their invoice."""
     key: list[str] = ["carrier_id", *BILL_KEY]
     picked: list[Column] = [F.col(c) for c in columns]
-    return lookup_join(lines, bills.select(*key, *picked), key, "inner", derived=True)
+    blind = fold(F.col("bill_number"))
+    own = bills.select(*[blind.alias("__bill") if c == "bill_number" else F.col(c) for c in key], *picked)
+    keys = ["__bill" if c == "bill_number" else c for c in key]
+    return lookup_join(lines.withColumn("__bill", blind), own, keys, "inner", derived=True).drop("__bill")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import fold, not_blank
 from ..operators.groups import last_per_key
@@ -15,10 +15,16 @@ from .normalise import BILL_KEY
 
 SHIPMENT_KEY = ["carrier_id", "tracking_number"]
 CHARGE_KEY = ["carrier_id", *BILL_KEY, "tracking_number", "charge_type_id"]
+TEXT_KEYS = ("bill_number", "tracking_number")  # compared without case and trailing blanks
 MEASURES = ["destination_zone", "billed_weight_oz", "billed_length_in", "billed_width_in", "billed_height_in"]
 ATTRIBUTES = [*SHIPMENT_KEY, "shipment_date", "shipping_method", *MEASURES, "integrated_carrier_id"]
 
 
+def arrival(lines: DataFrame) -> Column:
+    """The order in which files came: the rows' own number, else their file's."""
+    return F.col("arrival" if "arrival" in lines.columns else "file_id")
+
+
 def _attribute_rows(plan: CarrierPlan, lines: DataFrame, extra: list[str]) -> DataFrame:
     a = plan.attributes
     money = "decimal(18,2)"
@@ -52,14 +58,17 @@ def shipment_attributes(
 ) -> DataFrame:
     """One row per shipment of the carrier, from all files in ``lines``.
 
-    Several lines of one shipment agree on one row: the latest by date, then the greatest value.
+    The first file to name a shipment decides, so it does not matter which files are loaded together.
+    Several lines of it in that file agree on one row: the latest by date, then the greatest value.
     """
     if plan is UPS:
         return _merge_files(_consolidate(plan, lines))
     if plan is FEDEX:
         lines = multipiece.packages(lines)
-    rows = _attribute_rows(plan, lines, ["integrated_carrier"] if plan.integrated else [])
-    one = last_per_key(rows, [F.col("carrier_id"), fold(F.col("tracking_number"))], ["shipment_date"])
+    extra = ["integrated_carrier"] if plan.integrated else []
+    rows = _attribute_rows(plan, lines, [*extra, (-arrival(lines)).alias("__earliness")])
+    one = last_per_key(rows, [F.col("carrier_id"), fold(F.col("tracking_number"))], ["__earliness", "shipment_date"])
+    one = one.drop("__earliness")
     if not plan.integrated:
         return one.withColumn("integrated_carrier_id", F.lit(None).cast("int"))
     keyed = one.withColumns(
@@ -71,19 +80,25 @@ def shipment_attributes(
 
 def _consolidate(plan: CarrierPlan, lines: DataFrame) -> DataFrame:
     """Charge rows of one shipment and file to one row: the greatest value of each attribute."""
-    rows = _attribute_rows(plan, lines, ["file_id"])
-    return rows.groupBy("carrier_id", "file_id", "tracking_number").agg(
-        *[F.max(c).alias(c) for c in ("shipment_date", "shipping_method", *MEASURES)]
+    rows = _attribute_rows(plan, lines, ["file_id", arrival(lines).alias("__arrival")])
+    return rows.groupBy("carrier_id", "file_id", "__arrival", fold(F.col("tracking_number")).alias("__key")).agg(
+        *[F.max(c).alias(c) for c in ("tracking_number", "shipment_date", "shipping_method", *MEASURES)]
     )
 
 
 def _merge_files(per_file: DataFrame) -> DataFrame:
-    """Files in order of their id: the first one sets date and method, later ones correct the measures."""
-    return per_file.groupBy(*SHIPMENT_KEY).agg(
-        F.min_by("shipment_date", "file_id").alias("shipment_date"),
-        F.min_by("shipping_method", "file_id").alias("shipping_method"),
-        *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col("file_id"))).alias(c) for c in MEASURES],
-    ).withColumn("integrated_carrier_id", F.lit(None).cast("int"))
+    """Files in order of arrival: the first one sets date and method, later ones correct the measures."""
+    when = F.struct("__arrival", "file_id")
+    return (
+        per_file.groupBy("carrier_id", "__key").agg(
+            F.min_by("tracking_number", when).alias("tracking_number"),
+            F.min_by("shipment_date", when).alias("shipment_date"),
+            F.min_by("shipping_method", when).alias("shipping_method"),
+            *[F.max_by(c, F.when(F.col(c).isNotNull(), when)).alias(c) for c in MEASURES],
+        )
+        .withColumn("integrated_carrier_id", F.lit(None).cast("int"))
+        .select(*ATTRIBUTES)
+    )
 
 
 def upsert_attributes(plan: CarrierPlan, existing: DataFrame, found: DataFrame) -> DataFrame:
@@ -91,7 +106,7 @@ def upsert_attributes(plan: CarrierPlan, existing: DataFrame, found: DataFrame)
     if plan is UPS:
         return upsert(
             existing.select(*ATTRIBUTES), found, SHIPMENT_KEY, refresh=MEASURES,
-            insert_only=["shipment_date", "shipping_method", "integrated_carrier_id"],
+            insert_only=["shipment_date", "shipping_method", "integrated_carrier_id"], text_keys=("tracking_number",),
         ).select(*ATTRIBUTES)
     new = append_new(found, existing, SHIPMENT_KEY, text_keys=("tracking_number",))
     return existing.select(*ATTRIBUTES).unionByName(new.select(*ATTRIBUTES))
@@ -129,8 +144,14 @@ def shipment_charges(
     rows = charge_rows(plan, lines).where(not_blank(F.col("tracking_number")))
     typed = lookup_join(rows.withColumn("charge_key", fold(F.col("charge_name"))), known, ["charge_key"], "inner")
     if on_duplicate == "error":
-        require_unique(typed, CHARGE_KEY, "charges")
-    charges = typed.groupBy(*CHARGE_KEY).agg(F.sum("amount").cast("decimal(18,2)").alias("amount"))
+        require_unique(typed.withColumns({c: fold(F.col(c)) for c in TEXT_KEYS}), CHARGE_KEY, "charges")
+    # first as spelled, with fixed-width buffers; then the spellings of one invoice and shipment, of which few are left
+    spelled = typed.groupBy(*CHARGE_KEY).agg(F.sum("amount").cast("decimal(18,2)").alias("amount"))
+    blind = {f"__k_{c}": fold(F.col(c)) for c in TEXT_KEYS}
+    plain = [c for c in CHARGE_KEY if c not in TEXT_KEYS]
+    charges = spelled.withColumns(blind).groupBy(*plain, *blind).agg(
+        F.sum("amount").cast("decimal(18,2)").alias("amount"), *[F.min(c).alias(c) for c in TEXT_KEYS]
+    ).select(*CHARGE_KEY, "amount")
     if plan is FEDEX:
         known_shipments = multipiece.shipment_numbers(lines) if attributes is None else attributes
         shipments = known_shipments.select("carrier_id", fold(F.col("tracking_number")).alias("__shipment"))
@@ -143,7 +164,7 @@ def shipment_charges(
 
 
 def new_charges(charges: DataFrame, existing: DataFrame) -> DataFrame:
-    return append_new(charges, existing, CHARGE_KEY, text_keys=("tracking_number",))
+    return append_new(charges, existing, CHARGE_KEY, text_keys=TEXT_KEYS)
 
 
 def shipment_summary(attributes: DataFrame, charges: DataFrame) -> DataFrame:

@@ -10,8 +10,11 @@ from __future__ import annotations
 import json
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
+_END = "\n"  # closes a complete manifest
+
 
 class Store:
     def __init__(self, spark: SparkSession, root: str):
@@ -25,18 +28,25 @@ class Store:
 
     def _versions(self) -> list[int]:
         names = [s.getPath().getName() for s in self._fs.listStatus(self._path(f"{self.root}/manifests"))]
-        return sorted(int(n.removesuffix(".json")) for n in names if n.endswith(".json") and not n.startswith("_"))
+        return sorted(int(n.removesuffix(".json")) for n in names if n.endswith(".json"))
 
     def manifest(self) -> dict[str, list[str]]:
-        versions = self._versions()
-        if not versions:
-            return {}
-        stream = self._fs.open(self._path(f"{self.root}/manifests/{versions[-1]:012d}.json"))
-        try:
-            reader = self.spark._jvm.org.apache.commons.io.IOUtils
-            return json.loads(reader.toString(stream, "UTF-8"))
-        finally:
-            stream.close()
+        return self._latest()[1]
+
+    def _latest(self) -> tuple[int, dict[str, list[str]]]:
+        """Number and content of the last published manifest, from one listing."""
+        for number in reversed(self._versions()):
+            stream = self._fs.open(self._path(self._manifest_path(number)))
+            try:
+                text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            finally:
+                stream.close()
+            if text.endswith(_END):  # else its writer is still at it
+                return number, json.loads(text)
+        return 0, {}
+
+    def _manifest_path(self, number: int) -> str:
+        return f"{self.root}/manifests/{number:012d}.json"
 
     def has(self, table: str) -> bool:
         return bool(self.manifest().get(table))
@@ -60,9 +70,13 @@ class Store:
         self.publish(replace={table: self.read(table).repartition(files)})
 
     def publish(self, *, append: dict[str, DataFrame] | None = None, replace: dict[str, DataFrame] | None = None) -> None:
-        """Write all frames, then swap the manifest in one rename. A failed write publishes nothing."""
-        tables = self.manifest()
-        number = (self._versions() or [0])[-1] + 1
+        """Write all frames, then create the next manifest. A failed write publishes nothing.
+
+        The number follows the manifest that was read, and creating it fails if it is there: of two
+        loads that began from the same state, one has to run again.
+        """
+        last, tables = self._latest()
+        number = last + 1
         for mode, frames in (("append", append or {}), ("replace", replace or {})):
             for table, frame in frames.items():
                 _, folder = self._staged.pop(id(frame), (None, None))
@@ -70,12 +84,11 @@ class Store:
                     folder = f"{self.root}/data/{table}/{number:012d}-{uuid.uuid4().hex[:8]}"
                     frame.write.parquet(folder)
                 tables[table] = [*tables.get(table, []), folder] if mode == "append" else [folder]
-        staged = self._path(f"{self.root}/manifests/_{uuid.uuid4().hex}.tmp")
-        stream = self._fs.create(staged)
         try:
-            stream.write(bytearray(json.dumps(tables).encode()))
+            stream = self._fs.create(self._path(self._manifest_path(number)), False)
+        except Py4JJavaError as error:
+            raise RuntimeError(f"another load published version {number} of {self.root}; run this one again") from error
+        try:
+            stream.write(bytearray((json.dumps(tables) + _END).encode()))
         finally:
             stream.close()
-        final = self._path(f"{self.root}/manifests/{number:012d}.json")
-        if self._fs.exists(final) or not self._fs.rename(staged, final):
-            raise RuntimeError(f"another load published version {number} of {self.root}; run this one again")
