@@ -177,7 +177,7 @@ def loader(spark, tmp_path):
 
 
 def run_stream(spark, loader, folder, checkpoint):
-    ingest(loader, stream_files(spark, contracts.EASYPOST, str(folder), files_per_batch=1), str(checkpoint), run_ts()).awaitTermination()
+    ingest(loader, contracts.EASYPOST, stream_files(spark, str(folder), files_per_batch=1), str(checkpoint), run_ts()).awaitTermination()
 
 
 def costs(loader):

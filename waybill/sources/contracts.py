@@ -16,6 +16,8 @@ class Contract:
     ordinals: dict[str, int] = field(default_factory=dict)  # column -> 1-based cell
     headers: dict[str, str] = field(default_factory=dict)  # column -> header text
     account_ordinal: int = 0  # 0-based cell of the first row that names the account
+    has_header: bool = True  # positional files: whether the first line holds names
+    header_record: bool = False  # the file begins with a record of its own about the invoice
 
     @property
     def positional(self) -> bool:
@@ -79,6 +81,7 @@ UPS = Contract(
         "dim_unit": 196,
     },
     account_ordinal=2,
+    has_header=False,
 )
 
 DHL = Contract(
@@ -103,6 +106,8 @@ DHL = Contract(
         "delivery_area_surcharge_amount": 79,
     },
     account_ordinal=1,
+    has_header=False,
+    header_record=True,
 )
 # cells of the DHL header record, the first line of the file
 DHL_HEADER = {"bill_date": 2, "bill_number": 3, "account_number": 4, "total_amount": 12, "num_shipments": 14}

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import csv
+from functools import reduce
+from urllib.parse import unquote, urlparse
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.text import decimal_of, not_blank, null_as_zero
@@ -23,11 +27,14 @@ def _csv_options(has_header: bool) -> dict[str, object]:
     return {"header": has_header, "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
 
 
-def read_positional(spark: SparkSession, contract: Contract, path: str | list[str], *, has_header: bool = True) -> DataFrame:
-    """Bind cells by position; a header line is skipped, its names (which repeat) are ignored."""
+def read_positional(
+    spark: SparkSession, contract: Contract, path: str | list[str], *, has_header: bool | None = None
+) -> DataFrame:
+    """Bind cells by position; the header line of a carrier that sends one is skipped, its names (which
+    repeat) are ignored."""
     raw = (
         spark.read.schema(_text_schema(contract.width))
-        .options(**_csv_options(has_header), enforceSchema=True)
+        .options(**_csv_options(contract.has_header if has_header is None else has_header), enforceSchema=True)
         .csv(path)
     )
     return raw.select(
@@ -36,16 +43,41 @@ def read_positional(spark: SparkSession, contract: Contract, path: str | list[st
     )
 
 
-def read_named(spark: SparkSession, contract: Contract, path: str | list[str]) -> DataFrame:
-    """Bind cells by header name. A missing column fails the read; extra ones are pruned."""
-    raw = spark.read.options(**_csv_options(True)).csv(path)
-    missing = header_drift(contract, raw.columns)["missing"]
-    if missing:
-        raise MissingColumns(f"{contract.carrier}: no column {', '.join(missing)}")
-    return raw.select(
-        *[F.col(f"`{header}`").alias(name) for name, header in contract.headers.items()],
-        F.col("_metadata.file_path").alias(PATH),
+def file_headers(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(file_path, path, header) of every file: its first line."""
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias(PATH), "value", F.monotonically_increasing_id().alias("at"),
+        F.col("_metadata.file_block_start").alias("start"),
     )
+    return lines.where("start = 0").groupBy(PATH).agg(F.min_by("value", "at").alias("header"))
+
+
+def read_named(spark: SparkSession, contract: Contract, path: str | list[str]) -> DataFrame:
+    """Bind cells by header name, file by file: files may order and add columns as they like.
+
+    Files of one header are read in one scan. A file that lacks a column of the contract is refused.
+    """
+    layouts: dict[str, list[str]] = {}
+    for row in file_headers(spark, path).collect():
+        layouts.setdefault(row["header"].strip("\ufeff\r"), []).append(row[PATH])
+    parts = []
+    for header, files in sorted(layouts.items()):
+        names = [n.strip() for n in next(csv.reader([header]))]
+        missing = header_drift(contract, names)["missing"]
+        if missing:
+            raise MissingColumns(f"{contract.carrier}: no column {', '.join(missing)} in {files[0]}")
+        raw = (
+            spark.read.schema(_text_schema(len(names)))
+            .options(**_csv_options(True), enforceSchema=True)
+            .csv([unquote(urlparse(f).path) if f.startswith("file:") else unquote(f) for f in files])
+        )
+        parts.append(raw.select(
+            *[F.col(f"c{names.index(text) + 1}").alias(name) for name, text in contract.headers.items()],
+            F.col("_metadata.file_path").alias(PATH),
+        ))
+    if not parts:
+        return spark.createDataFrame([], ", ".join(f"{n} string" for n in [*contract.headers, PATH]))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def header_drift(contract: Contract, headers: list[str]) -> dict[str, list[str]]:
@@ -83,6 +115,23 @@ def read_dhl(
     return headers, details.where(tracked)
 
 
+def require_one_header(details: DataFrame, headers: DataFrame) -> None:
+    """Refuses files that have no header record, or several: their details would vanish or multiply."""
+    counted = details.select(PATH).distinct().join(headers.groupBy(PATH).agg(F.count(F.lit(1)).alias("n")), PATH, "left")
+    bad = counted.where(F.coalesce("n", F.lit(0)) != 1).limit(1).collect()
+    if bad:
+        raise MissingColumns(f"{bad[0][PATH]} has {bad[0]['n'] or 0} header records instead of one")
+
+
+def read_staged(spark: SparkSession, contract: Contract, paths: list[str]) -> DataFrame:
+    """Staged rows of files of any carrier, with the path of their file."""
+    if contract.header_record:
+        headers, details = read_dhl(spark, contract, paths)
+        require_one_header(details, headers)
+        return attach_header(details, headers)
+    return (read_positional if contract.positional else read_named)(spark, contract, paths)
+
+
 def path_parts(path: Column) -> Column:
     """`.../tenant/carrier/account/file` as a struct; the path is a URI, so `%20` means a blank."""
     parts = F.slice(F.split(path, "/"), -4, 4)

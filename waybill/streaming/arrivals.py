@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.lookup import lookup_join
@@ -20,28 +20,23 @@ from ..plans.carriers import UPS, CarrierPlan
 from ..plans.intake import file_id
 from ..plans.normalise import check_bills, incomplete_files, invoice_rollup, require_complete, typed_lines
 from ..plans.unify import SHIPMENT_KEY, shipment_attributes, shipment_charges, shipment_summary, upsert_attributes
+from ..plans.reference import discover_charge_types, discover_methods
 from ..sources.contracts import Contract
-from ..sources.files import path_parts
+from ..sources.files import path_parts, read_staged
 from ..session import written
 from ..sources.store import Store
 
 
-def stream_files(spark: SparkSession, contract: Contract, folder: str, *, files_per_batch: int = 1000) -> DataFrame:
-    """A carrier's files as a stream of staged rows. A named file whose header differs fails the batch."""
-    if contract.positional:
-        schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(1, contract.width + 1)])
-        cells = {name: f"c{i}" for name, i in contract.ordinals.items()}
-    else:
-        schema = T.StructType([T.StructField(h, T.StringType()) for h in contract.headers.values()])
-        cells = dict(contract.headers)
-    raw = (
-        spark.readStream.schema(schema)
-        .options(header=True, quote='"', escape='"', enforceSchema=contract.positional)
+def stream_files(spark: SparkSession, folder: str, *, files_per_batch: int = 1000) -> DataFrame:
+    """Files as they arrive: (path, file_path, modified). Their content is read by the batch readers."""
+    return (
+        spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length bigint, content binary")
         .option("maxFilesPerTrigger", files_per_batch)
         .option("recursiveFileLookup", True)
-        .csv(folder)
+        .load(folder)
+        .select("path", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_modification_time").alias("modified"))
     )
-    return raw.select(*[F.col(f"`{cell}`").alias(n) for n, cell in cells.items()], F.col("_metadata.file_path").alias("file_path"))
 
 
 @dataclass
@@ -62,8 +57,11 @@ class FileLoader:
         rows = staged.withColumn("file_name", name).withColumn(
             "file_id", file_id(F.col("file_name"), F.lit(self.plan.carrier_id))
         )
-        files = rows.select("file_id", "file_name").distinct().select(
-            "file_id", "file_name", F.lit(self.plan.carrier_id).alias("carrier_id"),
+        if "modified" not in rows.columns:
+            rows = rows.withColumn("modified", F.lit(None).cast("timestamp"))
+        files = rows.groupBy("file_id", "file_name").agg(F.min("file_path").alias("source_path"), F.min("modified").alias("modified"))
+        files = files.select(
+            "file_id", "file_name", F.lit(self.plan.carrier_id).alias("carrier_id"), "source_path", "modified",
             run_ts.alias("created_at"), run_ts.alias("completed_at"),
         )
         if self.store.has("tracker"):
@@ -72,8 +70,13 @@ class FileLoader:
             rows = lookup_join(rows, done.distinct(), ["file_id"], "left_anti")
         if files.isEmpty():
             return False
+        # one row per file: the window orders the files of this load, earlier loads are in the store
+        files = written(files, "files")
+        order = files.select("file_id", F.row_number().over(Window.orderBy("modified", "file_name")).cast("bigint").alias("arrival"))
+        rows = lookup_join(rows.drop("modified"), order, ["file_id"], "inner")
         # the files' text is parsed once per table; what follows reads the typed lines
-        bills = self.store.stage("bills", invoice_rollup(self.plan, rows))
+        loaded = files.select("file_id", F.col("file_name").alias("source_file"), F.col("created_at").alias("loaded_at"))
+        bills = self.store.stage("bills", lookup_join(invoice_rollup(self.plan, rows), loaded, ["file_id"], "left"))
         lines = self.store.stage("lines", typed_lines(self.plan, rows, bills, bills_are_stored=True))
         refused = None
         if not self.skip_bad_files:
@@ -86,9 +89,17 @@ class FileLoader:
                     lookup_join(f, refused.select("file_id"), ["file_id"], "left_anti") for f in (files, bills, lines)
                 )
         check_bills(bills)
-        found = shipment_attributes(self.plan, lines, methods=self.methods, carriers=self.carriers)
-        charges = shipment_charges(self.plan, lines, self.charge_types)
-        append = {"bills": bills, "lines": lines, "charges": charges, "tracker": files}
+        types, new_types = self._with_new("charge_types", self.charge_types, "charge_type_id",
+                                          lambda known: discover_charge_types(self.plan, lines, known))
+        methods, new_methods = self.methods, None
+        if methods is not None and "method_name" in methods.columns:
+            methods, new_methods = self._with_new("methods", methods, "shipping_method_id",
+                                                  lambda known: discover_methods(self.plan, lines, known, self.carriers))
+        found = shipment_attributes(self.plan, lines, methods=methods, carriers=self.carriers)
+        charges = shipment_charges(self.plan, lines, types)
+        append = {"bills": bills, "lines": lines, "charges": charges, "tracker": files, "charge_types": new_types}
+        if new_methods is not None:
+            append["methods"] = new_methods
         if refused is not None:
             append["refused"] = refused.withColumn("refused_at", run_ts)
         replace = {}
@@ -103,19 +114,68 @@ class FileLoader:
         self.store.publish(append=append, replace=replace)
         return True
 
+    def _with_new(self, table: str, given: DataFrame, key: str, discover: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
+        """The reference table with what the lines add, and the rows to append to the store."""
+        stored = self.store.has(table)
+        known = self.store.read(table) if stored else given
+        found = discover(known)
+        highest = known.agg(F.coalesce(F.max(key), F.lit(0))).head()[0]
+        # few rows: one for each name that was never met before
+        names = [c for c in ("charge_name", "method_name", "integrated_carrier_id") if c in found.columns]
+        number = (F.row_number().over(Window.orderBy(*names)) + highest).alias(key)
+        lacking = [F.lit(None).cast(f.dataType).alias(f.name) for f in given.schema if f.name not in (key, *found.columns)]
+        new = found.select(number, *[c for c in found.columns if c != key], *lacking)
+        new = written(new.select(*[F.col(f.name).cast(f.dataType) for f in given.schema]), table)
+        every = known.select(*given.columns).unionByName(new)
+        return every, new if stored else every
+
+    def refuse(self, path: str, error: Exception, run_ts: Column) -> None:
+        """Record a file that could not be loaded; it is not in the tracker and may come again."""
+        one = self.store.spark.createDataFrame([(path,)], "file_path string").withColumn("file_name", self.name_of(F.col("file_path")))
+        row = one.select(
+            file_id(F.col("file_name"), F.lit(self.plan.carrier_id)).alias("file_id"), F.lit(None).cast("bigint").alias("n_lines"),
+            F.lit(f"{type(error).__name__}: {error}").alias("missing"), run_ts.alias("refused_at"),
+        )
+        self.store.publish(append={"refused": row})
+
     def summary(self) -> DataFrame:
         """Cost per shipment over everything loaded so far: later corrections simply add charges."""
         return shipment_summary(self.store.read("attributes"), self.store.read("charges"))
 
 
+def load_files(loader: FileLoader, contract: Contract, files: list, run_ts: Column) -> None:
+    """Load files (path, file_path, modified) in order of arrival; a file that cannot be loaded stops no other.
+
+    A failing batch is halved until the bad file is alone; that one is recorded under ``refused`` and
+    may come again. Without ``skip_bad_files`` the failure is raised.
+    """
+    spark = loader.store.spark
+    try:
+        staged = read_staged(spark, contract, [f["path"] for f in files])
+        when = spark.createDataFrame([(f["file_path"], f["modified"]) for f in files], "file_path string, modified timestamp")
+        loader.load(staged.join(F.broadcast(when), "file_path"), run_ts)
+    except Exception as error:
+        if not loader.skip_bad_files:
+            raise
+        if len(files) == 1:
+            loader.refuse(files[0]["file_path"], error, run_ts)
+            return
+        half = len(files) // 2
+        for part in (files[:half], files[half:]):
+            load_files(loader, contract, part, run_ts)
+
+
 def ingest(
-    loader: FileLoader, arrivals: DataFrame, checkpoint: str, run_ts: Column | None = None
+    loader: FileLoader, contract: Contract, arrivals: DataFrame, checkpoint: str, run_ts: Column | None = None
 ) -> StreamingQuery:
     """Run the stream over all files that are there, then stop."""
     stamp = F.current_timestamp().cast("timestamp_ntz") if run_ts is None else run_ts
 
     def batch(rows: DataFrame, _batch_id: int) -> None:
-        loader.load(rows, stamp)
+        # as many rows as files in a trigger
+        files = sorted(rows.collect(), key=lambda f: (f["modified"], f["path"]))
+        if files:
+            load_files(loader, contract, files, stamp)
 
     return (
         arrivals.writeStream.foreachBatch(batch)

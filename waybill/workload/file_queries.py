@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -48,7 +49,7 @@ def with_file_id(rows: DataFrame) -> DataFrame:
 @query("csv_positional", "WITH " + o.ctes("stg_ups") + ", " + o.bills("ups") + f" SELECT {o.BILL} FROM bills_ups")
 def _(spark, folder):
     out = fresh_dir(spark, "ups")
-    write_positional(staged(spark, folder, "ups"), contracts.UPS, out, header=True)
+    write_positional(staged(spark, folder, "ups"), contracts.UPS, out, header=contracts.UPS.has_header)
     return invoice_rollup(UPS, with_file_id(read_positional(spark, contracts.UPS, f"{out}/*")))
 
 
@@ -66,6 +67,21 @@ def _(spark, folder):
     return invoice_rollup(FLAVORCLOUD, with_file_id(read_named(spark, contracts.FLAVORCLOUD, f"{out}/*")))
 
 
+@query("csv_named_mixed_headers", "WITH " + o.ctes("stg_easypost") + ", " + o.lines("easypost") + " SELECT * FROM lines_easypost")
+def _(spark, folder):
+    # files of one delivery that order their columns differently and add some of their own
+    out = fresh_dir(spark, "easypost")
+    rows = staged(spark, folder, "easypost")
+    names = list(contracts.EASYPOST.headers.items())
+    for k in range(4):
+        turned = names[k * 3:] + names[:k * 3]
+        cells = [F.col(n).alias(h) for n, h in turned]
+        extra = [F.lit("x, y").alias(f"own {i}") for i in range(k)]
+        part = rows.where(F.col("file_id") % 4 == k).select("file_id", *extra, *cells)
+        part.write.mode("append").partitionBy("file_id").options(header=True, escape='"').csv(out)
+    return typed_lines(EASYPOST, with_file_id(read_named(spark, contracts.EASYPOST, f"{out}/*")))
+
+
 # --- DHL files: a header record, details, and a valueless second line per shipment ---------------------
 
 
@@ -167,10 +183,10 @@ def _(spark, folder):
 # --- streams -----------------------------------------------------------------------------------------------
 
 
-def _loader(spark: SparkSession, folder: str) -> FileLoader:
+def _loader(spark: SparkSession, folder: str, plan=EASYPOST) -> FileLoader:
     return FileLoader(
-        EASYPOST, Store(spark, fresh_dir(spark, "store")), relation(spark, folder, "charge_types"),
-        **reference(spark, folder),
+        plan, Store(spark, fresh_dir(spark, "store")), relation(spark, folder, "charge_types"),
+        **(reference(spark, folder) if plan.integrated else {}),
         # all part files of this trial are named alike, so the folder belongs to the name
         name_of=lambda path: F.regexp_extract(path, r"(file_id=\d+/[^/]+)$", 1),
     )
@@ -179,12 +195,25 @@ def _loader(spark: SparkSession, folder: str) -> FileLoader:
 def _deliver(spark: SparkSession, rows: DataFrame) -> str:
     out = fresh_dir(spark, "arrivals")
     write_named(rows, contracts.EASYPOST, out)
+    _arrive_in_order(spark, out)
     return out
 
 
+def _arrive_in_order(spark: SparkSession, folder: str) -> None:
+    """Date the files of `file_id=<n>/` folders by n: they were written at once, and come one after the other."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    files = fs.listFiles(path(folder), True)
+    while files.hasNext():
+        file = files.next().getPath()
+        number = re.search(r"file_id=(\d+)/", file.toString())
+        if number:
+            fs.setTimes(file, 1_700_000_000_000 + 1_000 * int(number[1]), -1)
+
+
 def _stream(spark: SparkSession, loader: FileLoader, folder: str, files_per_batch: int = 3) -> None:
-    arrivals = stream_files(spark, contracts.EASYPOST, folder, files_per_batch=files_per_batch)
-    ingest(loader, arrivals, fresh_dir(spark, "checkpoint"), run_ts()).awaitTermination()
+    arrivals = stream_files(spark, folder, files_per_batch=files_per_batch)
+    ingest(loader, getattr(contracts, loader.plan.key.upper()), arrivals, fresh_dir(spark, "checkpoint"), run_ts()).awaitTermination()
 
 
 _COSTS = "SELECT tracking_number, billed_shipping_cost, charge_count FROM summary"
@@ -215,6 +244,80 @@ def _(spark, folder):
     return loader.summary().where("charge_count > 0").select("tracking_number", "billed_shipping_cost", "charge_count")
 
 
+_ATTRIBUTES = ("tracking_number", "shipment_date", "shipping_method", "destination_zone", "billed_weight_oz", "billed_length_in", "billed_width_in", "billed_height_in")
+# of the files that name a shipment, the first to arrive decides
+_FIRST_FILE = ("WITH " + o.ctes("stg_corrections", "carriers", "methods") + ", " + o.lines("easypost").replace("FROM stg_easypost", "FROM stg_corrections")
+               + ", every AS (SELECT * FROM lines_easypost), firsts AS (SELECT lower(rtrim(tracking_code)) AS k, min(file_id) AS f FROM every GROUP BY 1), "
+               + o.attributes("easypost").replace("FROM lines_easypost", "FROM (SELECT e.* FROM every e JOIN firsts ON k = lower(rtrim(tracking_code)) AND f = file_id) lines_easypost")
+               + f" SELECT {', '.join(_ATTRIBUTES)} FROM attr_easypost")
+
+
+def _corrections_in(spark: SparkSession, folder: str, files_per_batch: int) -> DataFrame:
+    loader = _loader(spark, folder)
+    _stream(spark, loader, _deliver(spark, relation(spark, folder, "stg_corrections")), files_per_batch)
+    return loader.store.read("attributes").select(*_ATTRIBUTES)
+
+
+@query("stream_attributes_one_batch", _FIRST_FILE)
+def _(spark, folder):
+    return _corrections_in(spark, folder, 1_000)
+
+
+@query("stream_attributes_batches", _FIRST_FILE)
+def _(spark, folder):
+    return _corrections_in(spark, folder, 1)
+
+
+# every charge has a type after a load, known before or not
+_ALL_UPS = o.unified("ups", with_attributes=False) + """, named AS (SELECT file_id, bill_number, bill_date, tracking_number, lower(rtrim(charge_name)) AS name, CAST(sum(amount) AS DECIMAL(18,2)) AS amount
+  FROM tall_ups WHERE trim(tracking_number) <> '' GROUP BY ALL) """
+
+
+@query("stream_ups_headerless", _ALL_UPS + "SELECT tracking_number, CAST(sum(amount) AS DECIMAL(18,2)) AS billed_shipping_cost, count(*) AS charge_count FROM named GROUP BY 1")
+def _(spark, folder):
+    out = fresh_dir(spark, "ups-arrivals")
+    write_positional(staged(spark, folder, "ups"), contracts.UPS, out, header=False)
+    loader = _loader(spark, folder, UPS)
+    _stream(spark, loader, out, 3)
+    return loader.summary().where("charge_count > 0").select("tracking_number", "billed_shipping_cost", "charge_count")
+
+
+@query("stream_dhl", "WITH " + o.ctes("stg_dhl") + f"""
+SELECT 'F' || file_id AS bill_number, DATE '2024-03-01' AS bill_date, CAST(sum({_DHL_SUM}) AS DECIMAL(18,2)) AS total_amount, CAST(count(*) AS INT) AS num_shipments FROM stg_dhl GROUP BY file_id""")
+def _(spark, folder):
+    loader = _loader(spark, folder, PLANS["dhl"])
+    _stream(spark, loader, write_dhl(spark, folder), 3)
+    return loader.store.read("bills").select("bill_number", "bill_date", "total_amount", "num_shipments")
+
+
+@query("load_new_charge_type", _ALL_UPS + "SELECT CAST(sum(amount) AS DECIMAL(18,2)) AS amount, count(DISTINCT name) AS types FROM named")
+def _(spark, folder):
+    # the charge type table knows none of the carrier's types yet: the load adds them, and no money is lost
+    loader = _loader(spark, folder, UPS)
+    loader.charge_types = loader.charge_types.where(F.col("carrier_id") != UPS.carrier_id)
+    out = fresh_dir(spark, "ups-arrivals")
+    write_positional(staged(spark, folder, "ups"), contracts.UPS, out, header=False)
+    _stream(spark, loader, out, 4)
+    return loader.store.read("charges").agg(
+        F.sum("amount").cast("decimal(18,2)").alias("amount"), F.count_distinct("charge_type_id").alias("types")
+    )
+
+
+@query("load_bad_file_alone", "WITH " + o.ctes("stg_easypost") + """ SELECT file_id, count(*) FILTER (WHERE file_id <> 2) > 0 AS loaded, file_id = 2 AS refused FROM stg_easypost GROUP BY 1""")
+def _(spark, folder):
+    rows = staged(spark, folder, "easypost")
+    spoiled = rows.withColumn("rate", F.when(F.col("file_id") == 2, "12.x").otherwise(F.col("rate")))
+    loader = _loader(spark, folder)
+    loader.skip_bad_files = True
+    _stream(spark, loader, _deliver(spark, spoiled), 100)
+    number = F.regexp_extract("file_name", r"file_id=(\d+)/", 1).cast("bigint").alias("file_id")
+    loaded = loader.store.read("tracker").select(number, F.lit(True).alias("loaded"), F.lit(False).alias("refused"))
+    bad_files = loader.store.read("refused").select(F.col("file_id").alias("hashed"))
+    names = rows.select("file_id").distinct().join(loaded.select("file_id"), "file_id", "left_anti")
+    return loaded.unionByName(names.crossJoin(F.broadcast(bad_files.agg(F.count("*").alias("n")))).select(
+        "file_id", F.lit(False).alias("loaded"), (F.col("n") == 1).alias("refused")))
+
+
 @query("stream_late_wms", o.gold("SELECT carrier_id, file_id, bill_number, tracking_number, charge_type_id, amount, shipment_package_id, customer_id, status FROM ledger"))
 def _(spark, folder):
     w = warehouse(spark, folder)

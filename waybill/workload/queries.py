@@ -12,7 +12,7 @@ from ..functions import (
     blank_to_null, decimal_of, fold, parse_date, parse_long_date, parse_rfc3339, parse_us_dashed, to_inches,
     to_ounces, try_iso_or_us,
 )
-from ..operators.intervals import as_of_join, gaps, overlaps, version_on, version_periods
+from ..operators.intervals import as_of_join, gaps, overlaps, range_lookup, version_on, version_periods
 from ..operators.merge import duplicate_keys
 from ..plans import adapter, gold, intake, legacy, multipiece, quality, thresholds, variance
 from ..plans.carriers import EASYPOST, FEDEX, PASSPORT, PLANS, UNIUNI, UPS, split_dimensions
@@ -400,6 +400,36 @@ def _(spark, folder):
     return new_charges(charges, existing).select(*CHARGE_KEY, "amount")
 
 
+@query("ups_corrections_arrival_order", "WITH " + o.ctes("stg_ups") + ", " + o.lines("ups") + """, turned AS (SELECT *, 9 - file_id AS came FROM lines_ups), """
+       + o.attributes("ups").replace("FROM lines_ups", "FROM (SELECT * REPLACE (came AS file_id) FROM turned) lines_ups") + " SELECT * EXCLUDE (integrated_carrier_id) FROM attr_ups")
+def _(spark, folder):
+    # files that came in the opposite order of their ids
+    typed = lines(spark, folder, "ups").withColumn("arrival", 9 - F.col("file_id"))
+    return shipment_attributes(UPS, typed).drop("integrated_carrier_id")
+
+
+@query("ledger_append_again", o.gold("SELECT * FROM ledger"))
+def _(spark, folder):
+    # two loads that overlap: the second one adds only what the first one lacks
+    w = warehouse(spark, folder)
+    enriched = w.enriched()
+    whole = w.ledger(enriched)
+    first = whole.where(F.xxhash64("tracking_number") % 3 == 0)
+    again = w.ledger(enriched, existing=first)
+    return first.unionByName(again)
+
+
+@query("range_lookup_many", "WITH " + o.ctes("li") + """, r AS (SELECT DISTINCT ok * 3 AS lo, ok * 3 + 2 AS hi FROM li)
+SELECT l.ok AS order_key, l.ln AS line, CAST(r.lo AS DECIMAL(12,2)) AS range_start FROM li l LEFT JOIN r ON l.pk >= r.lo AND l.pk < r.hi""")
+def _(spark, folder):
+    # as many ranges as there are orders
+    li = relation(spark, folder, "li")
+    low = (F.col("ok") * 3).cast("decimal(12,2)")
+    ranges = li.select(low.alias("range_min"), (low + 2).cast("decimal(12,2)").alias("range_max"), low.alias("start")).distinct()
+    facts = li.select(F.col("ok").alias("order_key"), F.col("ln").alias("line"), F.col("pk").cast("decimal(12,2)").alias("v"))
+    return range_lookup(facts, "v", ranges, ["start"], "range_").drop("v")
+
+
 @query("file_guard", "WITH " + o.ctes("stg_dhl", "loaded_files") + ", " + o.bills("dhl") + f" SELECT {o.BILL} FROM bills_dhl WHERE file_id NOT IN (SELECT file_id FROM loaded_files)")
 def _(spark, folder):
     return invoice_rollup(PLANS["dhl"], skip_loaded_files(staged(spark, folder, "dhl"), relation(spark, folder, "loaded_files")))
@@ -455,8 +485,10 @@ class Warehouse:
         billed = gold.of_files(self.attributes, self.in_files)
         return gold.enrich_packages(self.packages, shipment_summary(billed, self.charges), self.methods)
 
-    def ledger(self, packages: DataFrame) -> DataFrame:
-        return gold.cost_ledger(self.charges, self.attributes, self.methods, self.types, self.categories, packages, self.shipments, self.orders)
+    def ledger(self, packages: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+        return gold.cost_ledger(
+            self.charges, self.attributes, self.methods, self.types, self.categories, packages, self.shipments, self.orders, existing
+        )
 
 
 def warehouse(spark: SparkSession, folder: str) -> Warehouse:
