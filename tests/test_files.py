@@ -14,6 +14,7 @@ from waybill.session import shared_dir
 from waybill.sources import contracts
 from waybill.sources.files import (
     MissingColumns, attach_header, header_drift, header_totals, path_parts, read_dhl, read_named, read_positional,
+    read_staged,
 )
 from waybill.sources.store import Store
 from waybill.streaming.arrivals import FileLoader, ingest, stream_files
@@ -190,10 +191,11 @@ def test_stream_loads_each_file_once_and_adds_corrections(spark, tmp_path, loade
     run_stream(spark, loader, inbox, tmp_path / "c")
     easypost_file(inbox, "2.csv", {"tracking_code": "A", "rate": "3"})
     run_stream(spark, loader, inbox, tmp_path / "c")
-    assert costs(loader) == {"A": (D("23.00"), 2), "B": (D("1.00"), 1)}
+    # the platform charged 1 for each line; what its rate differs by is a charge of a type the load has added
+    assert costs(loader) == {"A": (D("2.00"), 4), "B": (D("1.00"), 1)}
     # a stream that lost its checkpoint meets files that are loaded already
     run_stream(spark, loader, inbox, tmp_path / "c2")
-    assert costs(loader) == {"A": (D("23.00"), 2), "B": (D("1.00"), 1)}
+    assert costs(loader) == {"A": (D("2.00"), 4), "B": (D("1.00"), 1)}
     assert loader.store.read("tracker").count() == 2
 
 
@@ -205,7 +207,7 @@ def test_failed_file_is_retried(spark, tmp_path, loader):
     assert not loader.store.has("charges")
     easypost_file(inbox, "1.csv", {"tracking_code": "A", "rate": "5"})
     run_stream(spark, loader, inbox, tmp_path / "c")
-    assert costs(loader) == {"A": (D("5.00"), 1)}
+    assert costs(loader) == {"A": (D("1.00"), 2)}
 
 
 def uniuni_row(spark, file, tracking):
@@ -240,3 +242,94 @@ def test_shared_dir_is_the_clusters(spark):
     assert shared_dir(Session()) == "hdfs://nn/shared"
     # no folder is named for this session: it gets one of its own, always the same
     assert shared_dir(spark) == shared_dir(spark)
+
+
+def test_two_publishers_from_one_state(spark, tmp_path):
+    """A load that began before another one was published does not undo it."""
+    store, other = Store(spark, str(tmp_path / "s")), Store(spark, str(tmp_path / "s"))
+    store.publish(append={"t": spark.range(1)})
+    listed = store._latest()
+    other.publish(append={"t": spark.range(1, 2)})
+    store._latest = lambda: listed
+    with pytest.raises(RuntimeError, match="run this one again"):
+        store.publish(append={"t": spark.range(2, 3)})
+    del store._latest
+    assert sorted(r.id for r in store.read("t").collect()) == [0, 1]
+    # a manifest that is still being written is not read
+    (tmp_path / "s" / "manifests" / "000000000003.json").write_text('{"t": [')
+    assert sorted(r.id for r in store.read("t").collect()) == [0, 1]
+
+
+def test_named_files_bind_by_their_own_header(spark, tmp_path):
+    names = list(contracts.EASYPOST.headers.values())
+    rate, fee = names.index(contracts.EASYPOST.headers["rate"]), names.index(contracts.EASYPOST.headers["label_fee"])
+    values = [f"v{i}" for i in range(len(names))]
+    one, two = list(range(len(names))), list(range(len(names)))
+    two[rate], two[fee] = two[fee], two[rate]
+    for k, order in enumerate((one, two)):
+        text = ",".join(['"own, column"', *(names[i] for i in order)]) + "\n" + ",".join(["x", *(values[i] for i in order)]) + "\n"
+        (tmp_path / f"a b{k}.csv").write_text(text)
+    got = read_named(spark, contracts.EASYPOST, str(tmp_path)).collect()
+    assert len(got) == 2 and all(r.rate == f"v{rate}" and r.label_fee == f"v{fee}" for r in got)
+    (tmp_path / "short.csv").write_text(",".join(n for i, n in enumerate(names) if i != rate) + "\n")
+    with pytest.raises(MissingColumns, match="short.csv"):
+        read_named(spark, contracts.EASYPOST, str(tmp_path))
+
+
+def test_dhl_file_without_header_record_is_refused(spark, tmp_path):
+    cells = ["DTL", *[""] * (contracts.DHL.width - 1)]
+    cells[contracts.DHL.ordinals["unique_id"] - 1] = "U1"
+    (tmp_path / "x.csv").write_text(",".join(cells) + "\n")
+    with pytest.raises(MissingColumns, match="0 header records"):
+        read_staged(spark, contracts.DHL, [str(tmp_path / "x.csv")])
+
+
+def test_headerless_files_keep_their_first_line(spark, tmp_path):
+    (tmp_path / "u.csv").write_text("\n".join(",".join([f"r{k}"] * contracts.UPS.width) for k in range(3)) + "\n")
+    assert read_staged(spark, contracts.UPS, [str(tmp_path / "u.csv")]).count() == 3
+
+
+def test_watermark_reaches_the_scan(spark, tmp_path):
+    from waybill.plans.legacy import since_last_run
+
+    spark.sql("SELECT TIMESTAMP_NTZ '2026-01-01' AS created_date, 1 AS x").write.parquet(str(tmp_path / "t"))
+    tracker = spark.sql("SELECT 'p' AS procedure_name, TIMESTAMP_NTZ '2025-06-01' AS last_run_time")
+    rows = since_last_run(spark.read.parquet(str(tmp_path / "t")), "created_date", tracker, "p")
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(created_date" in plan and rows.count() == 1
+    assert since_last_run(rows, "created_date", tracker, "other").count() == 1
+
+
+def test_shared_folder_is_required_on_a_cluster(spark):
+    class Session:
+        class conf:
+            @staticmethod
+            def get(name, default):
+                return None
+
+        class sparkContext:
+            master = "spark://host:7077"
+
+            @staticmethod
+            def getConf():
+                return {}
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(Session())
+
+
+def test_bad_file_alone_and_new_charge_types(spark, tmp_path, loader):
+    loader.skip_bad_files = True
+    loader.charge_types = loader.charge_types.where("charge_type_id = 1")
+    inbox = tmp_path / "t" / "easypost" / "ca_1"
+    for k, rate in enumerate(["1", "oops", "3", "4"]):
+        easypost_file(inbox, f"{k}.csv", {"tracking_code": f"T{k}", "rate": rate, "label_fee": "2"})
+    arrivals = stream_files(spark, str(inbox), files_per_batch=10)
+    ingest(loader, contracts.EASYPOST, arrivals, str(tmp_path / "c"), run_ts()).awaitTermination()
+    got = costs(loader)
+    assert {k: v[0] for k, v in got.items()} == {"T0": D("3.00"), "T2": D("3.00"), "T3": D("3.00")}
+    assert loader.store.read("refused").count() == 1
+    bills = loader.store.read("bills")
+    assert {"source_file", "loaded_at"} <= set(bills.columns)
+    names = [r.charge_name for r in loader.store.read("charge_types").collect()]
+    assert "Base Rate" in names and "Label Fee" in names and len(set(names)) == len(names)
