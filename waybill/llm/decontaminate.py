@@ -125,7 +125,7 @@ def overlaps(
                 own.append(words.hashes[low:high].tobytes())
                 lists.append(seed[a:b].view(np.int64))
                 at.append((place[a:b] - low).astype(np.int32))
-            chosen = batch.take(pa.array(rows, pa.int64()))
+            chosen = batch.select(["id", "text_hash"]).take(pa.array(rows, pa.int64()))
             yield pa.record_batch([
                 chosen.column("id"), chosen.column("text_hash"), pa.array(start, pa.int32()), pa.array(own, pa.binary()),
                 pa.array(lists, pa.list_(pa.int64())), pa.array(at, pa.list_(pa.int32())),
@@ -150,7 +150,7 @@ def overlaps(
                 if stretch:
                     keep.append(i)
                     out.append((stretch[0] + shift + batch.column("start")[i].as_py(), *stretch))
-            kept = batch.take(pa.array(keep, pa.int64()))
+            kept = batch.select(["id", "text_hash", "item"]).take(pa.array(keep, pa.int64()))
             numbers = [pa.array([r[k] for r in out], pa.int32()) for k in range(4)]
             yield pa.record_batch([kept.column("id"), kept.column("text_hash"), kept.column("item"), *numbers],
                                   names=["id", "text_hash", "item", "doc_start", "item_start", "n_words", "n_equal"])
