@@ -9,6 +9,7 @@ import pytest
 from check import TABLES, rows_of, type_differences
 
 from __spark_entry__ import entry, oracle_sql, queries
+from waybill.workload.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="no test tables")
@@ -22,7 +23,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, duck, name):
     frame = queries()[name](spark, FOLDER)
     got = frame.collect()
