@@ -111,3 +111,30 @@ def op1_lm_score(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents").select("doc_id", "text")
     scored = lm_scoring.score(docs, remainder(7) != 2)
     return scored.select("doc_id", (remainder(7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+ORACLES["op6_vector_dups"] = """
+WITH RECURSIVE v AS (SELECT vec_id, label, [CAST(x AS DOUBLE) for x in embedding] AS e FROM embeddings),
+n AS (SELECT vec_id, label, e, sqrt(list_sum([x * x for x in e])) AS size FROM v
+  WHERE label IS NOT NULL AND len(e) > 0 AND len([x for x in e if x IS NULL OR NOT isfinite(x)]) = 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM n a JOIN n b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE a.size > 0 AND b.size > 0 AND list_dot_product(a.e, b.e) / (a.size * b.size) >= 0.98),
+r(a, b) AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+c AS (SELECT a AS vec_id, min(b) AS least_id FROM r GROUP BY 1), k AS (SELECT a AS vec_id, count(*) AS n FROM l GROUP BY 1)
+SELECT v.vec_id, COALESCE(k.n, 0) AS n_links, LEAST(v.vec_id, COALESCE(c.least_id, v.vec_id)) AS component_id,
+  v.vec_id = LEAST(v.vec_id, COALESCE(c.least_id, v.vec_id)) AS kept
+FROM v LEFT JOIN c ON c.vec_id = v.vec_id LEFT JOIN k ON k.vec_id = v.vec_id"""
+
+_CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+ORACLES["op10_jaccard_join"] = f"""
+WITH RECURSIVE w AS (SELECT doc_id, [x for x in string_split_regex(translate(COALESCE(text, ''), '{_CAPITALS}', '{_CAPITALS.lower()}'), '[\\x20\\x09-\\x0D]+') if x <> ''] AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) >= 4 THEN [array_to_string(ws[i:i + 3], ' ') for i in range(1, len(ws) - 2)]
+  WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS shingle FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM s a JOIN s b USING (shingle) WHERE a.doc_id < b.doc_id GROUP BY 1, 2),
+h AS (SELECT p.a, p.b FROM p JOIN n x ON x.doc_id = p.a JOIN n y ON y.doc_id = p.b WHERE 100 * common >= 85 * (x.n + y.n - common)),
+l AS (SELECT a, b FROM h UNION ALL SELECT b, a FROM h),
+r(a, b) AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+c AS (SELECT a AS doc_id, min(b) AS least_id FROM r GROUP BY 1)
+SELECT w.doc_id, COALESCE(n.n, 0) AS n_shingles, LEAST(w.doc_id, COALESCE(c.least_id, w.doc_id)) AS component_id
+FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN c ON c.doc_id = w.doc_id"""
