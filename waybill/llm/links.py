@@ -1,10 +1,10 @@
 """Links between members of groups, found without listing all pairs of a group.
 
-Members that share a group may be linked; whether they are is decided by an exact check of the two. Star rounds come first:
-in each group one member, another in each round, is checked against those not yet connected with it, so a group of near
-copies of any size becomes connected by work in proportion to its size. The last round checks every pair of a group that is
-still not connected and passes the filter. A pair within one component is never checked again: it cannot change a component.
-So components are those of all links.
+Members that share a group may be linked; whether they are is decided by an exact check of the two. Star rounds over the large
+groups come first: in each, a few members, others in each round, are checked against those not yet connected with them, so a
+group of near copies of any size becomes connected by work in proportion to its size. The last round checks every pair of a group
+that is still not connected and passes the filter. A pair within one component is never checked again, as it cannot change a
+component. So components are those of all links.
 """
 
 from __future__ import annotations
@@ -18,7 +18,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..session import written
 from .components import components
 
-STAR_ROUNDS = 4
+STAR_ROUNDS, STARS = 2, 8
+FEW = 16  # members of a group that needs no star
 
 
 def at_least(percent: int) -> Callable[[np.ndarray, np.ndarray], bool]:
@@ -56,7 +57,7 @@ def verified(pairs: DataFrame, nodes: DataFrame, decide: Callable[[np.ndarray, n
 
 def connect(
     members: DataFrame, attributes: list[str], may_link: Callable[[str, str], Column],
-    check: Callable[[DataFrame], DataFrame],
+    check: Callable[[DataFrame], DataFrame], first_meeting: Callable[[str, str], Column] = lambda x, y: F.lit(True),
 ) -> DataFrame:
     """(node, root) of the nodes linked with another.
 
@@ -64,33 +65,48 @@ def connect(
     two sides' attributes; ``check`` takes (a, b) with a < b and returns those linked.
     """
     spark = members.sparkSession
-    edges = spark.createDataFrame([], "a bigint, b bigint")
     roots = spark.createDataFrame([], "node bigint, root bigint")
-    rows = members
-    for turn in range(STAR_ROUNDS + 1):
-        now = rows.join(roots, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root")
-        # groups that still hold more than one component
-        spread = now.groupBy("group").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low != high").select("group")
-        now = written(now.join(spread, "group", "left_semi"), "open-groups")
-        if not now.limit(1).count():
+    sizes = members.groupBy("group").agg(F.count("*").alias("n"))
+    large = written(members.join(sizes.where(F.col("n") > FEW), "group", "left_semi"), "large-groups")
+    for turn in range(STAR_ROUNDS if large.limit(1).count() else 0):
+        now = _open(large, roots)
+        # the members of least hash, by a hash of its own for each star
+        orders = [F.xxhash64("node", F.lit(turn * STARS + k)) for k in range(STARS)]
+        firsts = [F.min(F.struct(order.alias("at"), "node", "comp", *attributes)) for order in orders]
+        pivots = now.groupBy("group").agg(*[first.alias(f"p{k}") for k, first in enumerate(firsts)])
+        pivots = pivots.select("group", F.explode(F.array(*[f"p{k}" for k in range(STARS)])).alias("p"))
+        other = pivots.select("group", *[F.col(f"p.{c}").alias(f"y_{c}") for c in ("node", "comp", *attributes)])
+        found = _checked(now, other, attributes, may_link, check, F.col("x_comp") != F.col("y_comp"))
+        if found is None:
             break
-        own = [F.col(c).alias(f"x_{c}") for c in ("node", "comp", *attributes)]
-        one = now.select("group", *own)
-        if turn < STAR_ROUNDS:
-            order = F.xxhash64("node", F.lit(turn))
-            pivot = now.groupBy("group").agg(F.min(F.struct(order.alias("at"), "node", "comp", *attributes)).alias("p"))
-            other = pivot.select("group", *[F.col(f"p.{c}").alias(f"y_{c}") for c in ("node", "comp", *attributes)])
-            wanted = F.col("x_comp") != F.col("y_comp")
-        else:
-            other = now.select("group", *[F.col(c).alias(f"y_{c}") for c in ("node", "comp", *attributes)])
-            wanted = (F.col("x_comp") != F.col("y_comp")) & (F.col("x_node") < F.col("y_node"))
-        pairs = one.join(other, "group").where(wanted & may_link("x_", "y_"))
-        pairs = pairs.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
-        found = written(check(pairs), "links")
-        rows = now.select("group", "node", *attributes)
-        if not found.limit(1).count():
-            continue
-        edges = edges.unionByName(found)
-        roots = written(components(edges), "components")
-        edges = roots.where("node != root").select(F.col("node").alias("b"), F.col("root").alias("a")).select("a", "b")
-    return roots
+        roots = _more(roots, found)
+    now = _open(members, roots)
+    other = now.select("group", *[F.col(c).alias(f"y_{c}") for c in ("node", "comp", *attributes)])
+    wanted = (F.col("x_comp") != F.col("y_comp")) & (F.col("x_node") < F.col("y_node")) & first_meeting("x_", "y_")
+    found = _checked(now, other, attributes, may_link, check, wanted)
+    return roots if found is None else _more(roots, found)
+
+
+def _open(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """The rows of groups that hold more than one component, with the component."""
+    now = rows.join(roots, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root")
+    spread = now.groupBy("group").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low != high").select("group")
+    return written(now.join(spread, "group", "left_semi"), "open-groups")
+
+
+def _checked(
+    now: DataFrame, other: DataFrame, attributes: list[str], may_link: Callable[[str, str], Column],
+    check: Callable[[DataFrame], DataFrame], wanted: Column,
+) -> DataFrame | None:
+    """The linked pairs of rows with partners of their group, written; None without any."""
+    one = now.select("group", *[F.col(c).alias(f"x_{c}") for c in ("node", "comp", *attributes)])
+    pairs = one.join(other, "group").where(wanted & may_link("x_", "y_"))
+    pairs = pairs.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
+    found = written(check(pairs), "links")
+    return found if found.limit(1).count() else None
+
+
+def _more(roots: DataFrame, found: DataFrame) -> DataFrame:
+    """(node, root) after more links."""
+    known = roots.where("node != root").select(F.col("root").alias("a"), F.col("node").alias("b"))
+    return written(components(known.unionByName(found)), "components")
