@@ -338,7 +338,7 @@ _UPS = "WITH " + o.ctes("stg_ups", "charge_types") + ", " + o.lines("ups") + ",
 
 @query("ups_consolidate", _UPS + " SELECT * EXCLUDE (nth) FROM ups_files")
 def _(spark, folder):
-    return _consolidate(UPS, lines(spark, folder, "ups"))
+    return _consolidate(UPS, lines(spark, folder, "ups")).drop("__arrival", "__key")
 
 
 @query("ups_charges", _UPS + ", " + o.tall("ups") + """ SELECT file_id, bill_number, tracking_number, charge_name, amount FROM tall_ups""")
