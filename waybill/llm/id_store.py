@@ -35,6 +35,7 @@ DICTIONARY_DOCS = 1_500
 DICTIONARY_CHARS = 20_000
 DICTIONARY_BYTES = 64 << 10
 BLOCK_BYTES = 1 << 20
+SLICE = 4 << 20
 TABLE_WORDS = 1_500_000
 LEVEL = 3
 
@@ -186,7 +187,7 @@ def write(docs: DataFrame, folder: str, path: str, end_id: int, *, id_col: str =
                    "payload": b"".join(frames)}
             return pa.RecordBatch.from_pylist([row], schema=_SCHEMA)
 
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE):
             found = table.serialized(batch.column("text"), end_id)
             for doc, raw in zip(batch.column("id").to_pylist(), found):
                 frame = press.compress(raw)

@@ -9,7 +9,7 @@ Paragraphs have MinHash signatures over their shingles, in ``BANDS`` bands of ``
 paragraphs of Jaccard similarity 0.8 share a band with probability 0.95, equal ones always. Bands found in one text only
 are left out by an aggregate and a filter of fixed size. Paragraphs of equal content are one class; classes that share a band are verified
 by exact Jaccard similarity of at least ``PERCENT`` % through ``links.connect``, and its components are the clusters; a class
-that is another one moved by a few words is not linked with it, as neighbours in a text are not repeats. In each cluster the first paragraph, by document id and place, is kept, and the words of the others that no kept paragraph holds
+is not linked with one that it overlaps in a text or that is the same words moved a little, as neighbours are not repeats. In each cluster the first paragraph, by document id and place, is kept, and the words of the others that no kept paragraph holds
 are removed.
 
 Texts of fewer than ``WORDS`` words have no paragraphs. Null and empty texts have none. Rows are told apart by id and text, so a
@@ -23,7 +23,8 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import written
 from .chunks import slices
@@ -34,6 +35,7 @@ from .tokens import mix, shingles_of, words_of
 SHINGLE = 5
 WORDS, STEP = 30, 16
 BANDS, ROWS = 3, 2
+SLICE = 1 << 20
 PERCENT = 80
 _MOVED = 4  # words by which overlapping paragraphs may be moved and still reach the similarity
 _SIZE = WORDS - SHINGLE + 1  # shingles in a paragraph
@@ -62,17 +64,15 @@ class Paragraphs:
         text = np.repeat(np.arange(len(sizes)), sizes)
         room = np.arange(len(shingles)) + _SIZE <= np.repeat(ends[1:], sizes)
         order = mix(shingles ^ np.uint64(0x5851F42D4C957F2D))
-        # a place is chosen if it has the least hash of some run of STEP shingles within its text (the first in ties)
+        # a place is chosen if it has the least hash of some run of STEP shingles within its text; of a row of equal
+        # shingles, the first one
         chosen = np.zeros(len(shingles), bool)
         if len(shingles) >= STEP:
             low = sliding_min(order, STEP)
-            inside = text[:len(low)] == text[STEP - 1:]
-            at = np.arange(len(low))
-            best = np.full(len(low), -1)
-            for k in range(STEP):
-                hit = (order[k:k + len(low)] == low) & (best < 0)
-                best[hit] = at[hit] + k
-            chosen[best[inside]] = True
+            low[text[:len(low)] != text[STEP - 1:]] = 0
+            around = np.concatenate([np.zeros(STEP - 1, np.uint64), low, np.zeros(STEP - 1, np.uint64)])
+            chosen = ~sliding_min(~around, STEP) == order
+            chosen[1:] &= (order[1:] != order[:-1]) | (text[1:] != text[:-1])
         # a text shorter than a run begins one paragraph with its first shingle
         first = ends[:-1][(sizes >= _SIZE)]
         chosen[first] = True
@@ -91,9 +91,17 @@ class Paragraphs:
         np.cumsum(mix(shingles), out=sums[1:])
         self.content = mix(sums[self.at + _SIZE] - sums[self.at]) if len(self.at) else np.zeros(0, np.uint64)
 
-    def items(self, k: int) -> bytes:
-        """The shingles in order."""
-        return self.shingles[self.at[k]:self.at[k] + _SIZE].tobytes()
+    def band_lists(self, keep: np.ndarray) -> pa.ListArray:
+        flat = pa.array(np.ascontiguousarray(self.bands[:, keep].T).ravel().view(np.int64))
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(keep) + 1, dtype=np.int32) * BANDS), flat)
+
+    def items(self, keep: np.ndarray, news: np.ndarray) -> pa.Array:
+        """The shingles in order of those that are new, null for the others."""
+        rows = self.shingles[self.at[keep[news]][:, None] + np.arange(_SIZE)[None]]
+        offsets = np.zeros(len(keep) + 1, np.int32)
+        np.cumsum(news * _SIZE * 8, out=offsets[1:])
+        made = pa.Array.from_buffers(pa.binary(), len(keep), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(rows))])
+        return pc.if_else(pa.array(news), made, pa.scalar(None, pa.binary()))
 
 
 def close(x: np.ndarray, y: np.ndarray) -> bool:
@@ -110,7 +118,7 @@ def repeated(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text")
     kind = texts.schema["id"].dataType.simpleString()
 
     def first_look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE):
             found = Paragraphs(batch.column("text"))
             owner = np.tile(batch.column("row").to_numpy()[found.text], BANDS)
             flat = found.bands.ravel()
@@ -127,29 +135,36 @@ def repeated(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text")
     wanted = spark.sparkContext.broadcast(key_filter(written(shared, "shared-bands"), "band"))
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE):
             found = Paragraphs(batch.column("text"))
             keep = np.unique(passes(wanted.value, found.bands.ravel()) % max(len(found.at), 1))
             _, once = np.unique(found.content[keep], return_index=True)
             news = np.zeros(len(keep), bool)
             news[once] = True
-            rows = batch.take(pa.array(found.text[keep]))
+            rows = batch.select(["id", "text_hash"]).take(pa.array(found.text[keep]))
             yield pa.record_batch([
                 rows.column("id"), rows.column("text_hash"), pa.array(found.start[keep]), pa.array(found.content[keep].view(np.int64)),
-                pa.array([found.bands[:, k].view(np.int64) for k in keep], pa.list_(pa.int64())),
-                pa.array([found.items(k) if new else None for k, new in zip(keep, news)], pa.binary()),
+                found.band_lists(keep), found.items(keep, news),
             ], names=["id", "text_hash", "start", "content", "bands", "items"])
 
     schema = f"id {kind}, text_hash bigint, start int, content bigint, bands array<bigint>, items binary"
     places = written(texts.mapInArrow(candidates, schema), "paragraphs")
-    spelled = places.where("items is not null").dropDuplicates(["content"])
-    classes = written(spelled.select(F.col("content").alias("node"), "bands", "items"), "paragraph-classes")
-    members = written(classes.select(F.explode("bands").alias("group"), "node"), "bands")
+    # a class is placed where its first text, by a hash, has it: paragraphs that overlap there are no repeats of each other
+    occurs = F.shiftleft(F.xxhash64("id", "text_hash").bitwiseAND((1 << 39) - 1), 24).bitwiseOR(F.col("start").cast("bigint").bitwiseAND((1 << 24) - 1))
+    first = places.groupBy("content").agg(F.min(occurs).alias("occurs"))
+    spelled = places.where("items is not null").dropDuplicates(["content"]).join(first, "content")
+    classes = written(spelled.select(F.col("content").alias("node"), "bands", "items", "occurs"), "paragraph-classes")
+    members = classes.select(F.explode("bands").alias("group"), "node", "occurs")
+    several = members.groupBy("group").agg(F.min("occurs").alias("low"), F.max("occurs").alias("high")).where(F.col("high") - F.col("low") >= WORDS)
+    members = written(members.join(several.select("group"), "group", "left_semi"), "bands")
+
+    def apart(x: str, y: str) -> Column:
+        return F.abs(F.col(f"{x}occurs") - F.col(f"{y}occurs")) >= WORDS
 
     def check(pairs: DataFrame) -> DataFrame:
         return verified(written(pairs, "pairs"), classes.select("node", "items"), close)
 
-    roots = connect(members, [], lambda x, y: F.lit(True), check)
+    roots = connect(members, ["occurs"], apart, check)
     rows = places.select("id", "text_hash", "start", F.col("content").alias("node")).distinct()
     rows = rows.join(roots, "node", "left").withColumn("cluster", F.coalesce("root", "node"))
     order = F.struct(F.col("id").isNull().alias("unknown"), "id", "text_hash", "start")

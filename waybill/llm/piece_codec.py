@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from .chunks import SeenTable, lists_of, slices, utf8
 
 MARK = "▁"
+SLICE = 4 << 20
 _RUNS = re.compile(f"{MARK}+[^{MARK}]*")
 
 
@@ -83,7 +84,7 @@ def encode(docs: DataFrame, model: str, *, id_col: str = "doc_id", text_col: str
         # a marker on its own; the library has no ids for an empty text
         alone = array("i", [sp.piece_to_id(MARK)]).tobytes()
         end = np.array([sp.eos_id()] if end_id else [], dtype="<i4").tobytes()
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE):
             texts = [marked_words(t.decode()) for t in utf8(batch.column("text"))]
             table.cover([w for words in texts for w in words])
             if "" in table:
