@@ -68,6 +68,20 @@ def test_language_model(spark, table, odd, monkeypatch):
     assert all(np.isfinite(r.score) and r.score < 0 for r in got)
 
 
+def test_language_model_learns_from_every_training_document(table, monkeypatch):
+    rows = [(i, f"a{i} b{i}") for i in range(200)] + [(7, f"more {i}") for i in range(100)] + [(None, "no id"), (300, None)]
+    seen = []
+
+    def round_(docs, vocab, model):
+        seen.append(sorted((r.text or "") for r in docs.collect()))
+        return model
+
+    monkeypatch.setattr(lm_scoring, "_round", round_)
+    lm_scoring.score(table(rows), F.coalesce(F.col("doc_id") % 5 != 0, F.lit(True))).count()
+    want = sorted(t or "" for i, t in rows if i is None or i % 5)
+    assert len(seen) == 1 + lm_scoring.ROUNDS and all(s == want for s in seen[1:])
+
+
 def test_probabilities_sum_to_one():
     rng = np.random.default_rng(0)
     head = np.zeros(lm_scoring.HEAD, np.int64)

@@ -8,8 +8,8 @@ in the head, by add-one counts in the tail. Probabilities of all words, and of o
 A gated recurrent unit runs over the words of a document from its first to its last; many documents run side by side, and the
 state is carried from window to window, so long texts are scored whole in bounded memory. It is trained in numpy by truncated
 backpropagation: a first model on a bounded sample (``WARM_DOCS`` documents), then, in ``ROUNDS`` rounds, one replica per
-partition of a fixed share (1 / ``SHARE``) of all training documents, chosen by hashed id; the replicas' weights are averaged
-by their numbers of words. Counts cover all training documents, and so does what is gathered from them.
+partition of all training documents; the replicas' weights are averaged by their numbers of words. Every training document
+is counted and learned from.
 
 The model, the counts of at most ``KNOWN`` frequent words and 64 class totals are broadcast. Words beyond them go through a
 join with the table of all counts; each adds the same term to the model's score and to that of the base.
@@ -37,9 +37,9 @@ from .tokens import words_of
 HEAD, WIDTH, TAIL = 2048, 64, 64
 HIDDEN = 24
 KNOWN = 1 << 16
-SHARE, ROUNDS, WARM_DOCS = 8, 1, 1_500
+ROUNDS, WARM_DOCS = 1, 1_500
 LANES, WINDOW = 256, 32
-TRAIN_LANES, TRAIN_WINDOW = 64, 16
+TRAIN_LANES, TRAIN_WINDOW = 128, 16
 RATE = 0.08
 _GROUPS = HEAD // WIDTH
 _CLASSES = _GROUPS + TAIL
@@ -171,7 +171,12 @@ class Model:
 
 
 def _gate(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -15, 15)))
+    """The logistic function, in place."""
+    np.negative(x, out=x)
+    with np.errstate(over="ignore"):
+        np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
 
 
 def _log_softmax(x: np.ndarray) -> np.ndarray:
@@ -179,6 +184,11 @@ def _log_softmax(x: np.ndarray) -> np.ndarray:
     return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
 
 
+def _bounded(weights: np.ndarray, bias: np.ndarray) -> bool:
+    """Whether no state, its values lying between -1 and 1, can take an output beyond what ``exp`` holds."""
+    return bool((np.abs(weights).sum(axis=-2) + np.abs(bias)).max() < 80)
+
+
 class Lanes:
     """Documents side by side: each lane holds documents one after the other, the lanes from longest to shortest."""
 
@@ -221,22 +231,79 @@ class Lanes:
 
 
 def run_state(model: Model, source: np.ndarray, opens: np.ndarray, h: np.ndarray, keep: bool) -> tuple:
-    """States after each step of a window, and what backpropagation needs of each."""
+    """States after each step of a window, and what backpropagation needs of each, with lanes as columns."""
     steps, lanes = source.shape
-    out = np.zeros((steps, lanes, HIDDEN), np.float32)
+    out = np.empty((steps, HIDDEN, lanes), np.float32)
+    inputs = np.ascontiguousarray(model.inputs[source].transpose(0, 2, 1))
+    state = np.ascontiguousarray(model.state.T)
+    h = np.ascontiguousarray(h.T)
     saved = []
     for t in range(steps):
-        x = model.inputs[source[t]]
-        h = h * ~opens[t][:, None]
-        u = h @ model.state
-        both = _gate(x[:, :2 * HIDDEN] + u[:, :2 * HIDDEN])
-        z, r = both[:, :HIDDEN], both[:, HIDDEN:]
-        new = np.tanh(x[:, 2 * HIDDEN:] + r * u[:, 2 * HIDDEN:])
+        x = inputs[t]
+        if opens[t].any():
+            h = h * ~opens[t]
+        u = state @ h
+        x[:2 * HIDDEN] += u[:2 * HIDDEN]
+        both = _gate(x[:2 * HIDDEN])
+        z, r, new = both[:HIDDEN], both[HIDDEN:], x[2 * HIDDEN:]
+        new += r * u[2 * HIDDEN:]
+        np.tanh(new, out=new)
         if keep:
-            saved.append((h, z, r, new, u[:, 2 * HIDDEN:]))
-        h = new + z * (h - new)
-        out[t] = h
-    return out, h, saved
+            saved.append((h, z, r, new, u[2 * HIDDEN:]))
+        after = out[t]
+        np.subtract(h, new, out=after)
+        after *= z
+        after += new
+        h = after
+    return out.transpose(0, 2, 1), h.T, saved
+
+
+class Outputs:
+    """Of a window's live words, in order of their class: states, and both softmaxes before they are normed."""
+
+    def __init__(self, model: Model, states: np.ndarray, target: np.ndarray) -> None:
+        self.live = np.flatnonzero(target.ravel() >= 0)
+        y = target.ravel()[self.live]
+        group = np.where(y < HEAD, y // WIDTH, _GROUPS + y - HEAD)
+        order = np.argsort(group.astype(np.uint8), kind="stable")
+        self.live, self.y, self.group = self.live[order], y[order], group[order]
+        self.x = np.ascontiguousarray(states).reshape(-1, HIDDEN)[self.live]
+        self.cuts = np.searchsorted(self.group, np.arange(_GROUPS + 1)).tolist()
+        self.heads = self.cuts[-1]
+        self.within = self.y[:self.heads] % WIDTH
+        self.rows = np.arange(len(y))
+        self.classes = self.x @ model.to_class
+        self.classes += model.class_bias
+        self.words = np.empty((self.heads, WIDTH), np.float32)
+        for g in range(_GROUPS):
+            own = slice(self.cuts[g], self.cuts[g + 1])
+            if own.start < own.stop:
+                np.matmul(self.x[own], model.to_word[g], out=self.words[own])
+                self.words[own] += model.word_bias[g]
+        if not _bounded(model.to_class, model.class_bias):
+            self.classes -= self.classes.max(axis=1, keepdims=True)
+        if not _bounded(model.to_word, model.word_bias):
+            self.words -= self.words.max(axis=1, keepdims=True)
+
+    def values(self) -> np.ndarray:
+        """Log probabilities of the words, of tail words that of their class."""
+        value = self._logs(self.classes, self.rows, self.group)
+        value[:self.heads] += self._logs(self.words, self.rows[:self.heads], self.within)
+        return value
+
+    @staticmethod
+    def _logs(x: np.ndarray, rows: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+        own = x[rows, chosen].astype(np.float64)
+        np.exp(x, out=x)
+        return own - np.log(x @ np.ones(x.shape[1], np.float32))
+
+    def errors(self, scale: np.float32) -> tuple[np.ndarray, np.ndarray]:
+        """Gradients of both softmaxes' inputs."""
+        for x, rows, chosen in ((self.classes, self.rows, self.group), (self.words, self.rows[:self.heads], self.within)):
+            np.exp(x, out=x)
+            x *= (scale / (x @ np.ones(x.shape[1], np.float32)))[:, None]
+            x[rows, chosen] -= scale
+        return self.classes, self.words
 
 
 def log_likelihood(model: Model, vocab: Vocabulary, symbols: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -246,23 +313,11 @@ def log_likelihood(model: Model, vocab: Vocabulary, symbols: np.ndarray, offsets
     h = np.zeros((lanes.target.shape[1], HIDDEN), np.float32)
     tail = -np.log(vocab.class_norm)
     for part, n in lanes.windows(WINDOW):
-        target = lanes.target[part, :n]
         states, h, _ = run_state(model, lanes.source[part, :n], lanes.opens[part, :n], h[:n], False)
-        live = target >= 0
-        x, y, doc = states[live], target[live], lanes.doc[part, :n][live]
-        head = y < HEAD
-        group = np.where(head, y // WIDTH, _GROUPS + y - HEAD)
-        classes = _log_softmax(x @ model.to_class + model.class_bias)
-        value = classes[np.arange(len(y)), group].astype(np.float64)
-        value[~head] += tail[y[~head] - HEAD]
-        order = np.argsort(group, kind="stable")
-        cuts = np.searchsorted(group[order], np.arange(_GROUPS + 1))
-        for g in range(_GROUPS):
-            own = order[cuts[g]:cuts[g + 1]]
-            if len(own):
-                within = _log_softmax(x[own] @ model.to_word[g] + model.word_bias[g])
-                value[own] += within[np.arange(len(own)), y[own] - g * WIDTH]
-        sums += np.bincount(doc, value, len(sums))
+        found = Outputs(model, states, lanes.target[part, :n])
+        value = found.values()
+        value[found.heads:] += tail[found.y[found.heads:] - HEAD]
+        sums += np.bincount(lanes.doc[part, :n].ravel()[found.live], value, len(sums))
     return sums / np.log(10)
 
 
@@ -284,44 +339,53 @@ class Trainer:
     def step(self, source: np.ndarray, target: np.ndarray, opens: np.ndarray, h: np.ndarray) -> np.ndarray:
         m = self.model
         states, last, saved = run_state(m, source, opens, h, True)
-        live = target >= 0
-        x, y = states[live], target[live]
-        scale = np.float32(1 / 64)
-        head = y < HEAD
-        group = np.where(head, y // WIDTH, _GROUPS + y - HEAD)
-        d = np.exp(_log_softmax(x @ m.to_class + m.class_bias))
-        d[np.arange(len(y)), group] -= 1
-        d *= scale
+        found = Outputs(m, states, target)
+        x = found.x
+        d, e = found.errors(np.float32(1 / 64))
         dx = d @ m.to_class.T
-        grads = [None, np.zeros_like(m.state), x.T @ d, d.sum(axis=0), np.zeros_like(m.to_word), np.zeros_like(m.word_bias)]
-        order = np.argsort(group, kind="stable")
-        cuts = np.searchsorted(group[order], np.arange(_GROUPS + 1))
+        grads = [None, None, x.T @ d, np.ones(len(d), np.float32) @ d, np.zeros_like(m.to_word), np.zeros_like(m.word_bias)]
         for g in range(_GROUPS):
-            own = order[cuts[g]:cuts[g + 1]]
-            if len(own):
-                e = np.exp(_log_softmax(x[own] @ m.to_word[g] + m.word_bias[g]))
-                e[np.arange(len(own)), y[own] - g * WIDTH] -= 1
-                e *= scale
-                grads[4][g], grads[5][g] = x[own].T @ e, e.sum(axis=0)
-                dx[own] += e @ m.to_word[g].T
-        d_states = np.zeros_like(states)
-        d_states[live] = dx
-        d_in = np.zeros((*source.shape, 3 * HIDDEN), np.float32)
-        dh = np.zeros_like(h)
-        for t in range(len(source) - 1, -1, -1):
+            own = slice(found.cuts[g], found.cuts[g + 1])
+            if own.start < own.stop:
+                grads[4][g], grads[5][g] = x[own].T @ e[own], e[own].sum(axis=0)
+                dx[own] += e[own] @ m.to_word[g].T
+        steps, lanes = source.shape
+        d_states = np.zeros((steps * lanes, HIDDEN), np.float32)
+        d_states[found.live] = dx
+        d_states = np.ascontiguousarray(d_states.reshape(steps, lanes, HIDDEN).transpose(0, 2, 1))
+        d_in = np.empty((steps, 3 * HIDDEN, lanes), np.float32)
+        d_u = np.empty((3 * HIDDEN, lanes), np.float32)
+        grads[1] = np.zeros_like(m.state)
+        dh = np.zeros((HIDDEN, lanes), np.float32)
+        for t in range(steps - 1, -1, -1):
             before, z, r, new, un = saved[t]
-            dh = dh + d_states[t]
-            d_new = dh * (1 - z) * (1 - new * new)
-            d_z = dh * (before - new) * z * (1 - z)
-            d_r = d_new * un * r * (1 - r)
-            d_in[t] = np.concatenate([d_z, d_r, d_new], axis=1)
-            d_u = np.concatenate([d_z, d_r, d_new * r], axis=1)
-            grads[1] += before.T @ d_u
-            dh = (dh * z + d_u @ m.state.T) * ~opens[t][:, None]
+            d_z, d_r, d_new = (d_in[t, k * HIDDEN:(k + 1) * HIDDEN] for k in range(3))
+            dh += d_states[t]
+            rest = 1 - z
+            rest *= dh
+            np.multiply(new, new, out=d_new)
+            np.subtract(1, d_new, out=d_new)
+            d_new *= rest
+            np.subtract(before, new, out=d_z)
+            d_z *= z
+            d_z *= rest
+            back = d_u[2 * HIDDEN:]
+            np.multiply(d_new, r, out=back)
+            np.subtract(1, r, out=d_r)
+            d_r *= un
+            d_r *= back
+            d_u[:2 * HIDDEN] = d_in[t, :2 * HIDDEN]
+            grads[1] += before @ d_u.T
+            dh *= z
+            dh += m.state @ d_u
+            if opens[t].any():
+                dh *= ~opens[t]
         flat = source.ravel()
-        order = np.argsort(flat, kind="stable")
-        rows, first = np.unique(flat[order], return_index=True)
-        moved = np.add.reduceat(d_in.reshape(-1, 3 * HIDDEN)[order], first, axis=0)
+        order = np.argsort(flat.astype(np.uint16), kind="stable")
+        met = flat[order]
+        first = np.flatnonzero(np.concatenate([[True], met[1:] != met[:-1]]))
+        rows = met[first]
+        moved = np.add.reduceat(np.ascontiguousarray(d_in.transpose(0, 2, 1)).reshape(-1, 3 * HIDDEN)[order], first, axis=0)
         np.clip(moved, -1, 1, out=moved)
         self.seen[0][rows] += moved**2
         m.inputs[rows] -= RATE * moved / np.sqrt(self.seen[0][rows])
@@ -335,7 +399,7 @@ class Trainer:
 def _replica(vocab, weights, rounds_seed):  # noqa: ANN001, ANN202
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trainer = Trainer(weights.value)
-        for batch in slices(batches, "text", 2 << 20):
+        for batch in slices(batches, "text", _SLICE):
             symbols, _, _, offsets = vocab.value.symbols_of(batch.column("text"))
             trainer.learn(symbols, offsets)
         if trainer.words:
@@ -381,10 +445,9 @@ def score(docs: DataFrame, learn: Column, *, id_col: str = "doc_id", text_col: s
     vocab_here = vocabulary(counts, training.count())
     vocab = spark.sparkContext.broadcast(vocab_here)
     model = Model.fresh(vocab_here)
-    share = training.where(F.expr(f"pmod(xxhash64(`{id_col}`, 7), {SHARE}L) = 0"))
     model = _round(hashed_sample(training, id_col, WARM_DOCS).coalesce(1), vocab, model)
     for _ in range(ROUNDS):
-        model = _round(share, vocab, model)
+        model = _round(training, vocab, model)
     final = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
