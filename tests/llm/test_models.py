@@ -191,6 +191,21 @@ def test_thresholds_by_language():
     assert got["en"] == toxicity.FLOOR and 0.85 < got["de"] <= 0.99 and None in got
 
 
+def test_thresholds_cover_texts_beyond_the_sample(spark, table, monkeypatch):
+    rows, labels = toxic_texts(900, 1)
+    # clean texts that look toxic, in documents longer than the sample takes
+    monkeypatch.setattr(toxicity, "SAMPLE_CHARS", 2_000)
+    rows += [(2_000 + i, "w1 scumx idiotx clownx " + f"w{i} " * 700) for i in range(60)]
+    labels += [(2_000 + i, 1, 0) for i in range(60)]
+    model = toxicity.train(table(rows), spark.createDataFrame(labels, LABELS), F.col("doc_id") >= 0)
+    assert model.thresholds["en"] > 0.9
+    # the fitted texts do not count, all others do
+    known = spark.createDataFrame(labels, LABELS)
+    none = spark.createDataFrame([], "doc_id bigint, text_hash bigint")
+    found = toxicity.clean_scores(table(rows), known, F.col("doc_id") >= 0, "toxic", model.network, none).to_pydict()
+    assert sum(found["n"]) == sum(x == 0 for _, _, x in labels) and set(found["lang"]) == {"en"}
+
+
 def test_no_labels(spark, table):
     frame = table([(1, "a b"), (2, None)])
     for labels in (spark.createDataFrame([], LABELS), spark.createDataFrame([(1, 1, 0)], LABELS)):

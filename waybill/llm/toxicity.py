@@ -5,9 +5,10 @@ words; each filter's maximum over the whole text, at least zero, feeds a logisti
 gradients on a bounded sample of labelled texts (``SAMPLE_ROWS`` of each label, of at most ``SAMPLE_CHARS`` characters, those
 of smallest hashed id). A trained filter acts on a word as one row of a table, so scoring is gathers and maxima.
 
-Thresholds are calibrated by language: on the part of the sample held back from training, each language gets the least
-threshold from ``FLOOR`` up at which no more than ``FALSE_RATE`` of its clean texts are rejected. The language chooses a
-threshold; it is no input of the score. Languages too rare in the sample, and null, take the threshold of all.
+Thresholds are calibrated by language: on all labelled texts that may be learned from and were not fitted (of any length;
+those outside the sample and a fifth of it), each language gets the least threshold from ``FLOOR`` up at which no more than
+``FALSE_RATE`` of its clean texts are rejected. The language chooses a threshold; it is no input of the score. Languages of
+fewer than ``LEAST_OF_LANGUAGE`` such texts, and null, take the threshold of all.
 
 Null and empty texts are scored as a text without words. Labels that are null, or whose id is null, are not learned from;
 an id labelled more than once counts once, by its greater label. Rows come back one to one.
@@ -23,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from ..session import written
 from .chunks import slices
 from .sampling import hashed_sample
 from .tokens import words_of
@@ -34,6 +36,7 @@ FILTERS, DIMENSIONS = 8, 12
 SAMPLE_ROWS = 4_000
 SAMPLE_CHARS = 30_000
 FLOOR, FALSE_RATE, LEAST_OF_LANGUAGE = 0.7, 0.002, 50
+STEPS = 10_000  # of the histogram of scores
 SLICE = 1 << 19
 _PAD = WORD_BUCKETS + PREFIX_BUCKETS
 _GAP = max(WIDTHS)
@@ -154,10 +157,10 @@ class Model:
 
 
 def sample(docs: DataFrame, labels: DataFrame, learn: Column, label: str, rows: int, chars: int) -> DataFrame:
-    """(id, text, lang, label): about ``rows`` labelled rows of each label at most, those of smallest hashed id."""
+    """(id, text, lang, text_hash, label): about ``rows`` labelled rows of each label at most, those of smallest hashed id."""
     known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(label).alias("label"))
     known = known.where(learn)
-    texts = docs.where(F.length("text") <= chars).select("doc_id", "text", "lang")
+    texts = docs.where(F.length("text") <= chars).select("doc_id", "text", "lang", F.xxhash64("text").alias("text_hash"))
     parts = [hashed_sample(known.where(F.col("label") == x), "doc_id", rows) for x in (0, 1)]
     chosen = parts[0].unionByName(parts[1])
     return texts.join(F.broadcast(chosen), "doc_id")
@@ -177,28 +180,57 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, *, label: str = "to
         return Model(net, {None: FLOOR})
     back = np.arange(len(y)) % 5 == 4
     net = fit([t for t, b in zip(texts, back) if not b], y[~back])
-    scores = _scores(net, [t for t, b in zip(texts, back) if b])
-    lang = [x for x, b in zip(found["lang"].to_pylist(), back) if b]
-    return Model(net, calibrate(scores, y[back], lang))
+    fitted = docs.sparkSession.createDataFrame(found.filter(pa.array(~back)).select(["doc_id", "text_hash"]))
+    clean = clean_scores(docs, labels, learn, label, net, fitted)
+    return Model(net, calibrate(clean["score"].to_numpy(), np.zeros(len(clean)), clean["lang"].to_pylist(), clean["n"].to_numpy()))
 
 
-def _scores(net: Network, texts: list[np.ndarray]) -> np.ndarray:
-    tables = net.tables()
-    return np.array([net.score(t, np.array([0, t.shape[1]]), tables)[0] for t in texts])
+def clean_scores(docs: DataFrame, labels: DataFrame, learn: Column, label: str, net: Network, fitted: DataFrame) -> pa.Table:
+    """(lang, score, n): a histogram of the scores of all clean texts that may be learned from, but for those ``fitted``.
 
+    Scores below ``FLOOR`` are one step; of each step the greatest score is given. Languages of few such texts are null.
+    """
+    known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(label).alias("label"))
+    known = known.where(learn).where("label = 0").select("doc_id")
+    rows = docs.where(learn).where("doc_id is not null").select("doc_id", "lang", "text", F.xxhash64("text").alias("text_hash"))
+    rows = rows.join(F.broadcast(fitted), ["doc_id", "text_hash"], "left_anti").select("doc_id", "lang", "text")
+    shared = docs.sparkSession.sparkContext.broadcast(net)
 
-def calibrate(scores: np.ndarray, labels: np.ndarray, languages: list) -> dict[str | None, float]:
-    def least(clean: np.ndarray) -> float:
-        if not len(clean):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables = shared.value.tables()
+        for batch in slices(batches, "text", SLICE):
+            ids, ends = word_ids(batch.column("text"))
+            scores = pa.array(shared.value.score(ids, ends, tables), pa.float64())
+            yield pa.record_batch([batch.column("doc_id"), batch.column("lang"), scores], names=["doc_id", "lang", "score"])
+
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    step = F.floor(F.greatest("score", F.lit(FLOOR)) * STEPS).alias("step")
+    # rows of one id come together before the labels are joined
+    scored = rows.mapInArrow(run, f"doc_id {kind}, lang string, score double")
+    scored = scored.groupBy("doc_id", "lang", step).agg(F.count("*").alias("n"), F.max("score").alias("score"))
+    steps = written(scored.join(known, "doc_id").groupBy("lang", "step").agg(F.sum("n").alias("n"), F.max("score").alias("score")), "clean-scores")
+    often = steps.groupBy("lang").agg(F.sum("n").alias("all")).where(F.col("all") >= LEAST_OF_LANGUAGE).select("lang", F.lit(True).alias("often"))
+    of = F.when(F.col("often"), F.col("lang")).alias("lang")
+    counted = steps.join(often, "lang", "left").groupBy(of, "step").agg(F.max("score").alias("score"), F.sum("n").alias("n"))
+    return counted.select("lang", "score", "n").toArrow()
+
+
+def calibrate(scores: np.ndarray, labels: np.ndarray, languages: list, counts: np.ndarray | None = None) -> dict[str | None, float]:
+    """Each score stands for ``counts`` texts, or one."""
+    counts = np.ones(len(scores), np.int64) if counts is None else counts
+
+    def least(own: np.ndarray) -> float:
+        if not own.any():
             return FLOOR
-        allowed = int(FALSE_RATE * len(clean))
-        return max(FLOOR, float(np.nextafter(np.sort(clean)[::-1][min(allowed, len(clean) - 1)], 2)))
+        order = np.flatnonzero(own)[np.argsort(-scores[own], kind="stable")]
+        above = np.cumsum(counts[order])
+        return max(FLOOR, float(np.nextafter(scores[order][above > int(FALSE_RATE * above[-1])][0], 2)))
 
     languages = np.array(languages, dtype=object)
-    out: dict[str | None, float] = {None: least(scores[labels == 0])}
+    out: dict[str | None, float] = {None: least(labels == 0)}
     for lang in {x for x in languages if x is not None}:
-        clean = scores[(languages == lang) & (labels == 0)]
-        if len(clean) >= LEAST_OF_LANGUAGE:
+        clean = (languages == lang) & (labels == 0)
+        if counts[clean].sum() >= LEAST_OF_LANGUAGE:
             out[lang] = min(least(clean), 0.99)
     out[None] = min(out[None], 0.99)
     return out
