@@ -206,6 +206,13 @@ def test_thresholds_cover_texts_beyond_the_sample(spark, table, monkeypatch):
     assert sum(found["n"]) == sum(x == 0 for _, _, x in labels) and set(found["lang"]) == {"en"}
 
 
+def test_training_samples_are_bounded(spark, table):
+    # one labelled id holds many rows
+    rows = [(i, f"w{i} x") for i in range(100)] + [(3, f"w{i} y") for i in range(600)] + [(3, "w z")] * 300
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(100)], LABELS)
+    assert toxicity.sample(table(rows), labels, F.lit(True), "toxic", 60, 1_000).count() < 160
+
+
 def test_no_labels(spark, table):
     frame = table([(1, "a b"), (2, None)])
     for labels in (spark.createDataFrame([], LABELS), spark.createDataFrame([(1, 1, 0)], LABELS)):

@@ -100,6 +100,15 @@ def test_bounded_choices(spark):
     assert 30 < len(top) <= 100 and min(r.c for r in top) > 5
 
 
+def test_bounded_choices_of_null_and_repeated_ids(spark):
+    # null and repeated ids are dealt by their texts, repeated rows come once
+    hot = spark.range(10_000).selectExpr("case when id % 3 = 0 then null when id % 3 = 1 then 7 else id end id", "cast(id as string) text")
+    hot = hot.unionByName(spark.range(5_000).selectExpr("cast(null as bigint) id", "'same' text"))
+    chosen = sampling.hashed_sample(hot, "id", 1_000, "text")
+    assert abs(chosen.count() - 1_000) < 150 and 200 < chosen.where("id is null").count() < 500
+    assert sampling.hashed_sample(hot, "id", 1_000, "text", 15_000).count() < 1_000
+
+
 def brute_overlap(doc, item, share, least):
     """The longest aligned stretch with enough equal words, by trying all."""
     best = 0

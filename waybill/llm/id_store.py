@@ -7,7 +7,7 @@ greatest document id, so a single short document is found by pruned columns and
 
 Documents are dealt by ranges of id; shards are numbered in that order. Ties of id are ordered by a hash of the text. The
 dictionary is fitted to about ``DICTIONARY_DOCS`` documents of at most ``DICTIONARY_CHARS`` characters, those of smallest
-hashed id; everything is stored whatever the dictionary. Null and empty texts hold the end id alone; a null id sorts first.
+hash of id and text; everything is stored whatever the dictionary. Null and empty texts hold the end id alone; a null id sorts first.
 """
 
 from __future__ import annotations
@@ -157,7 +157,7 @@ def word_table(path: str) -> WordTable:
 def fit_dictionary(docs: DataFrame, path: str, end_id: int) -> bytes:
     """A dictionary over serialized ids; empty where there is too little to fit one."""
     short = docs.where(F.length("text") <= DICTIONARY_CHARS)
-    rows = sorted(hashed_sample(short, "id", DICTIONARY_DOCS).collect(), key=lambda r: (r.id is not None, r.id, r.text))
+    rows = sorted(hashed_sample(short, "id", DICTIONARY_DOCS, "text").collect(), key=lambda r: (r.id is not None, r.id, r.text))
     samples = word_table(path).serialized(pa.array([r.text for r in rows], pa.string()), end_id)
     if sum(map(len, samples)) < 16 * DICTIONARY_BYTES or len(samples) < 64:
         return b"".join(samples)[:DICTIONARY_BYTES] if len(samples) > 1 else b""

@@ -442,10 +442,11 @@ def score(docs: DataFrame, learn: Column, *, id_col: str = "doc_id", text_col: s
     kind = texts.schema[id_col].dataType.simpleString()
     training = texts.where(learn)
     counts = count_words(training)
-    vocab_here = vocabulary(counts, training.count())
+    documents = training.count()
+    vocab_here = vocabulary(counts, documents)
     vocab = spark.sparkContext.broadcast(vocab_here)
     model = Model.fresh(vocab_here)
-    model = _round(hashed_sample(training, id_col, WARM_DOCS).coalesce(1), vocab, model)
+    model = _round(hashed_sample(training, id_col, WARM_DOCS, "text", documents).coalesce(1), vocab, model)
     for _ in range(ROUNDS):
         model = _round(training, vocab, model)
     final = spark.sparkContext.broadcast(model)

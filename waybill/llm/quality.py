@@ -4,7 +4,8 @@ A text is cut into chunks of ``CHUNK`` bytes that overlap, the last reaching pas
 slide over all of it, two bytes at a step; each filter's maximum in a chunk, at least zero, passes a hidden layer to one
 value per chunk, and the mean over all chunks becomes one probability. A filter holds one number per byte value and place,
 so it is scored as gathers from tables of byte pairs. Trained in numpy by adaptive gradients on a bounded sample of labelled
-texts (``SAMPLE_ROWS`` of each label, of at most ``SAMPLE_CHARS`` characters, those of smallest hashed id).
+texts (``SAMPLE_ROWS`` of each label, of at most ``SAMPLE_CHARS`` characters, those of smallest hash of
+id and text).
 
 Null and empty texts are scored as blank bytes. Labels that are null, or whose id is null, are not learned from; an id
 labelled more than once counts once, by its lesser label. Rows come back one to one.
@@ -20,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from ..session import written
 from .chunks import slices
 from .sampling import hashed_sample
 from .tokens import bytes_of
@@ -152,7 +154,10 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, *, label: str = "qu
     known = known.where(learn)
     parts = [hashed_sample(known.where(F.col("label") == x), "doc_id", rows) for x in (0, 1)]
     texts = docs.where(F.length("text") <= SAMPLE_CHARS).select("doc_id", "text")
-    found = texts.join(F.broadcast(parts[0].unionByName(parts[1])), "doc_id").toArrow()
+    # an id may have many rows
+    chosen = written(texts.join(F.broadcast(parts[0].unionByName(parts[1])), "doc_id"), "labelled")
+    parts = [hashed_sample(chosen.where(F.col("label") == x), "doc_id", rows, "text") for x in (0, 1)]
+    found = parts[0].unionByName(parts[1]).toArrow()
     found = found.sort_by([("doc_id", "ascending"), ("text", "ascending")])
     y = found["label"].to_numpy().astype(np.float32)
     if not len(y) or y.min() == y.max():

@@ -7,12 +7,18 @@ from pyspark.sql import DataFrame, functions as F
 _STEPS = 1 << 40
 
 
-def hashed_sample(rows: DataFrame, key: str, most: int) -> DataFrame:
-    """All rows if there are at most ``most``, else about that many: those whose hashed key is least."""
-    n = rows.count()
-    if n <= most:
-        return rows
-    return rows.where(F.expr(f"pmod(xxhash64(`{key}`), {_STEPS}L)") < int(most / n * _STEPS))
+def hashed_sample(rows: DataFrame, key: str, most: int, text: str | None = None, n: int | None = None) -> DataFrame:
+    """One row of each key and text, if there are at most ``most``, else of about that many: those of least hash.
+
+    Null and repeated keys are dealt by their texts. ``n``, where known, says how many to choose among; if it counts
+    repeated rows, fewer are chosen.
+    """
+    at = F.xxhash64(*[F.col(f"`{c}`") for c in (key, text) if c is not None])
+    hashed = rows.select(at.alias("at"), F.struct("*").alias("row"))
+    n = hashed.select("at").distinct().count() if n is None else n
+    if n > most:
+        hashed = hashed.where(F.expr(f"pmod(at, {_STEPS}L)") < int(most / n * _STEPS))
+    return hashed.groupBy("at").agg(F.min("row").alias("row")).select("row.*")
 
 
 def most_counted(counts: DataFrame, count: str, most: int) -> DataFrame:

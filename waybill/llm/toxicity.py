@@ -3,7 +3,7 @@
 A word is the sum of two embeddings, of its hash and of that of its first bytes. Filters of several widths slide over the
 words; each filter's maximum over the whole text, at least zero, feeds a logistic unit. Trained in numpy by adaptive
 gradients on a bounded sample of labelled texts (``SAMPLE_ROWS`` of each label, of at most ``SAMPLE_CHARS`` characters, those
-of smallest hashed id). A trained filter acts on a word as one row of a table, so scoring is gathers and maxima.
+of smallest hash of id and text). A trained filter acts on a word as one row of a table, so scoring is gathers and maxima.
 
 Thresholds are calibrated by language: on all labelled texts that may be learned from and were not fitted (of any length;
 those outside the sample and a fifth of it), each language gets the least threshold from ``FLOOR`` up at which no more than
@@ -157,13 +157,16 @@ class Model:
 
 
 def sample(docs: DataFrame, labels: DataFrame, learn: Column, label: str, rows: int, chars: int) -> DataFrame:
-    """(id, text, lang, text_hash, label): about ``rows`` labelled rows of each label at most, those of smallest hashed id."""
+    """(id, text, lang, text_hash, label): about ``rows`` labelled rows of each label at most, those of smallest hash."""
     known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(label).alias("label"))
     known = known.where(learn)
     texts = docs.where(F.length("text") <= chars).select("doc_id", "text", "lang", F.xxhash64("text").alias("text_hash"))
     parts = [hashed_sample(known.where(F.col("label") == x), "doc_id", rows) for x in (0, 1)]
     chosen = parts[0].unionByName(parts[1])
-    return texts.join(F.broadcast(chosen), "doc_id")
+    # an id may have many rows
+    chosen = written(texts.join(F.broadcast(chosen), "doc_id"), "labelled")
+    parts = [hashed_sample(chosen.where(F.col("label") == x), "doc_id", rows, "text") for x in (0, 1)]
+    return parts[0].unionByName(parts[1])
 
 
 def train(docs: DataFrame, labels: DataFrame, learn: Column, *, label: str = "toxic", rows: int = SAMPLE_ROWS) -> Model:
