@@ -6,6 +6,7 @@ import random
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -189,6 +190,33 @@ def test_paragraphs_near_copies(table, prose):
     assert paragraphs.repeated(table([]).limit(0)).collect() == []
 
 
+def test_paragraphs_moved_by_a_few_words_in_other_documents(table, prose):
+    rows, wanted = [], set()
+    for k in range(300):
+        passage = prose(6000 + k, 36)
+        pair = [(10 * k + c, prose(7000 + 10 * k + c, 40) + " " + passage + " " + prose(8000 + 10 * k + c, 40)) for c in (1, 2)]
+        found = paragraphs.Paragraphs(pa.array([t for _, t in pair]))
+        contents = [set(found.content[found.text == t].tolist()) for t in (0, 1)]
+        bands = [set(found.bands[:, found.text == t].ravel().tolist()) for t in (0, 1)]
+        runs = [[found.shingles[a:a + paragraphs._SIZE].tolist() for a in found.at[found.text == t]] for t in (0, 1)]
+        near = [(x, y) for x in runs[0] for y in runs[1] if 100 * len({*x} & {*y}) >= 80 * len({*x} | {*y})]
+        moved = all(any(x[k:] == y[:-k] or y[k:] == x[:-k] for k in (1, 2)) for x, y in near)
+        if near and moved and bands[0] & bands[1] and not contents[0] & contents[1]:
+            rows += pair
+            wanted |= {i for i, _ in pair}
+    # neighbours in one text, or in a text and its copies, are no repeats of each other
+    alone = [(50_000 + k, prose(20_000 + k, 400)) for k in range(20)]
+    twice = [(60_000 + k, prose(30_000, 400)) for k in range(3)]
+    got = paragraphs.repeated(table(rows + alone + twice)).collect()
+    assert len(wanted) > 5 and len(wanted - {r.doc_id for r in got}) <= 0.1 * len(wanted)
+    assert not {r.doc_id for r in got} & {i for i, _ in alone}
+    clusters = {}
+    for r in got:
+        if r.doc_id >= 60_000:
+            clusters.setdefault(r.cluster, []).append(r.start)
+    assert clusters and all(len(s) == 3 and len(set(s)) == 1 for s in clusters.values())
+
+
 def brute_vectors(rows, threshold):
     ok = {k: np.array(v, float) for k, (_, v, label) in enumerate(rows)
           if label is not None and v and all(x is not None and np.isfinite(x) for x in v) and any(v)}

@@ -9,7 +9,8 @@ Paragraphs have MinHash signatures over their shingles, in ``BANDS`` bands of ``
 paragraphs of Jaccard similarity 0.8 share a band with probability 0.95, equal ones always. Bands found in one text only
 are left out by an aggregate and a filter of fixed size. Paragraphs of equal content are one class; classes that share a band are verified
 by exact Jaccard similarity of at least ``PERCENT`` % through ``links.connect``, and its components are the clusters; a class
-is not linked with one that it overlaps in a text or that is the same words moved a little, as neighbours are not repeats. In each cluster the first paragraph, by document id and place, is kept, and the words of the others that no kept paragraph holds
+that occurs only where another one overlaps it is not linked with that one, as neighbours are not repeats; paragraphs moved by a
+few words that occur apart are. In each cluster the first paragraph, by document id and place, is kept, and the words of the others that no kept paragraph holds
 are removed.
 
 Texts of fewer than ``WORDS`` words have no paragraphs. Null and empty texts have none. Rows are told apart by id and text, so a
@@ -25,6 +26,7 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.window import Window
 
 from ..session import written
 from .chunks import slices
@@ -105,12 +107,31 @@ class Paragraphs:
 
 
 def close(x: np.ndarray, y: np.ndarray) -> bool:
-    """Whether two paragraphs are similar enough, and not one and the same passage moved by a few words."""
-    if any((x[k:] == y[:-k]).all() or (y[k:] == x[:-k]).all() for k in range(1, _MOVED + 1)):
-        return False
+    """Whether two paragraphs are similar enough."""
     return at_least(PERCENT)(np.unique(x), np.unique(y))
 
 
+def beside(places: DataFrame) -> DataFrame:
+    """(a, b) with a < b: classes of which one occurs only where the other does too, moved by a few words.
+
+    Every text that holds the one then holds the other, and equal paragraphs connect these texts. ``places``: id, text_hash,
+    start, content.
+    """
+    spots = places.select("id", "text_hash", "start", "content").distinct()
+    next_ones = Window.partitionBy("id", "text_hash").orderBy("start")
+    after = F.array(*[F.lead(F.struct("start", "content"), k).over(next_ones) for k in range(1, _MOVED + 1)])
+    near = spots.withColumn("next", after).withColumn("after", F.explode("next")).where(F.col("after.start") - F.col("start") <= _MOVED)
+    near = near.where(F.col("after.content") != F.col("content"))
+    spot = [F.xxhash64("id", "text_hash", s).alias("spot") for s in ("start", "after.start")]
+    pairs = near.select(F.explode(F.array(
+        F.struct(F.col("content").alias("x"), F.col("after.content").alias("y"), spot[0]),
+        F.struct(F.col("after.content").alias("x"), F.col("content").alias("y"), spot[1]),
+    )).alias("p")).select("p.*").distinct().groupBy("x", "y").agg(F.count("*").alias("met"))
+    often = spots.groupBy(F.col("content").alias("x")).agg(F.count("*").alias("n"))
+    always = pairs.join(often, "x").where(F.col("met") == F.col("n"))
+    return always.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
 def repeated(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per paragraph of a cluster of two or more: id, text_hash, start (word), n_words, cluster, kept."""
     spark = docs.sparkSession
@@ -149,22 +170,27 @@ def repeated(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text")
 
     schema = f"id {kind}, text_hash bigint, start int, content bigint, bands array<bigint>, items binary"
     places = written(texts.mapInArrow(candidates, schema), "paragraphs")
-    # a class is placed where its first text, by a hash, has it: paragraphs that overlap there are no repeats of each other
+    # a class is placed where its first text, by a hash, has it: one that occurs there alone is no repeat of what overlaps it
     occurs = F.shiftleft(F.xxhash64("id", "text_hash").bitwiseAND((1 << 39) - 1), 24).bitwiseOR(F.col("start").cast("bigint").bitwiseAND((1 << 24) - 1))
-    first = places.groupBy("content").agg(F.min(occurs).alias("occurs"))
+    first = places.groupBy("content").agg(F.min(occurs).alias("occurs"), (F.min(occurs) != F.max(occurs)).alias("many"))
     spelled = places.where("items is not null").dropDuplicates(["content"]).join(first, "content")
-    classes = written(spelled.select(F.col("content").alias("node"), "bands", "items", "occurs"), "paragraph-classes")
-    members = classes.select(F.explode("bands").alias("group"), "node", "occurs")
-    several = members.groupBy("group").agg(F.min("occurs").alias("low"), F.max("occurs").alias("high")).where(F.col("high") - F.col("low") >= WORDS)
+    classes = written(spelled.select(F.col("content").alias("node"), "bands", "items", "occurs", "many"), "paragraph-classes")
+    members = classes.select(F.explode("bands").alias("group"), "node", "occurs", "many")
+    several = members.groupBy("group").agg(
+        F.min("occurs").alias("low"), F.max("occurs").alias("high"), F.count_if("many").alias("many"),
+    ).where((F.col("high") - F.col("low") >= WORDS) | (F.col("many") > 1))
     members = written(members.join(several.select("group"), "group", "left_semi"), "bands")
 
+    neighbours = written(beside(places), "neighbours")
+
     def apart(x: str, y: str) -> Column:
-        return F.abs(F.col(f"{x}occurs") - F.col(f"{y}occurs")) >= WORDS
+        return (F.abs(F.col(f"{x}occurs") - F.col(f"{y}occurs")) >= WORDS) | (F.col(f"{x}many") & F.col(f"{y}many"))
 
     def check(pairs: DataFrame) -> DataFrame:
+        pairs = pairs.join(neighbours, ["a", "b"], "left_anti")
         return verified(written(pairs, "pairs"), classes.select("node", "items"), close)
 
-    roots = connect(members, ["occurs"], apart, check)
+    roots = connect(members, ["occurs", "many"], apart, check)
     rows = places.select("id", "text_hash", "start", F.col("content").alias("node")).distinct()
     rows = rows.join(roots, "node", "left").withColumn("cluster", F.coalesce("root", "node"))
     order = F.struct(F.col("id").isNull().alias("unknown"), "id", "text_hash", "start")
