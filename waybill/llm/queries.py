@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import configure, fresh_dir
 from ..sources.tables import read_table
-from . import decontaminate, id_store, jaccard_join, lm_scoring, paragraphs, pii, piece_codec, quality, toxicity, vector_dups
+from . import conversation_trie, decontaminate, id_store, jaccard_join, lm_scoring, main_text, paragraphs, periodic_runs, pii, piece_codec, quality, toxicity, vector_dups
 
 TOKENIZERS = "/opt/tokenizers"
 
@@ -113,6 +115,44 @@ def op1_lm_score(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", (remainder(7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+@query
+def op11_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return main_text.extract(read_table(spark, folder, "pages"))
+
+
+@query
+def op12_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    turns = conversation_trie.turn_ids(read_table(spark, folder, "conversations"))
+    conv = F.col("conv_id")
+    rebuilt = conversation_trie.with_heads(turns, conv - conv % 5, 8, F.crc32(conv.cast("string")) % 9)
+    nodes = conversation_trie.prefix_nodes(rebuilt)
+    return nodes.drop("turn_hash").withColumnRenamed("saved_bytes", "saved_tokens")
+
+
+def repeated_tails(ids: list, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For about a tenth of the ids, from which word on and with which period a text repeats itself."""
+    tail, period = sizes.copy(), np.ones_like(sizes)
+    for i, (ident, n) in enumerate(zip(ids, sizes.tolist())):
+        h = None if ident is None else zlib.crc32(str(ident).encode())
+        if h is not None and h % 10 == 0 and n > 0:
+            g = h // 10
+            tail[i] = g % n
+            period[i] = 1 + (n - g % n) // (3 + g % 8)
+    return tail, period
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    found = periodic_runs.find(docs, collapsed="sha256", tails=repeated_tails).withColumn("best", periodic_runs.longest("runs"))
+    lines = F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    return found.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.col("collapsed").alias("collapsed_sha256"),
+    )
+
+
 ORACLES["op6_vector_dups"] = """
 WITH RECURSIVE v AS (SELECT vec_id, label, [CAST(x AS DOUBLE) for x in embedding] AS e FROM embeddings),
 n AS (SELECT vec_id, label, e, sqrt(list_sum([x * x for x in e])) AS size FROM v
@@ -138,3 +178,27 @@ r(a, b) AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a)
 c AS (SELECT a AS doc_id, min(b) AS least_id FROM r GROUP BY 1)
 SELECT w.doc_id, COALESCE(n.n, 0) AS n_shingles, LEAST(w.doc_id, COALESCE(c.least_id, w.doc_id)) AS component_id
 FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN c ON c.doc_id = w.doc_id"""
+
+ORACLES["op12_conversation_trie"] = """
+WITH RECURSIVE bits(i, k, v) AS (SELECT i, 0, CAST(i AS UBIGINT) FROM range(256) x(i)
+  UNION ALL SELECT i, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, CAST(3988292384 AS UBIGINT)) ELSE v >> 1 END FROM bits WHERE k < 8),
+crc AS (SELECT list(v ORDER BY i) AS crc FROM bits WHERE k = 8),
+turns AS (SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS p,
+  octet_length(encode(COALESCE(role, ''))) || ':' || COALESCE(role, '') || COALESCE(text, '') AS spelled,
+  octet_length(encode(COALESCE(text, ''))) AS size FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (SELECT c, c - c % 5 AS b, CAST(xor(list_reduce(list_prepend(CAST(4294967295 AS UBIGINT), [CAST(ascii(x) AS UBIGINT) for x in string_split(CAST(c AS VARCHAR), '')]),
+    lambda s, x: xor(s >> 8, crc[CAST(xor(s, x) & 255 AS BIGINT) + 1])), CAST(4294967295 AS UBIGINT)) % 9 AS BIGINT) AS h
+  FROM (SELECT DISTINCT c FROM turns), crc),
+rebuilt AS (SELECT convs.c, 0 AS part, p, spelled, size FROM convs JOIN turns ON turns.c = convs.b WHERE p <= h
+  UNION ALL SELECT convs.c, 1, p, spelled, size FROM convs JOIN turns ON turns.c = convs.c WHERE p > h),
+paths AS (SELECT convs.c, COALESCE(path, []) AS path, COALESCE(sizes, []) AS sizes FROM convs LEFT JOIN
+  (SELECT c, list(md5(spelled) ORDER BY part, p) AS path, list(size ORDER BY part, p) AS sizes FROM rebuilt GROUP BY 1) USING (c)),
+steps AS (SELECT c, path, sizes, unnest(range(0, len(path) + 1)) AS d FROM paths),
+nodes AS (SELECT path[1:d] AS node, d, min(c) AS conv_id, count(*) AS n_convs, max(CASE WHEN d > 0 THEN sizes[d] ELSE 0 END) AS size,
+  count(DISTINCT path[d + 1]) FILTER (WHERE len(path) > d) AS n_children,
+  sha256(COALESCE(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE len(path) = d), '')) AS ends_sha256 FROM steps GROUP BY 1, 2),
+below AS (SELECT node[1:k] AS node, k AS d, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((n_convs - 1) * size) AS saved_tokens
+  FROM (SELECT *, unnest(range(0, d + 1)) AS k FROM nodes) GROUP BY 1, 2)
+SELECT n.conv_id, n.d AS depth, u.conv_id AS parent_conv_id, n.n_convs, n.n_children, CAST(b.n_leaves AS BIGINT) AS n_leaves,
+  CAST(b.saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN below b ON b.d = n.d AND b.node = n.node LEFT JOIN nodes u ON u.d = n.d - 1 AND u.node = n.node[1:n.d - 1]"""

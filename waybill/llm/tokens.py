@@ -20,6 +20,7 @@ _MASK = (1 << 64) - 1
 _WHITE = np.zeros(256, dtype=bool)
 _WHITE[[0x20, *range(0x09, 0x0E)]] = True
 _VALUE = np.arange(1, 257, dtype=np.uint64)
+_AS_IS = _VALUE.copy()
 _VALUE[65:91] += np.uint64(32)
 
 
@@ -64,17 +65,19 @@ class Words:
     checks: np.ndarray | None = None  # uint64, a second hash
 
 
-def _long_hash(word: np.ndarray, base: int = _BASE) -> int:
+def _long_hash(word: np.ndarray, base: int = _BASE, value: np.ndarray = _VALUE) -> int:
     powers = _POWERS if base == _BASE else _POWERS2
     total, at = 0, 0
     while at < len(word):
-        part = _VALUE[word[at:at + _BLOCK]]
+        part = value[word[at:at + _BLOCK]]
         total += int((part * powers[:len(part)]).sum(dtype=np.uint64)) * pow(base, at, 1 << 64)
         at += _BLOCK
     return total & _MASK
 
 
-def words_of(column: pa.Array, prefix: int = 0, *, check: bool = False) -> Words:
+def words_of(column: pa.Array, prefix: int = 0, *, check: bool = False, fold: bool = True) -> Words:
+    """The words of all texts; without ``fold``, A-Z and a-z differ."""
+    value = _VALUE if fold else _AS_IS
     data, ends = bytes_of(column)
     n = len(data)
     hashes, prefixes, tails, starts, stops, checks = [], [], [], [], [], []
@@ -96,13 +99,13 @@ def words_of(column: pa.Array, prefix: int = 0, *, check: bool = False) -> Words
                     nxt += int(np.flatnonzero(_WHITE[data[nxt:nxt + _BLOCK]])[0])
                     nxt = min(nxt, stop)
                 word = data[at:nxt]
-                hashes.append(np.array([_long_hash(word)], np.uint64))
-                prefixes.append(np.array([_long_hash(word[:prefix])], np.uint64))
+                hashes.append(np.array([_long_hash(word, value=value)], np.uint64))
+                prefixes.append(np.array([_long_hash(word[:prefix], value=value)], np.uint64))
                 tails.append(np.array([int(word[-1]) * 256 + int(word[-2])], np.uint16))
                 starts.append(np.array([at], np.int64))
                 stops.append(np.array([nxt], np.int64))
                 if check:
-                    checks.append(np.array([_long_hash(word, _OTHER)], np.uint64))
+                    checks.append(np.array([_long_hash(word, _OTHER, value)], np.uint64))
                 at = nxt
                 continue
             to = cut
@@ -120,7 +123,7 @@ def words_of(column: pa.Array, prefix: int = 0, *, check: bool = False) -> Words
         first = np.flatnonzero(opens)
         last = np.flatnonzero(closes) + 1
         sums = np.zeros(len(part) + 1, dtype=np.uint64)
-        np.cumsum(_VALUE[part] * _POWERS[:len(part)], out=sums[1:])
+        np.cumsum(value[part] * _POWERS[:len(part)], out=sums[1:])
         back = _INVERSES[first]
         hashes.append((sums[last] - sums[first]) * back)
         if prefix:
@@ -130,7 +133,7 @@ def words_of(column: pa.Array, prefix: int = 0, *, check: bool = False) -> Words
         starts.append(first + at)
         stops.append(last + at)
         if check:
-            np.cumsum(_VALUE[part] * _POWERS2[:len(part)], out=sums[1:])
+            np.cumsum(value[part] * _POWERS2[:len(part)], out=sums[1:])
             checks.append((sums[last] - sums[first]) * _INVERSES2[first])
         at = to
     flat = lambda parts, kind: np.concatenate(parts) if parts else np.zeros(0, kind)
