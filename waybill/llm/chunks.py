@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 
 SLICE_BYTES = 2 << 20
 TABLE_ENTRIES = 250_000
@@ -25,6 +26,12 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
             at = to
 
 
+def numbered(rows: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """The rows with columns named by their place, and the new name of each; no name of theirs clashes with an added one."""
+    names = {c: f"c{i}" for i, c in enumerate(rows.columns)}
+    return rows.select(*[rows[f"`{c}`"].alias(n) for c, n in names.items()]), names
+
+
 def utf8(column: pa.Array) -> list[bytes]:
     """The texts as bytes; null is empty."""
     return column.fill_null("").cast(pa.binary()).to_pylist()

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from ..session import written
-from .chunks import slices
+from .chunks import numbered, slices
 from .sampling import hashed_sample
 from .tokens import bytes_of
 
@@ -171,14 +171,14 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, *, label: str = "qu
 def score(docs: DataFrame, net: Network, *, text_col: str = "text", into: str = "quality_score") -> DataFrame:
     """The rows with a column of the probability of label 1."""
     shared = docs.sparkSession.sparkContext.broadcast(net)
-    others = [docs[f"`{c}`"] for c in docs.columns if c != into]
-    rows = docs.select(F.struct(*others).alias("row"), docs[text_col].alias("text"))
+    rows, names = numbered(docs)
+    text = names[text_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         tables = own.pair_tables()
-        for batch in slices(batches, "text", SLICE):
-            yield pa.record_batch([batch.column("row"), pa.array(own.score(batch.column("text"), tables), pa.float64())], names=["row", "score"])
+        for batch in slices(batches, text, SLICE):
+            yield batch.append_column("score", pa.array(own.score(batch.column(text), tables), pa.float64()))
 
-    scored = rows.mapInArrow(run, StructType([rows.schema["row"], StructField("score", DoubleType())]))
-    return scored.select("row.*", F.col("score").alias(into))
+    scored = rows.mapInArrow(run, StructType([*rows.schema, StructField("score", DoubleType())]))
+    return scored.select(*[F.col(n).alias(c) for c, n in names.items() if c != into], F.col("score").alias(into))

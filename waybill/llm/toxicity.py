@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from ..session import written
-from .chunks import slices
+from .chunks import numbered, slices
 from .sampling import hashed_sample
 from .tokens import words_of
 
@@ -243,19 +243,21 @@ def score(docs: DataFrame, model: Model, *, text_col: str = "text", lang_col: st
     """The rows with a column struct<score, threshold, toxic>."""
     spark = docs.sparkSession
     net = spark.sparkContext.broadcast(model.network)
-    others = [docs[f"`{c}`"] for c in docs.columns if c != into]
-    rows = docs.select(F.struct(*others).alias("row"), docs[text_col].alias("text"))
+    rows, names = numbered(docs)
+    text = names[text_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = net.value
         tables = own.tables()
-        for batch in slices(batches, "text", SLICE):
-            ids, ends = word_ids(batch.column("text"))
-            yield pa.record_batch([batch.column("row"), pa.array(own.score(ids, ends, tables), pa.float64())], names=["row", "score"])
-
-    scored = rows.mapInArrow(run, StructType([rows.schema["row"], StructField("score", DoubleType())]))
-    threshold = F.lit(model.thresholds[None])
-    for lang, t in sorted((k, v) for k, v in model.thresholds.items() if k is not None):
-        threshold = F.when(F.col("row")[lang_col] == lang, t).otherwise(threshold)
+        for batch in slices(batches, text, SLICE):
+            ids, ends = word_ids(batch.column(text))
+            yield batch.append_column("score", pa.array(own.score(ids, ends, tables), pa.float64()))
+
+    scored = rows.mapInArrow(run, StructType([*rows.schema, StructField("score", DoubleType())]))
+    known = {k: float(t) for k, t in sorted((k, t) for k, t in model.thresholds.items() if k is not None)}
+    threshold = F.lit(float(model.thresholds[None]))
+    if known:
+        table = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
+        threshold = F.coalesce(F.try_element_at(table, F.col(names[lang_col])), threshold)
     result = F.struct(F.col("score"), threshold.alias("threshold"), (F.col("score") >= threshold).alias("toxic"))
-    return scored.select("row.*", result.alias(into))
+    return scored.select(*[F.col(n).alias(c) for c, n in names.items() if c != into], result.alias(into))
