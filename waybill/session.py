@@ -20,6 +20,8 @@ RUNTIME_SETTINGS = {
     # the JVM never compiles a method of more than 8000 bytes; typing a wide bill makes larger ones,
     # which would be interpreted for every row (three times slower over six million FedEx lines)
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # a Python worker holds several copies of a batch; by rows alone a batch of long texts has no bound
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
 }
 
 _CHECKPOINT_SETTING = "spark.checkpoint.dir"
