@@ -72,13 +72,11 @@ class Network:
 
     def responses(self, ids: np.ndarray) -> np.ndarray:
         x = self.embedding[ids[0]] + self.embedding[ids[1]]
-        every = x @ np.concatenate([f[j] for f in self.filters for j in range(len(f))], axis=1)
-        out, at = np.zeros((len(x), FILTERS * len(self.filters)), np.float32), 0
+        out = np.zeros((len(x), FILTERS * len(self.filters)), np.float32)
         for k, f in enumerate(self.filters):
-            own = out[:, k * FILTERS:(k + 1) * FILTERS]
+            every, own = x @ np.concatenate(list(f), axis=1), out[:, k * FILTERS:(k + 1) * FILTERS]
             for j in range(len(f)):
-                own[:len(x) - j] += every[j:, at:at + FILTERS]
-                at += FILTERS
+                own[:len(x) - j] += every[j:, j * FILTERS:(j + 1) * FILTERS]
         return out
 
     def tables(self) -> list[list[np.ndarray]]:
@@ -174,8 +172,11 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, *, label: str = "to
     found = sample(docs, labels, learn, label, rows, SAMPLE_CHARS).toArrow()
     found = found.sort_by([("doc_id", "ascending"), ("text", "ascending")])
     y = found["label"].to_numpy().astype(np.float32)
-    ids, ends = word_ids(found["text"].combine_chunks()) if len(found) else (np.zeros((2, 0), np.int32), np.zeros(1, np.int64))
-    texts = [ids[:, a:b] for a, b in zip(ends, ends[1:])]
+    texts = []
+    for part in slices(iter(found.select(["text"]).combine_chunks().to_batches()), "text", SLICE):
+        ids, ends = word_ids(part.column("text"))
+        texts += [ids[:, a:b] for a, b in zip(ends, ends[1:])]
+    found = found.select(["doc_id", "text_hash"])  # the driver keeps no text while it fits
     if not len(y) or y.min() == y.max():
         net = Network.fresh()
         net.weights[:] = 0
@@ -183,7 +184,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, *, label: str = "to
         return Model(net, {None: FLOOR})
     back = np.arange(len(y)) % 5 == 4
     net = fit([t for t, b in zip(texts, back) if not b], y[~back])
-    fitted = docs.sparkSession.createDataFrame(found.filter(pa.array(~back)).select(["doc_id", "text_hash"]))
+    fitted = docs.sparkSession.createDataFrame(found.filter(pa.array(~back)))
     clean = clean_scores(docs, labels, learn, label, net, fitted)
     return Model(net, calibrate(clean["score"].to_numpy(), np.zeros(len(clean)), clean["lang"].to_pylist(), clean["n"].to_numpy()))
 
