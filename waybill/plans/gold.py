@@ -155,11 +155,10 @@ def cost_ledger(
     )
 
 
-def backfill_ledger(
-    ledger: DataFrame, attributes: DataFrame, methods: DataFrame, packages: DataFrame, shipments: DataFrame,
-    orders: DataFrame,
+def match_waiting(
+    waiting: DataFrame, attributes: DataFrame, methods: DataFrame, packages: DataFrame, shipments: DataFrame, orders: DataFrame,
 ) -> DataFrame:
-    """Ledger rows without a package get one as soon as the warehouse knows it; the rest stay as they are."""
+    """Ledger rows without a package, with the package where the warehouse knows one by now."""
     wms = warehouse_view(packages, shipments, orders)
     known = with_method_id(attributes, methods).select(
         "carrier_id", fold(F.col("tracking_number")).alias("__tracking"), "shipping_method_id"
@@ -171,15 +170,22 @@ def backfill_ledger(
             ledger_status(F.col("shipment_package_id"), unmatched=None).alias("status"),
         ).alias("__u"),
     )
-    open_row = F.col("shipment_package_id").isNull()
     updated = ["shipment_package_id", "shipment_external_id", "customer_id", "shipping_method_id", "status"]
-    waiting = ledger.where(open_row).withColumn("__tracking", fold(F.col("tracking_number")))
-    matched = waiting.join(found, ["carrier_id", "__tracking"], "left").select(
+    return waiting.withColumn("__tracking", fold(F.col("tracking_number"))).join(found, ["carrier_id", "__tracking"], "left").select(
         *[
             F.when(F.col("__u").isNotNull(), F.col(f"__u.{c}")).otherwise(F.col(c)).alias(c) if c in updated else F.col(c)
-            for c in ledger.columns
+            for c in waiting.columns
         ]
     )
+
+
+def backfill_ledger(
+    ledger: DataFrame, attributes: DataFrame, methods: DataFrame, packages: DataFrame, shipments: DataFrame,
+    orders: DataFrame,
+) -> DataFrame:
+    """Ledger rows without a package get one as soon as the warehouse knows it; the rest stay as they are."""
+    open_row = F.col("shipment_package_id").isNull()
+    matched = match_waiting(ledger.where(open_row), attributes, methods, packages, shipments, orders)
     return ledger.where(~open_row).unionByName(matched)
 
 

@@ -167,10 +167,21 @@ def new_charges(charges: DataFrame, existing: DataFrame) -> DataFrame:
     return append_new(charges, existing, CHARGE_KEY, text_keys=TEXT_KEYS)
 
 
+def file_costs(charges: DataFrame) -> DataFrame:
+    """What each file bills for each shipment: the part of its cost and of its number of charges."""
+    return charges.groupBy("carrier_id", "file_id", fold(F.col("tracking_number")).alias("tracking_number")).agg(
+        F.sum("amount").cast("decimal(18,2)").alias("amount"), F.count(F.lit(1)).alias("n_charges")
+    )
+
+
 def shipment_summary(attributes: DataFrame, charges: DataFrame) -> DataFrame:
-    """Each shipment with its billed cost, summed over all invoices, and its number of charges."""
+    """Each shipment with its billed cost, summed over all invoices, and its number of charges.
+
+    ``charges`` are single ones or what :func:`file_costs` has made of them.
+    """
+    count = F.sum("n_charges") if "n_charges" in charges.columns else F.count(F.lit(1))
     cost = charges.groupBy("carrier_id", fold(F.col("tracking_number")).alias("__shipment")).agg(
-        F.sum("amount").cast("decimal(18,2)").alias("__cost"), F.count(F.lit(1)).alias("__n")
+        F.sum("amount").cast("decimal(18,2)").alias("__cost"), count.alias("__n")
     )
     keyed = attributes.withColumn("__shipment", fold(F.col("tracking_number")))
     return keyed.join(cost, ["carrier_id", "__shipment"], "left").select(

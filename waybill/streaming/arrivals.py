@@ -16,10 +16,11 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.lookup import lookup_join
 from ..operators.merge import append_new
 from ..plans import gold
-from ..plans.carriers import UPS, CarrierPlan
+from ..plans.carriers import CarrierPlan
+from ..plans.load_gold import layouts, unified
 from ..plans.intake import file_id
 from ..plans.normalise import check_bills, incomplete_files, invoice_rollup, require_complete, typed_lines
-from ..plans.unify import SHIPMENT_KEY, shipment_attributes, shipment_charges, shipment_summary, upsert_attributes
+from ..plans.unify import shipment_summary
 from ..plans.reference import discover_charge_types, discover_methods
 from ..sources.contracts import Contract
 from ..sources.files import path_parts, read_staged
@@ -51,6 +52,9 @@ class FileLoader:
     skip_bad_files: bool = False  # load the other files of a batch and record the refused ones
     name_of: Callable[[Column], Column] = lambda path: path_parts(path).getField("file_name")
 
+    def __post_init__(self) -> None:
+        self.store.layouts = self.store.layouts or layouts()
+
     def load(self, staged: DataFrame, run_ts: Column) -> bool:
         """Load the files that are not in the tracker. Returns whether there were any."""
         name = self.name_of(F.col("file_path"))
@@ -64,6 +68,7 @@ class FileLoader:
             "file_id", "file_name", F.lit(self.plan.carrier_id).alias("carrier_id"), "source_path", "modified",
             run_ts.alias("created_at"), run_ts.alias("completed_at"),
         )
+        version = self.store.version()
         if self.store.has("tracker"):
             done = self.store.read("tracker").select("file_id")
             files = append_new(files, done, ["file_id"])
@@ -95,23 +100,13 @@ class FileLoader:
         if methods is not None and "method_name" in methods.columns:
             methods, new_methods = self._with_new("methods", methods, "shipping_method_id",
                                                   lambda known: discover_methods(self.plan, lines, known, self.carriers))
-        found = shipment_attributes(self.plan, lines, methods=methods, carriers=self.carriers)
-        charges = shipment_charges(self.plan, lines, types)
-        append = {"bills": bills, "lines": lines, "charges": charges, "tracker": files, "charge_types": new_types}
+        append, update = unified(self.store, self.plan, lines, types, methods=methods, carriers=self.carriers)
+        append |= {"bills": bills, "lines": lines, "tracker": files, "charge_types": new_types}
         if new_methods is not None:
             append["methods"] = new_methods
         if refused is not None:
             append["refused"] = refused.withColumn("refused_at", run_ts)
-        replace = {}
-        if not self.store.has("attributes"):
-            append["attributes"] = found
-        elif self.plan is UPS:
-            replace["attributes"] = upsert_attributes(self.plan, self.store.read("attributes"), found)
-        else:
-            append["attributes"] = append_new(
-                found, self.store.read("attributes"), SHIPMENT_KEY, text_keys=("tracking_number",)
-            )
-        self.store.publish(append=append, replace=replace)
+        self.store.publish(append=append, update=update, after=version)
         return True
 
     def _with_new(self, table: str, given: DataFrame, key: str, discover: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
@@ -140,7 +135,12 @@ class FileLoader:
 
     def summary(self) -> DataFrame:
         """Cost per shipment over everything loaded so far: later corrections simply add charges."""
-        return shipment_summary(self.store.read("attributes"), self.store.read("charges"))
+        return shipment_summary(self.store.read("attributes"), self.store.read("costs"))
+
+    def summary_beside(self, shipments: DataFrame) -> DataFrame:
+        """The same for some shipments (carrier_id, tracking_number): no other bucket of them is read."""
+        near = [gold.of_files(self.store.read_beside(table, shipments), shipments) for table in ("attributes", "costs")]
+        return shipment_summary(*near)
 
 
 def load_files(loader: FileLoader, contract: Contract, files: list, run_ts: Column) -> None:
@@ -183,14 +183,3 @@ def ingest(
         .trigger(availableNow=True)
         .start()
     )
-
-
-def backfill_when_packages_arrive(
-    store: Store, methods: DataFrame, packages: DataFrame, shipments: DataFrame, orders: DataFrame
-) -> None:
-    """Ledger rows that waited for their package get it; run after each delivery of warehouse data."""
-    store.publish(replace={
-        "ledger": gold.backfill_ledger(
-            store.read("ledger"), store.read("attributes"), methods, packages, shipments, orders
-        )
-    })

@@ -8,6 +8,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..plans.carriers import EASYPOST, FLAVORCLOUD, PLANS, UPS
+from ..plans.load_gold import backfill_waiting
 from ..plans.normalise import invoice_rollup, normalise, typed_lines
 from ..plans.run import publish_counted, run_job
 from ..plans.unify import shipment_charges
@@ -15,7 +16,7 @@ from ..session import fresh_dir
 from ..sources import contracts
 from ..sources.files import attach_header, header_totals, read_dhl, read_named, read_positional
 from ..sources.store import Store
-from ..streaming.arrivals import FileLoader, backfill_when_packages_arrive, ingest, stream_files
+from ..streaming.arrivals import FileLoader, ingest, stream_files
 from . import oracle as o
 from .fixtures import relation
 from .queries import query, reference, staged, warehouse
@@ -321,11 +322,9 @@ def _(spark, folder):
 @query("stream_late_wms", o.gold("SELECT carrier_id, file_id, bill_number, tracking_number, charge_type_id, amount, shipment_package_id, customer_id, status FROM ledger"))
 def _(spark, folder):
     w = warehouse(spark, folder)
-    enriched = w.enriched()
-    store = Store(spark, fresh_dir(spark, "store"))
-    early = w.ledger(enriched.where("shipment_package_id % 3 = 0"))
-    store.publish(append={"attributes": w.attributes, "ledger": early, "packages": enriched})
-    backfill_when_packages_arrive(store, w.methods, store.read("packages"), w.shipments, w.orders)
-    return store.read("ledger").select(
+    enriched = w.store.stage("packages", w.enriched())
+    w.store.publish(append={"ledger": w.ledger(enriched.where("shipment_package_id % 3 = 0")), "packages": enriched})
+    backfill_waiting(w.store, w.methods, w.store.read("packages"), w.shipments, w.orders)
+    return w.store.read("ledger").select(
         "carrier_id", "file_id", "bill_number", "tracking_number", "charge_type_id", "amount", "shipment_package_id", "customer_id", "status"
     )

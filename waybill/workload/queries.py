@@ -16,6 +16,7 @@ from ..operators.intervals import as_of_join, gaps, overlaps, range_lookup, vers
 from ..operators.merge import duplicate_keys
 from ..plans import adapter, gold, intake, legacy, multipiece, quality, thresholds, variance
 from ..plans.carriers import EASYPOST, FEDEX, PASSPORT, PLANS, UNIUNI, UPS, split_dimensions
+from ..plans.load_gold import backfill_waiting, layouts, load_to_gold, stored_charges, stored_ledger, unified
 from ..plans.normalise import (
     incomplete_files, invoice_rollup, lines_with_invoice, normalise, skip_loaded_files, typed_lines,
 )
@@ -24,7 +25,7 @@ from ..plans.unify import (
     CHARGE_KEY, SHIPMENT_KEY, _consolidate, charge_rows, new_charges, shipment_attributes, shipment_charges,
     shipment_summary, upsert_attributes,
 )
-from ..session import configure, fresh_dir
+from ..session import configure, fresh_dir, written
 from ..sources.contracts import EASYPOST as EASYPOST_CONTRACT
 from ..sources.store import Store
 from . import oracle as o
@@ -369,7 +370,12 @@ def _(spark, folder):
         *[F.lit(v).cast(money).alias(n) for n, v in zip(_MEASURES[1:], ("1.5", "2.5", "3.5", None))],
         F.lit(None).cast("int").alias("integrated_carrier_id"),
     )
-    return upsert_attributes(UPS, existing, found)
+    store = Store(spark, fresh_dir(spark, "store"), layouts())
+    store.publish(append={"attributes": existing})
+    found = written(found, "attributes")
+    parts = store.layouts["attributes"].parts(found)
+    store.publish(update={"attributes": (upsert_attributes(UPS, store.read_parts("attributes", parts), found), parts)})
+    return store.read("attributes")
 
 
 # --- duplicates, idempotent loads, corrections --------------------------------------------------------------
@@ -395,9 +401,11 @@ def _(spark, folder):
 
 @query("idempotent_append", o.unified("easypost") + ", " + "loaded AS (SELECT DISTINCT file_id FROM li WHERE ok % 8 < 3)" + f" SELECT {o.CHARGE_KEY}, amount FROM chg_easypost WHERE file_id NOT IN (SELECT file_id FROM loaded)")
 def _(spark, folder):
-    charges = charges_of(spark, folder, "easypost")
-    existing = charges.join(relation(spark, folder, "loaded_files"), "file_id", "left_semi")
-    return new_charges(charges, existing).select(*CHARGE_KEY, "amount")
+    # the history lies in buckets of its files; those that the new charges do not touch are not read
+    store = Store(spark, fresh_dir(spark, "store"), layouts())
+    charges = written(charges_of(spark, folder, "easypost"), "charges")
+    store.publish(append={"charges": charges.join(relation(spark, folder, "loaded_files"), "file_id", "left_semi")})
+    return new_charges(charges, store.read_beside("charges", charges.select("file_id"))).select(*CHARGE_KEY, "amount")
 
 
 @query("ups_corrections_arrival_order", "WITH " + o.ctes("stg_ups") + ", " + o.lines("ups") + """, turned AS (SELECT *, 9 - file_id AS came FROM lines_ups), """
@@ -412,11 +420,10 @@ def _(spark, folder):
 def _(spark, folder):
     # two loads that overlap: the second one adds only what the first one lacks
     w = warehouse(spark, folder)
-    enriched = w.enriched()
-    whole = w.ledger(enriched)
-    first = whole.where(F.xxhash64("tracking_number") % 3 == 0)
-    again = w.ledger(enriched, existing=first)
-    return first.unionByName(again)
+    enriched = written(w.enriched(), "packages")
+    w.store.publish(append={"ledger": w.ledger(enriched).where(F.xxhash64("tracking_number") % 3 == 0)})
+    w.store.publish(append={"ledger": w.ledger(enriched, existing=stored_ledger(w.store, w.charges))})
+    return w.store.read("ledger")
 
 
 @query("range_lookup_many", "WITH " + o.ctes("li") + """, r AS (SELECT DISTINCT ok * 3 AS lo, ok * 3 + 2 AS hi FROM li)
@@ -486,6 +493,7 @@ class Warehouse:
     packages: DataFrame
     shipments: DataFrame
     orders: DataFrame
+    store: Store
 
     @property
     def in_files(self) -> DataFrame:
@@ -503,23 +511,41 @@ class Warehouse:
 
 def warehouse(spark: SparkSession, folder: str) -> Warehouse:
     """The gold jobs read the unified tables from the store that the carrier load published them to."""
-    store = Store(spark, fresh_dir(spark, "store"))
+    store = Store(spark, fresh_dir(spark, "store"), layouts())
     typed = store.stage("lines", lines(spark, folder, "easypost"))
-    store.publish(append={
-        "lines": typed,
-        "attributes": shipment_attributes(EASYPOST, typed, **reference(spark, folder)),
-        "charges": shipment_charges(EASYPOST, typed, relation(spark, folder, "charge_types")),
-    })
+    append, _ = unified(store, EASYPOST, typed, relation(spark, folder, "charge_types"), **reference(spark, folder))
+    store.publish(append=append | {"lines": typed})
     return Warehouse(
         store.read("attributes"),
         store.read("charges"),
         *rel(spark, folder, "methods", "charge_types", "categories", "packages", "shipments", "wms_orders"),
+        store,
     )
 
 
 @query("file_shipments", o.unified("easypost") + "SELECT DISTINCT carrier_id, tracking_number FROM chg_easypost WHERE file_id IN (SELECT file_id FROM li WHERE ok % 8 < 3)")
 def _(spark, folder):
-    return gold.file_shipments(charges_of(spark, folder, "easypost"), relation(spark, folder, "loaded_files"))
+    store = Store(spark, fresh_dir(spark, "store"), layouts())
+    store.publish(append={"charges": charges_of(spark, folder, "easypost")})
+    return gold.file_shipments(stored_charges(store, relation(spark, folder, "loaded_files").select("file_id")))
+
+
+@query("load_to_gold", o.gold("SELECT * FROM ledger"))
+def _(spark, folder):
+    # three loads, one after the other, each followed by its warehouse work and ledger; the first is run twice
+    methods, types, categories, packages, shipments, orders = rel(
+        spark, folder, "methods", "charge_types", "categories", "packages", "shipments", "wms_orders")
+    store = Store(spark, fresh_dir(spark, "store"), layouts())
+    store.publish(append={"packages": packages, "shipments": shipments})
+    typed = lines(spark, folder, "easypost")
+    for low, high in ((0, 2), (3, 5), (6, 99)):
+        new = store.stage("lines", typed.where(F.col("file_id").between(low, high)))
+        append, update = unified(store, EASYPOST, new, types, **reference(spark, folder))
+        store.publish(append=append | {"lines": new}, update=update)
+        files = written(new.select("file_id").distinct(), "files")
+        for _ in range(2 if low == 0 else 1):
+            load_to_gold(store, files, methods=methods, charge_types=types, categories=categories, orders=orders)
+    return store.read("ledger")
 
 
 @query("gold_enrich_shipment", o.gold("""
@@ -546,9 +572,10 @@ def _(spark, folder):
 def _(spark, folder):
     # first load: the warehouse knows half of the packages; the rest arrives later
     w = warehouse(spark, folder)
-    enriched = w.enriched()
-    early = w.ledger(enriched.where("shipment_package_id % 2 = 0"))
-    return gold.backfill_ledger(early, w.attributes, w.methods, enriched, w.shipments, w.orders)
+    enriched = written(w.enriched(), "packages")
+    w.store.publish(append={"ledger": w.ledger(enriched.where("shipment_package_id % 2 = 0"))})
+    backfill_waiting(w.store, w.methods, enriched, w.shipments, w.orders)
+    return w.store.read("ledger")
 
 
 @query("default_markup_sync", o.simple(["catalog_methods", "catalog_markups", "default_markups"], """
