@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from .text import blank_to_null
+from .text import blank_to_null, note_unreadable
 
 _US_SLASHED_SHORT = r"^\d{1,2}/\d{1,2}/\d{2}$"
 _FIRST_1900S_YEAR = 69  # fixed value: two-digit years from here on are 19xx, below it 20xx
@@ -18,27 +18,43 @@ _ISO_LIKE = r"^\d{4}-\d{1,2}-\d{1,2}"
 def parse_date(c: Column) -> Column:
     """`20260115`, `2026-01-15` (with or without a time of day) or `1/15/2026`; blank gives NULL."""
     text = blank_to_null(c)
+    slashed, dashed, short = F.contains(text, F.lit("/")), F.contains(text, F.lit("-")), F.length(text) == 8
+    note_unreadable(
+        text,
+        F.when(slashed, F.try_to_date(text, "M/d/yyyy"))
+        .when(dashed, text.try_cast("date"))
+        .when(short, F.try_to_date(text, "yyyyMMdd"))
+        .otherwise(text.try_cast("date")),
+    )
     return (
-        F.when(F.contains(text, F.lit("/")), F.to_date(text, "M/d/yyyy"))
-        .when(F.contains(text, F.lit("-")), text.cast("date"))
-        .when(F.length(text) == 8, F.to_date(text, "yyyyMMdd"))
+        F.when(slashed, F.to_date(text, "M/d/yyyy"))
+        .when(dashed, text.cast("date"))
+        .when(short, F.to_date(text, "yyyyMMdd"))
         .otherwise(text.cast("date"))
     )
 
 
+def _formatted(c: Column, pattern: str) -> Column:
+    text = blank_to_null(c)
+    note_unreadable(text, F.try_to_date(text, pattern))
+    return F.to_date(text, pattern)
+
+
 def parse_long_date(c: Column) -> Column:
     """`Jan 25, 2026`."""
-    return F.to_date(blank_to_null(c), "MMM d, yyyy")
+    return _formatted(c, "MMM d, yyyy")
 
 
 def parse_us_dashed(c: Column) -> Column:
     """`01-22-2026`."""
-    return F.to_date(blank_to_null(c), "MM-dd-yyyy")
+    return _formatted(c, "MM-dd-yyyy")
 
 
 def parse_rfc3339(c: Column) -> Column:
     """`2025-01-18T10:20:30Z` as a timestamp without zone, whatever the session zone is."""
-    return blank_to_null(c).cast("timestamp_ntz")
+    text = blank_to_null(c)
+    note_unreadable(text, text.try_cast("timestamp_ntz"))
+    return text.cast("timestamp_ntz")
 
 
 def try_iso_or_us(c: Column) -> Column:

@@ -2,8 +2,34 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+
 from pyspark.sql import Column, functions as F
 
+_unreadable: ContextVar[list[Column] | None] = ContextVar("unreadable", default=None)
+
+
+@contextmanager
+def unreadable_cells() -> Iterator[list[Column]]:
+    """While it is open, every strict typing also notes a condition: this cell holds text that cannot be read.
+
+    The conditions never fail, so one pass over the rows of many files tells which of them would.
+    """
+    found: list[Column] = []
+    token = _unreadable.set(found)
+    try:
+        yield found
+    finally:
+        _unreadable.reset(token)
+
+
+def note_unreadable(text: Column, leniently: Column) -> None:
+    found = _unreadable.get()
+    if found is not None:
+        found.append(text.isNotNull() & leniently.isNull())
+
 
 def blank_to_null(c: Column) -> Column:
     return F.nullif(F.trim(c), F.lit(""))
@@ -36,9 +62,11 @@ def decimal_of(
     if commas:
         text = F.replace(text, F.lit(","), F.lit(""))
     text = F.nullif(text, F.lit(""))
+    target = f"decimal({precision},{scale})"
+    if not lenient:
+        note_unreadable(text, text.try_cast(target))
     if blank is not None:
         text = F.coalesce(text, F.lit(blank))
-    target = f"decimal({precision},{scale})"
     return text.try_cast(target) if lenient else text.cast(target)
 
 

@@ -20,15 +20,61 @@ def _upper() -> Column:
     return F.coalesce(F.col("range_max"), F.lit(UNBOUNDED).cast(RANGE_TYPE))
 
 
+# Up to so many ranges are held as one array by every task (some 100 bytes a range).
+INDEXED_RANGES = 4_096
+
+
 def range_lookup(facts: DataFrame, value: str, ranges: DataFrame, columns: list[str], prefix: str) -> DataFrame:
     """Left join each fact to the one range that holds its value; overlapping ranges are refused.
 
+    Ranges measured to be few are one sorted array, searched by halves for each fact: facts stay where they are. Many
+    ranges are carried forward over the distinct values, see :func:`_carried`. Both give the same rows.
+    """
+    named = ranges.select("range_min", "range_max", F.struct(*columns).alias("__match"))
+    few = named.select("range_min", "range_max").orderBy("range_min").limit(INDEXED_RANGES + 1).collect()
+    if len(few) > INDEXED_RANGES:
+        joined = _carried(facts, value, named)
+    else:
+        _refuse_overlaps(few)
+        joined = _searched(facts, value, named, len(few))
+    return joined.select(
+        *[F.col(c) for c in facts.columns], *[F.col(f"__match.{c}").alias(f"{prefix}{c}") for c in columns]
+    )
+
+
+def _refuse_overlaps(ranges: list) -> None:
+    """Ranges in order of their lower bounds, as (range_min, range_max)."""
+    for (low, high), (after, _) in zip(ranges, ranges[1:]):
+        if high is None or high > after:
+            raise OverlappingRanges(f"a range from {after} begins before {high}, where the one from {low} ends")
+
+
+def _searched(facts: DataFrame, value: str, named: DataFrame, n: int) -> DataFrame:
+    """The facts with the match of the range that holds their value, from ``n`` ranges as one array."""
+    if not n:
+        return facts.withColumn("__match", F.lit(None).cast(named.schema["__match"].dataType))
+    index = named.agg(F.sort_array(F.collect_list(F.struct("range_min", "range_max", "__match")))).scalar()
+    held = facts.withColumn("__ranges", index)
+    v, mid = F.col(value), "(a.low + a.high) div 2"
+    # after so many halvings, low is the number of ranges that begin at or below the value
+    steps = ", ".join("0" for _ in range(n.bit_length()))
+    below = F.expr(
+        f"aggregate(array({steps}), struct(0L AS low, {n}L AS high), (a, x) -> if(a.low < a.high, "
+        f"if(__ranges[int({mid})].range_min <= `{value}`, struct({mid} + 1 AS low, a.high AS high), struct(a.low AS low, {mid} AS high)), a)).low")
+    last = F.when(v.isNotNull() & (below > 0), F.get("__ranges", (below - 1).cast("int")))
+    found = held.withColumn("__last", last)
+    inside = F.col("__last.range_max").isNull() | (v < F.col("__last.range_max"))
+    return found.withColumn("__match", F.when(inside, F.col("__last.__match")))
+
+
+def _carried(facts: DataFrame, value: str, named: DataFrame) -> DataFrame:
+    """The same for any number of ranges.
+
     The distinct values of the facts are laid among the lower bounds, and the last range that begins
     at or below a value is carried forward to it: within buckets of values, and from bucket to bucket
     through one row per bucket. Facts get their range by equality of the value. No fact is compared
     with every range, however many there are.
     """
-    named = ranges.select("range_min", "range_max", F.struct(*columns).alias("__match"))
     clash = overlaps(named.withColumn("__row", F.to_json("__match")), [], "__row").limit(1).collect()
     if clash:
         raise OverlappingRanges(f"a range from {clash[0]['range_min']} begins before {clash[0]['reached']}, where another ends")
@@ -52,10 +98,7 @@ def range_lookup(facts: DataFrame, value: str, ranges: DataFrame, columns: list[
         carried.join(F.broadcast(before), "__bucket").select(F.col("__at").cast(kind).alias(value), found.alias("__found"))
         .where(high.isNull() | (F.col(value) < high)).select(value, "__found.__match")
     )
-    joined = facts.join(resolved, value, "left")
-    return joined.select(
-        *[F.col(c) for c in facts.columns], *[F.col(f"__match.{c}").alias(f"{prefix}{c}") for c in columns]
-    )
+    return facts.join(resolved, value, "left")
 
 
 def _bounds(rows: DataFrame, column: str) -> list:

@@ -6,21 +6,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import fold
 from ..operators.lookup import lookup_join
-from ..sources.contracts import CARRIER_ALIASES, CONTRACTS
-from ..sources.files import first_row_account, path_parts
+from ..sources.contracts import CONTRACTS
+from ..sources.files import carrier_key, first_row_account, path_parts
 
 
 class RejectedFile(ValueError):
     pass
 
 
-def carrier_key(name: Column) -> Column:
-    result = F.lower(name)
-    for alias, key in CARRIER_ALIASES.items():
-        result = F.when(F.lower(name) == alias, key).otherwise(result)
-    return result
-
-
 def file_id(file_name: Column, carrier_id: Column) -> Column:
     """The same file of the same carrier always gets the same id, on any machine and in any retry."""
     return F.xxhash64(fold(file_name), carrier_id)

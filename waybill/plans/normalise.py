@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import fold, parse_rfc3339
+from ..functions.text import unreadable_cells
 from ..operators.lookup import lookup_join
 from ..operators.merge import require_unique
 from .carriers import CarrierPlan
@@ -118,6 +120,27 @@ def incomplete_files(plan: CarrierPlan, lines: DataFrame) -> DataFrame:
     )
 
 
+def unreadable_files(plan: CarrierPlan, staged: DataFrame) -> DataFrame:
+    """Files with numbers or dates that cannot be read: the number of such lines, in one pass over all files.
+
+    What it finds is what strict typing would fail on, cell by cell.
+    """
+    invoice = plan.invoice
+    with unreadable_cells() as of_bills:
+        invoice.amount()
+        if not invoice.per_file:
+            invoice.number(), invoice.date()
+        else:
+            parse_rfc3339(F.col("time_utc"))
+    with unreadable_cells() as of_lines:
+        plan.line()
+    no = F.lit(False)
+    any_of = lambda cells: F.coalesce(reduce(lambda a, b: a | b, cells, no), no)
+    required = F.coalesce(plan.required(), no)
+    bad = required & (any_of(of_bills) | (F.coalesce(plan.line_required(), no) & any_of(of_lines)))
+    return staged.where(bad).groupBy("file_id").agg(F.count(F.lit(1)).alias("n_lines"))
+
+
 def require_complete(plan: CarrierPlan, lines: DataFrame) -> DataFrame:
     bad = incomplete_files(plan, lines).limit(1).collect()
     if bad:

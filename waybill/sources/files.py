@@ -10,9 +10,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from ..functions.text import decimal_of, not_blank, null_as_zero
 from ..operators.lookup import lookup_join
-from .contracts import DHL_HEADER, Contract
+from ..session import written
+from .contracts import CARRIER_ALIASES, CONTRACTS, DHL_HEADER, Contract
+from .heads import PATH, file_heads
 
-PATH = "file_path"
 
 
 class MissingColumns(ValueError):
@@ -43,37 +44,52 @@ def read_positional(
     )
 
 
-def file_headers(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """(file_path, path, header) of every file: its first line."""
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias(PATH), "value", F.monotonically_increasing_id().alias("at"),
-        F.col("_metadata.file_block_start").alias("start"),
-    )
-    return lines.where("start = 0").groupBy(PATH).agg(F.min_by("value", "at").alias("header"))
+def head_problems(contract: Contract, heads: list) -> dict[str, str]:
+    """Why files cannot be read, by path, from their heads (file_path, header, first_row)."""
+    out = {}
+    for row in heads:
+        cells = _cells(row["header"])
+        if not contract.positional:
+            missing = header_drift(contract, cells)["missing"]
+            if missing:
+                out[row[PATH]] = f"no column {', '.join(missing)}"
+        elif contract.header_record and not all(len(cells) >= i and cells[i - 1] for i in DHL_HEADER.values()):
+            out[row[PATH]] = "its first line is no header record"
+    return out
+
+
+def _cells(record: str | None) -> list[str]:
+    return [c.strip() for c in next(csv.reader([record]), [])] if record else []
+
+
+def _local(path: str) -> str:
+    return unquote(urlparse(path).path) if path.startswith("file:") else unquote(path)
 
 
 def read_named(spark: SparkSession, contract: Contract, path: str | list[str]) -> DataFrame:
     """Bind cells by header name, file by file: files may order and add columns as they like.
 
-    Files of one header are read in one scan. A file that lacks a column of the contract is refused.
+    Files that hold the needed columns at the same places are read in one scan, whatever else they hold. A file that
+    lacks a column of the contract is refused.
     """
-    layouts: dict[str, list[str]] = {}
-    for row in file_headers(spark, path).collect():
-        layouts.setdefault(row["header"].strip("\ufeff\r"), []).append(row[PATH])
+    heads = file_heads(spark, path).collect()
+    bad = head_problems(contract, heads)
+    if bad:
+        file, reason = min(bad.items())
+        raise MissingColumns(f"{contract.carrier}: {reason} in {file}")
+    layouts: dict[tuple[int, ...], list[str]] = {}
+    for row in heads:
+        names = _cells(row["header"])
+        layouts.setdefault(tuple(names.index(h) + 1 for h in contract.headers.values()), []).append(row[PATH])
     parts = []
-    for header, files in sorted(layouts.items()):
-        names = [n.strip() for n in next(csv.reader([header]))]
-        missing = header_drift(contract, names)["missing"]
-        if missing:
-            raise MissingColumns(f"{contract.carrier}: no column {', '.join(missing)} in {files[0]}")
+    for places, files in sorted(layouts.items()):
         raw = (
-            spark.read.schema(_text_schema(len(names)))
+            spark.read.schema(_text_schema(max(places)))
             .options(**_csv_options(True), enforceSchema=True)
-            .csv([unquote(urlparse(f).path) if f.startswith("file:") else unquote(f) for f in files])
+            .csv([_local(f) for f in files])
         )
         parts.append(raw.select(
-            *[F.col(f"c{names.index(text) + 1}").alias(name) for name, text in contract.headers.items()],
-            F.col("_metadata.file_path").alias(PATH),
+            *[F.col(f"c{i}").alias(name) for i, name in zip(places, contract.headers)], F.col("_metadata.file_path").alias(PATH),
         ))
     if not parts:
         return spark.createDataFrame([], ", ".join(f"{n} string" for n in [*contract.headers, PATH]))
@@ -89,24 +105,25 @@ def header_drift(contract: Contract, headers: list[str]) -> dict[str, list[str]]
     }
 
 
-def read_dhl(
-    spark: SparkSession, contract: Contract, path: str | list[str], *, header_marker: str = "HDR"
-) -> tuple[DataFrame, DataFrame]:
-    """A DHL file's (headers, details). The header record is told by the marker in its first cell.
+def read_dhl(spark: SparkSession, contract: Contract, path: str | list[str]) -> tuple[DataFrame, DataFrame]:
+    """A DHL file's (headers, details). The header record is the file's first line, whatever its first cell holds.
 
-    A shipment has a second line without values; it carries no tracking and goes.
+    A file whose first line does not name invoice, day, account, total and shipments is refused. A shipment has a second
+    line without values; it carries no tracking and goes.
     """
-    raw = (
-        spark.read.schema(_text_schema(contract.width))
-        .options(**_csv_options(False))
-        .csv(path)
-        .withColumn(PATH, F.col("_metadata.file_path"))
-    )
-    is_header: Column = F.upper(F.trim("c1")) == header_marker
-    headers = raw.where(is_header).select(
-        PATH, *[F.trim(f"c{i}").alias(f"header_{name}") for name, i in DHL_HEADER.items()]
-    )
-    details = raw.where(~F.coalesce(is_header, F.lit(False))).select(
+    heads = written(file_heads(spark, path), "heads")
+    bad = head_problems(contract, heads.collect())
+    if bad:
+        file, reason = min(bad.items())
+        raise MissingColumns(f"{file}: {reason}, it has 0 header records instead of one")
+    schema = _text_schema(contract.width)
+    options = {"quote": '"', "escape": '"', "mode": "PERMISSIVE"}
+    own = heads.select(PATH, F.from_csv("header", schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "), options).alias("__c"))
+    headers = own.select(PATH, *[F.trim(F.col(f"__c.c{i}")).alias(f"header_{name}") for name, i in DHL_HEADER.items()])
+    raw = spark.read.schema(schema).options(**_csv_options(False)).csv(path).withColumn(PATH, F.col("_metadata.file_path"))
+    first = own.select(PATH, F.xxhash64("__c.*").alias("__first"))
+    details = lookup_join(raw.withColumn("__hash", F.xxhash64(*[F.col(f"c{i}") for i in range(1, contract.width + 1)])), first, [PATH], "left")
+    details = details.where(F.col("__hash") != F.coalesce("__first", F.lit(0))).select(
         PATH, *[F.col(f"c{i}").alias(name) for name, i in contract.ordinals.items()]
     )
     tracked = F.coalesce(not_blank(F.col("international_tracking_number")), F.lit(False)) | F.coalesce(
@@ -115,23 +132,34 @@ def read_dhl(
     return headers, details.where(tracked)
 
 
-def require_one_header(details: DataFrame, headers: DataFrame) -> None:
-    """Refuses files that have no header record, or several: their details would vanish or multiply."""
-    counted = details.select(PATH).distinct().join(headers.groupBy(PATH).agg(F.count(F.lit(1)).alias("n")), PATH, "left")
-    bad = counted.where(F.coalesce("n", F.lit(0)) != 1).limit(1).collect()
-    if bad:
-        raise MissingColumns(f"{bad[0][PATH]} has {bad[0]['n'] or 0} header records instead of one")
-
-
 def read_staged(spark: SparkSession, contract: Contract, paths: list[str]) -> DataFrame:
     """Staged rows of files of any carrier, with the path of their file."""
     if contract.header_record:
         headers, details = read_dhl(spark, contract, paths)
-        require_one_header(details, headers)
         return attach_header(details, headers)
     return (read_positional if contract.positional else read_named)(spark, contract, paths)
 
 
+def arrived(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(file_path, first_row) of files under tenant/carrier/account folders, the row as JSON with Prop_<n> keys.
+
+    It is the file's first record, or its second one where the carrier's files begin with names or a header record.
+    """
+    titled = [name for name, c in CONTRACTS.items() if not c.positional or c.has_header or c.header_record]
+    carrier = carrier_key(path_parts(F.col(PATH)).getField("carrier"))
+    record = F.when(carrier.isin(titled), F.col("first_row")).otherwise(F.col("header"))
+    width = max([1 + c.account_ordinal for c in CONTRACTS.values()])
+    cells = F.from_csv(record, ", ".join(f"Prop_{i} string" for i in range(width)), {"quote": '"', "escape": '"'})
+    return file_heads(spark, path).select(PATH, F.to_json(cells).alias("first_row"))
+
+
+def carrier_key(name: Column) -> Column:
+    result = F.lower(name)
+    for alias, key in CARRIER_ALIASES.items():
+        result = F.when(F.lower(name) == alias, key).otherwise(result)
+    return result
+
+
 def path_parts(path: Column) -> Column:
     """`.../tenant/carrier/account/file` as a struct; the path is a URI, so `%20` means a blank."""
     parts = F.slice(F.split(path, "/"), -4, 4)

@@ -19,11 +19,12 @@ from ..plans import gold
 from ..plans.carriers import CarrierPlan
 from ..plans.load_gold import layouts, unified
 from ..plans.intake import file_id
-from ..plans.normalise import check_bills, incomplete_files, invoice_rollup, require_complete, typed_lines
+from ..plans.normalise import check_bills, incomplete_files, invoice_rollup, require_complete, typed_lines, unreadable_files
 from ..plans.unify import shipment_summary
 from ..plans.reference import discover_charge_types, discover_methods
 from ..sources.contracts import Contract
-from ..sources.files import path_parts, read_staged
+from ..sources.files import head_problems, path_parts, read_staged
+from ..sources.heads import file_heads
 from ..session import written
 from ..sources.store import Store
 
@@ -79,20 +80,21 @@ class FileLoader:
         files = written(files, "files")
         order = files.select("file_id", F.row_number().over(Window.orderBy("modified", "file_name")).cast("bigint").alias("arrival"))
         rows = lookup_join(rows.drop("modified"), order, ["file_id"], "inner")
+        unreadable = None
+        if self.skip_bad_files:
+            unreadable = written(unreadable_files(self.plan, rows).withColumn("missing", F.lit("a number or date that cannot be read")), "unreadable")
+            files, rows = (lookup_join(f, unreadable.select("file_id"), ["file_id"], "left_anti") for f in (files, rows))
         # the files' text is parsed once per table; what follows reads the typed lines
         loaded = files.select("file_id", F.col("file_name").alias("source_file"), F.col("created_at").alias("loaded_at"))
         bills = self.store.stage("bills", lookup_join(invoice_rollup(self.plan, rows), loaded, ["file_id"], "left"))
         lines = self.store.stage("lines", typed_lines(self.plan, rows, bills, bills_are_stored=True))
         refused = None
-        if not self.skip_bad_files:
+        if unreadable is None:
             require_complete(self.plan, lines)
         else:
-            bad = incomplete_files(self.plan, lines)
-            if not bad.isEmpty():
-                refused = written(bad, "refused")
-                files, bills, lines = (
-                    lookup_join(f, refused.select("file_id"), ["file_id"], "left_anti") for f in (files, bills, lines)
-                )
+            lacking = written(incomplete_files(self.plan, lines), "lacking")
+            files, bills, lines = (lookup_join(f, lacking.select("file_id"), ["file_id"], "left_anti") for f in (files, bills, lines))
+            refused = unreadable.unionByName(lacking)
         check_bills(bills)
         types, new_types = self._with_new("charge_types", self.charge_types, "charge_type_id",
                                           lambda known: discover_charge_types(self.plan, lines, known))
@@ -124,14 +126,14 @@ class FileLoader:
         every = known.select(*given.columns).unionByName(new)
         return every, new if stored else every
 
-    def refuse(self, path: str, error: Exception, run_ts: Column) -> None:
-        """Record a file that could not be loaded; it is not in the tracker and may come again."""
-        one = self.store.spark.createDataFrame([(path,)], "file_path string").withColumn("file_name", self.name_of(F.col("file_path")))
-        row = one.select(
+    def refuse(self, problems: dict[str, str], run_ts: Column) -> None:
+        """Record files that cannot be read at all, by path; they are not in the tracker and may come again."""
+        found = self.store.spark.createDataFrame(sorted(problems.items()), "file_path string, missing string")
+        named = found.withColumn("file_name", self.name_of(F.col("file_path")))
+        self.store.publish(append={"refused": named.select(
             file_id(F.col("file_name"), F.lit(self.plan.carrier_id)).alias("file_id"), F.lit(None).cast("bigint").alias("n_lines"),
-            F.lit(f"{type(error).__name__}: {error}").alias("missing"), run_ts.alias("refused_at"),
-        )
-        self.store.publish(append={"refused": row})
+            "missing", run_ts.alias("refused_at"),
+        )})
 
     def summary(self) -> DataFrame:
         """Cost per shipment over everything loaded so far: later corrections simply add charges."""
@@ -144,25 +146,24 @@ class FileLoader:
 
 
 def load_files(loader: FileLoader, contract: Contract, files: list, run_ts: Column) -> None:
-    """Load files (path, file_path, modified) in order of arrival; a file that cannot be loaded stops no other.
+    """Load files (path, file_path, modified) in order of arrival.
 
-    A failing batch is halved until the bad file is alone; that one is recorded under ``refused`` and
-    may come again. Without ``skip_bad_files`` the failure is raised.
+    With ``skip_bad_files`` a file whose data is at fault stops no other: its head does not fit the contract, a number or date
+    cannot be read, or a line lacks a required value. It is recorded under ``refused`` and may come again. Each is found by one pass
+    over all files of the batch. Anything else (a lost executor, a full disk, another load that published first) fails the
+    batch, which is then run again as a whole; no file is blamed for it.
     """
     spark = loader.store.spark
-    try:
-        staged = read_staged(spark, contract, [f["path"] for f in files])
-        when = spark.createDataFrame([(f["file_path"], f["modified"]) for f in files], "file_path string, modified timestamp")
-        loader.load(staged.join(F.broadcast(when), "file_path"), run_ts)
-    except Exception as error:
-        if not loader.skip_bad_files:
-            raise
-        if len(files) == 1:
-            loader.refuse(files[0]["file_path"], error, run_ts)
-            return
-        half = len(files) // 2
-        for part in (files[:half], files[half:]):
-            load_files(loader, contract, part, run_ts)
+    if loader.skip_bad_files and not (contract.positional and not contract.header_record):
+        problems = head_problems(contract, file_heads(spark, [f["path"] for f in files]).collect())
+        if problems:
+            loader.refuse(problems, run_ts)
+            files = [f for f in files if f["file_path"] not in problems]
+    if not files:
+        return
+    staged = read_staged(spark, contract, [f["path"] for f in files])
+    when = spark.createDataFrame([(f["file_path"], f["modified"]) for f in files], "file_path string, modified timestamp")
+    loader.load(staged.join(F.broadcast(when), "file_path"), run_ts)
 
 
 def ingest(

@@ -93,14 +93,14 @@ def write_dhl(spark: SparkSession, folder: str) -> str:
     empty = F.lit(None).cast("string")
     cells = range(1, contracts.DHL.width + 1)
     detail = rows.select("file_id", F.lit(1).alias("k"), *[
-        F.lit("DTL").alias("c1") if i == 1 else (F.col(names[i]) if i in names else empty).alias(f"c{i}") for i in cells
+        (F.col(names[i]) if i in names else empty).alias(f"c{i}") for i in cells
     ])
     second = rows.select("file_id", F.lit(1).alias("k"), *[
-        F.lit("DTL").alias("c1") if i == 1 else empty.alias(f"c{i}") for i in cells
+        (F.col(names[i]) if i == contracts.DHL.account_ordinal + 1 else empty).alias(f"c{i}") for i in cells
     ])
     bills = invoice_rollup(PLANS["dhl"], rows.withColumns({"invoice_number": F.concat(F.lit("F"), F.col("file_id")), "invoice_date": F.lit("2024-03-01")}))
     header = {
-        1: F.lit("HDR"), 2: F.lit("2024-03-01"), 3: F.col("bill_number"), 4: F.col("account_number"),
+        2: F.lit("2024-03-01"), 3: F.col("bill_number"), 4: F.col("account_number"),
         12: (F.col("total_amount") + F.when(F.col("file_id") == 3, 1).otherwise(0)).cast("string"), 14: F.col("num_shipments").cast("string"),
     }
     top = bills.select("file_id", F.lit(0).alias("k"), *[header.get(i, empty).alias(f"c{i}") for i in cells])

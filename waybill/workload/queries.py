@@ -533,14 +533,15 @@ def _(spark, folder):
 @query("load_to_gold", o.gold("SELECT * FROM ledger"))
 def _(spark, folder):
     # three loads, one after the other, each followed by its warehouse work and ledger; the first is run twice
-    methods, types, categories, packages, shipments, orders = rel(
-        spark, folder, "methods", "charge_types", "categories", "packages", "shipments", "wms_orders")
+    names = ("methods", "charge_types", "categories", "carriers", "wms_orders")
+    methods, types, categories, carriers, orders = (written(t, n) for t, n in zip(rel(spark, folder, *names), names))
     store = Store(spark, fresh_dir(spark, "store"), layouts())
+    packages, shipments = rel(spark, folder, "packages", "shipments")
     store.publish(append={"packages": packages, "shipments": shipments})
-    typed = lines(spark, folder, "easypost")
+    typed = written(lines(spark, folder, "easypost"), "typed")
     for low, high in ((0, 2), (3, 5), (6, 99)):
         new = store.stage("lines", typed.where(F.col("file_id").between(low, high)))
-        append, update = unified(store, EASYPOST, new, types, **reference(spark, folder))
+        append, update = unified(store, EASYPOST, new, types, methods=methods, carriers=carriers)
         store.publish(append=append | {"lines": new}, update=update)
         files = written(new.select("file_id").distinct(), "files")
         for _ in range(2 if low == 0 else 1):
