@@ -24,6 +24,8 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
             to = max(at + 1, int(np.searchsorted(ends, before + limit, side="right")))
             yield batch.slice(at, to - at)
             at = to
+    # a worker lives on for other tasks and gives back what this one no longer needs
+    pa.default_memory_pool().release_unused()
 
 
 def numbered(rows: DataFrame) -> tuple[DataFrame, dict[str, str]]:
