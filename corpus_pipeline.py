@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from waybill.llm import decontaminate, jaccard_join, pii, piece_codec, toxicity
 from waybill.llm.queries import TOKENIZERS, remainder
+from waybill.operators.lookup import BROADCAST_ROWS
 from waybill.session import configure, fresh_dir, remove_at_exit, written
 from waybill.sources.tables import read_table
 
@@ -34,9 +35,10 @@ def stage(work: Stage) -> Stage:
 
 
 def joined(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
-    keys = keys.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
+    """``docs`` joined to keys (doc_id, text_hash): documents stay where they are while the keys are counted to be few."""
+    keys = written(keys.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct(), "keys")
     same = docs["doc_id"].eqNullSafe(keys["__id"]) & (F.xxhash64(docs["text"]) == keys["__hash"])
-    return docs.join(keys, same, how)
+    return docs.join(F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys, same, how)
 
 
 def without(docs: DataFrame, found: DataFrame) -> DataFrame:
