@@ -246,3 +246,65 @@ def test_few_and_many_ranges_agree(spark, monkeypatch, n):
     few = sorted((tuple(r) for r in found.collect()), key=str)
     monkeypatch.setattr(intervals, "INDEXED_RANGES", -1)
     assert sorted((tuple(r) for r in intervals.range_lookup(facts, "v", ranges, ["name"], "r_").collect()), key=str) == few
+
+
+# --- intake ---------------------------------------------------------------------------------------------------
+
+
+def test_wrong_account_is_refused(spark, tmp_path, loader):  # noqa: F811
+    loader.account_of = lambda path: path.split("/")[-2]
+    headers = [*contracts.EASYPOST.headers.values()]
+    names = [*headers, *(f"n{i}" for i in range(32 - len(headers))), "account"]
+    base = {"created_at": "2025-01-18T10:00:00Z", "carrier_account_id": "x", "service": "Ground", "carrier": "USPS", "postage_fee": "1", "account": "ca_1"}
+    for account, code in (("ca_1", "A"), ("ca_2", "B")):
+        inbox = tmp_path / "t" / "easypost" / account
+        inbox.mkdir(parents=True)
+        row = base | {"tracking_code": code}
+        (inbox / f"{account}.csv").write_text(",".join(names) + "\n" + ",".join(row.get(n, "") for n in names) + "\n")
+    with pytest.raises(Exception, match="account mismatch: expected ca_2, found ca_1"):
+        run_stream(spark, loader, tmp_path / "t" / "easypost", tmp_path / "c")
+    loader.skip_bad_files = True
+    run_stream(spark, loader, tmp_path / "t" / "easypost", tmp_path / "c")
+    assert [r.file_name for r in loader.store.read("tracker").collect()] == ["ca_1.csv"]
+    assert ["account mismatch" in r.missing for r in loader.store.read("refused").collect()] == [True]
+
+
+def test_bill_one_cent_off_publishes_nothing(spark, tmp_path):
+    from waybill.plans.carriers import PLANS
+    from waybill.streaming.arrivals import FileLoader
+
+    types = spark.createDataFrame([(1, 3, "Transportation Cost")], "charge_type_id int, carrier_id int, charge_name string")
+    loader = FileLoader(PLANS["dhl"], Store(spark, str(tmp_path / "store")), types, check_totals=True)  # noqa: F811
+    inbox = tmp_path / "t" / "dhl" / "ACC"
+    inbox.mkdir(parents=True)
+    for name, total in (("good", "12.50"), ("off", "12.51")):
+        top = dhl_cells(c2="2025-01-02", c3=name, c4="ACC", c12=total, c14="1")
+        (inbox / f"{name}.csv").write_text(top + "\n" + dhl_cells(c2="ACC", c9="2025-01-01", c13=f"U{name}", c19="12345", c30="12.50") + "\n")
+    arrivals = lambda: stream_files(spark, str(inbox), files_per_batch=10)
+    with pytest.raises(Exception, match="its header says 12.51, its lines add up to 12.50"):
+        ingest(loader, contracts.DHL, arrivals(), str(tmp_path / "c"), run_ts()).awaitTermination()
+    assert loader.store.manifest() == {}
+    loader.skip_bad_files = True
+    ingest(loader, contracts.DHL, arrivals(), str(tmp_path / "c"), run_ts()).awaitTermination()
+    assert [r.file_name for r in loader.store.read("tracker").collect()] == ["good.csv"]
+
+
+def test_load_that_died_is_seen_and_run_again(spark, tmp_path, loader):  # noqa: F811
+    from waybill.streaming import arrivals
+
+    inbox = tmp_path / "t" / "easypost" / "ca_1"
+    easypost_file(inbox, "1.csv", {"tracking_code": "A", "rate": "20"})
+    before = arrivals.check_bills
+    try:
+        arrivals.check_bills = lambda bills: 1 / 0
+        with pytest.raises(Exception, match="division"):
+            run_stream(spark, loader, inbox, tmp_path / "c")
+    finally:
+        arrivals.check_bills = before
+    assert [r.file_name for r in loader.unfinished().collect()] == ["1.csv"] and not loader.store.has("tracker")
+    later = F.lit(dt.datetime(2026, 1, 2)).cast("timestamp_ntz")
+    ingest(loader, contracts.EASYPOST, stream_files(spark, str(inbox)), str(tmp_path / "c"), later).awaitTermination()
+    row = loader.store.read("tracker").first()
+    assert row.created_at < row.completed_at == dt.datetime(2026, 1, 2) and loader.unfinished().count() == 0
+    near = loader.summary_beside(spark.createDataFrame([(4, "a ")], "carrier_id int, tracking_number string"))
+    assert [r.tracking_number for r in near.collect()] == ["A"] and "bucket#" in plan_of(near)

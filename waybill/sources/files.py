@@ -58,6 +58,13 @@ def head_problems(contract: Contract, heads: list) -> dict[str, str]:
     return out
 
 
+def account_in(contract: Contract, head) -> str | None:
+    """The account named in a file's first row of data, from its head (header, first_row)."""
+    titled = not contract.positional or contract.has_header or contract.header_record
+    cells = _cells(head["first_row"] if titled else head["header"])
+    return cells[contract.account_ordinal] if len(cells) > contract.account_ordinal else None
+
+
 def _cells(record: str | None) -> list[str]:
     return [c.strip() for c in next(csv.reader([record]), [])] if record else []
 

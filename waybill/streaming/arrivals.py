@@ -1,7 +1,7 @@
 """Carrier files as they arrive: each goes once through the batch jobs, however often it is delivered.
 
 The stream's checkpoint remembers which files it has seen; the tracker table, published together with
-the data, remembers which files are loaded. A batch that fails publishes nothing and is run again; a
+the data, remembers which files are loaded; a file is registered before its load begins. A batch that fails publishes nothing and is run again; a
 batch that is replayed after it published finds its files in the tracker and does nothing.
 """
 
@@ -18,12 +18,12 @@ from ..operators.merge import append_new
 from ..plans import gold
 from ..plans.carriers import CarrierPlan
 from ..plans.load_gold import layouts, unified
-from ..plans.intake import file_id
+from ..plans.intake import RejectedFile, file_id
 from ..plans.normalise import check_bills, incomplete_files, invoice_rollup, require_complete, typed_lines, unreadable_files
 from ..plans.unify import shipment_summary
 from ..plans.reference import discover_charge_types, discover_methods
 from ..sources.contracts import Contract
-from ..sources.files import head_problems, path_parts, read_staged
+from ..sources.files import account_in, head_problems, header_totals, path_parts, read_dhl, read_staged
 from ..sources.heads import file_heads
 from ..session import written
 from ..sources.store import Store
@@ -52,6 +52,8 @@ class FileLoader:
     carriers: DataFrame | None = None
     skip_bad_files: bool = False  # load the other files of a batch and record the refused ones
     name_of: Callable[[Column], Column] = lambda path: path_parts(path).getField("file_name")
+    account_of: Callable[[str], str] | None = None  # the account that a file's path promises; its first row has to name it
+    check_totals: bool = False  # a header record's total has to agree with its lines
 
     def __post_init__(self) -> None:
         self.store.layouts = self.store.layouts or layouts()
@@ -67,9 +69,7 @@ class FileLoader:
         files = rows.groupBy("file_id", "file_name").agg(F.min("file_path").alias("source_path"), F.min("modified").alias("modified"))
         files = files.select(
             "file_id", "file_name", F.lit(self.plan.carrier_id).alias("carrier_id"), "source_path", "modified",
-            run_ts.alias("created_at"), run_ts.alias("completed_at"),
         )
-        version = self.store.version()
         if self.store.has("tracker"):
             done = self.store.read("tracker").select("file_id")
             files = append_new(files, done, ["file_id"])
@@ -77,7 +77,8 @@ class FileLoader:
         if files.isEmpty():
             return False
         # one row per file: the window orders the files of this load, earlier loads are in the store
-        files = written(files, "files")
+        files = self._register(written(files, "files"), run_ts)
+        version = self.store.version()
         order = files.select("file_id", F.row_number().over(Window.orderBy("modified", "file_name")).cast("bigint").alias("arrival"))
         rows = lookup_join(rows.drop("modified"), order, ["file_id"], "inner")
         unreadable = None
@@ -103,7 +104,7 @@ class FileLoader:
             methods, new_methods = self._with_new("methods", methods, "shipping_method_id",
                                                   lambda known: discover_methods(self.plan, lines, known, self.carriers))
         append, update = unified(self.store, self.plan, lines, types, methods=methods, carriers=self.carriers)
-        append |= {"bills": bills, "lines": lines, "tracker": files, "charge_types": new_types}
+        append |= {"bills": bills, "lines": lines, "tracker": files.withColumn("completed_at", run_ts), "charge_types": new_types}
         if new_methods is not None:
             append["methods"] = new_methods
         if refused is not None:
@@ -111,6 +112,22 @@ class FileLoader:
         self.store.publish(append=append, update=update, after=version)
         return True
 
+    def _register(self, files: DataFrame, run_ts: Column) -> DataFrame:
+        """The files with the time they were first registered; new ones are recorded before anything of them is loaded."""
+        new = files.withColumn("created_at", run_ts)
+        if self.store.has("registered"):
+            new = append_new(new, self.store.read("registered"), ["file_id"])
+        new = written(new, "registered")
+        if not new.isEmpty():
+            self.store.publish(append={"registered": new})
+        known = self.store.read("registered").select("file_id", "created_at")
+        return written(lookup_join(files, known, ["file_id"], "left"), "files")
+
+    def unfinished(self) -> DataFrame:
+        """Files that were registered and not completed: refused ones, and those whose load has died."""
+        registered = self.store.read("registered")
+        return append_new(registered, self.store.read("tracker"), ["file_id"]) if self.store.has("tracker") else registered
+
     def _with_new(self, table: str, given: DataFrame, key: str, discover: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
         """The reference table with what the lines add, and the rows to append to the store."""
         stored = self.store.has(table)
@@ -145,6 +162,26 @@ class FileLoader:
         return shipment_summary(*near)
 
 
+def intake_problems(loader: FileLoader, contract: Contract, files: list) -> dict[str, str]:
+    """Why files (path, file_path) must not be loaded: their head, their account, or a total that their lines do not add up to."""
+    spark = loader.store.spark
+    headless = contract.positional and not contract.header_record
+    problems: dict[str, str] = {}
+    if loader.account_of is not None or not headless:
+        heads = file_heads(spark, [f["path"] for f in files]).collect()  # as many rows as files in a trigger
+        problems = head_problems(contract, heads)
+        for row in heads if loader.account_of is not None else ():
+            expected, found = loader.account_of(row["file_path"]), account_in(contract, row)
+            if not found or found.lower() != expected.lower():
+                problems.setdefault(row["file_path"], f"account mismatch: expected {expected}, found {found}")
+    good = [f["path"] for f in files if f["file_path"] not in problems]
+    if loader.check_totals and contract.header_record and good:
+        headers, details = read_dhl(spark, contract, good)
+        for row in header_totals(details, headers).where("agrees is null or not agrees").collect():
+            problems[row["file_path"]] = f"its header says {row['header_total']}, its lines add up to {row['detail_total']}"
+    return problems
+
+
 def load_files(loader: FileLoader, contract: Contract, files: list, run_ts: Column) -> None:
     """Load files (path, file_path, modified) in order of arrival.
 
@@ -154,11 +191,13 @@ def load_files(loader: FileLoader, contract: Contract, files: list, run_ts: Colu
     batch, which is then run again as a whole; no file is blamed for it.
     """
     spark = loader.store.spark
-    if loader.skip_bad_files and not (contract.positional and not contract.header_record):
-        problems = head_problems(contract, file_heads(spark, [f["path"] for f in files]).collect())
-        if problems:
-            loader.refuse(problems, run_ts)
-            files = [f for f in files if f["file_path"] not in problems]
+    problems = intake_problems(loader, contract, files)
+    if problems and not loader.skip_bad_files:
+        path, reason = min(problems.items())
+        raise RejectedFile(f"{path}: {reason}")
+    if problems:
+        loader.refuse(problems, run_ts)
+        files = [f for f in files if f["file_path"] not in problems]
     if not files:
         return
     staged = read_staged(spark, contract, [f["path"] for f in files])

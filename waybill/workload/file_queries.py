@@ -328,3 +328,38 @@ def _(spark, folder):
     return w.store.read("ledger").select(
         "carrier_id", "file_id", "bill_number", "tracking_number", "charge_type_id", "amount", "shipment_package_id", "customer_id", "status"
     )
+
+
+# --- every carrier's files through the loader ------------------------------------------------------------------
+
+
+def _load_query(key: str) -> None:
+    """Registration, reference data, bills, lines, shipments and charges of all files of a carrier, in two loads."""
+    plan, contract = PLANS[key], contracts.CONTRACTS[contracts.CARRIER_ALIASES.get(key, key)]
+    only = " AND EXISTS (SELECT 1 FROM attr_fedex a WHERE lower(a.tracking_number) = lower(t.tracking_number))" if key == "fedex" else ""
+    sql = o.unified(key, with_attributes=False) + f""", named AS (SELECT t.* FROM tall_{key} t WHERE trim(tracking_number) <> ''{only})
+SELECT lower(rtrim(tracking_number)) AS tracking, CAST(sum(amount) AS DECIMAL(18,2)) AS billed,
+  count(DISTINCT (file_id, lower(rtrim(bill_number)), bill_date, lower(rtrim(charge_name)))) AS charges FROM named GROUP BY 1"""
+
+    @query(f"load_{key}", sql)
+    def _(spark, folder):
+        # a file with lines that lack a required value is refused; load_bad_file_alone has that case
+        rows = staged(spark, folder, key).where(" and ".join(f"trim({c}) <> ''" for c in plan.not_null) or "true")
+        if contract.header_record:
+            files = write_dhl(spark, folder)
+        else:
+            files = fresh_dir(spark, f"{key}-arrivals")
+            if contract.positional:
+                write_positional(rows, contract, files, header=contract.has_header)
+            else:
+                write_named(rows, contract, files)
+        _arrive_in_order(spark, files)
+        loader = _loader(spark, folder, plan)
+        ingest(loader, contract, stream_files(spark, files, files_per_batch=4), fresh_dir(spark, "checkpoint"), run_ts()).awaitTermination()
+        costs = loader.store.read("costs")
+        return costs.groupBy(F.col("tracking_number").alias("tracking")).agg(
+            F.sum("amount").cast("decimal(18,2)").alias("billed"), F.sum("n_charges").alias("charges"))
+
+
+for _key in PLANS:
+    _load_query(_key)

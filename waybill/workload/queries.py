@@ -700,6 +700,18 @@ def _(spark, folder):
     return thresholds.replacement(_SCOPE, _json_ranges(spark, folder), "range_id")[1]
 
 
+@query("threshold_replace_stored", "WITH " + o.ctes("json_configs") + _JSON_SQL + """
+SELECT scope, CAST(CASE WHEN clash OR zero THEN 1 ELSE 3 END AS BIGINT) AS ranges_stored FROM parts""")
+def _(spark, folder):
+    # every scope begins with one range of its own; a scope that fails a rule keeps it
+    store = Store(spark, fresh_dir(spark, "store"), thresholds.threshold_layout(_SCOPE))
+    ranges = written(_json_ranges(spark, folder), "ranges")
+    first = ranges.where("metric_type = 'weight'").withColumns({"threshold_value": F.lit(1).cast("decimal(12,2)"), "range_min": F.lit(0).cast("decimal(12,2)")})
+    thresholds.publish_replacement(store, _SCOPE, first.dropDuplicates(_SCOPE).select(*ranges.columns), "range_id")
+    thresholds.publish_replacement(store, _SCOPE, ranges, "range_id")
+    return store.read(thresholds.CONFIGURED).groupBy(*_SCOPE).agg(F.count("*").alias("ranges_stored"))
+
+
 @query("threshold_versions", o.simple(["config_versions"], """
 SELECT scope, effective_date, max(version_id) AS version_id, lead(effective_date) OVER (PARTITION BY scope ORDER BY effective_date) AS next_effective_date
 FROM config_versions GROUP BY scope, effective_date"""))
