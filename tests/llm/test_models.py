@@ -183,6 +183,94 @@ def test_toxicity(spark, table, odd):
     assert {r.doc_id: round(r.toxicity.score, 5) for r in alone} == {r.doc_id: round(r.toxicity.score, 5) for r in got if r.doc_id in (4, 8)}
 
 
+def plain_score(net, ids, n_words):
+    """Of one text, word by word."""
+    word = net.embedding[ids[0]] + net.embedding[ids[1]]
+    pooled = []
+    for f in net.filters:
+        at = [sum(word[i + j] @ f[j] for j in range(len(f))) for i in range(n_words + 1)]
+        n = max(-(-n_words // toxicity.PIECE), 1)
+        cuts = [*range(0, n * toxicity.PIECE, toxicity.PIECE), n_words + 1]
+        pooled.append([np.maximum(np.max(at[a:b], axis=0), 0) for a, b in zip(cuts, cuts[1:])])
+    features = np.concatenate([np.max(p, axis=0) for p in pooled] + [np.mean(p, axis=0) for p in pooled])
+    return 1 / (1 + np.exp(-(features @ net.weights + net.bias)))
+
+
+def wide_network(seed):
+    net = toxicity.Network.fresh(seed)
+    net.embedding, net.weights = net.embedding.astype(float), net.weights.astype(float)
+    net.filters = [f.astype(float) for f in net.filters]
+    return net
+
+
+def test_toxicity_is_scored_as_word_by_word():
+    rng = random.Random(4)
+    sizes = [0, 1, 63, 64, 65, 128, 129, 300]
+    ids, ends = toxicity.word_ids(pa.array([" ".join(f"v{rng.randrange(200)}" for _ in range(n)) for n in sizes]))
+    net = wide_network(2)
+    net.weights = np.random.default_rng(3).normal(0, 0.3, len(net.weights))
+    got = net.score(ids, ends, net.tables())
+    for n, a, b, score in zip(sizes, ends, ends[1:], got):
+        assert score == pytest.approx(plain_score(net, ids[:, a:b], n), rel=1e-4)
+
+
+def test_toxicity_gradients():
+    rng = random.Random(4)
+    ids, ends = toxicity.word_ids(pa.array([" ".join(f"v{rng.randrange(50)}" for _ in range(n)) for n in (3, 64, 200, 70)]))
+    net = wide_network(2)
+    labels, weight = np.array([0, 1, 1, 0]), np.array([0.1, 0.4, 0.2, 0.3])
+
+    def loss():
+        p = net.score(ids, ends, net.tables())
+        return -(weight * np.where(labels > 0, np.log(p), np.log(1 - p))).sum()
+
+    # responses are rounded to single precision, so steps are not too small
+    grads, bias, rows, moves = toxicity.gradients(net, ids, ends, (labels, weight))
+    embedding = np.zeros_like(net.embedding)
+    np.add.at(embedding, rows, moves)
+    row = int(rows[np.abs(moves).sum(axis=1).argmax()])
+    checks = [(net.filters[k], (j, 3, int(np.abs(grads[k][j, 3]).argmax())), grads[k]) for k, j in ((0, 0), (1, 1), (2, 4))]
+    checks += [(net.weights, (0,), grads[-1]), (net.weights, (30,), grads[-1]), (net.embedding, (row, 2), embedding)]
+    for values, at, grad in checks:
+        kept, step, around = values[at], 1e-4, []
+        for sign in (1, -1):
+            values[at] = kept + sign * step
+            around.append(loss())
+        values[at] = kept
+        assert (around[0] - around[1]) / (2 * step) == pytest.approx(grad[at], rel=0.02, abs=2e-4)
+    net.bias += 1e-4
+    high = loss()
+    net.bias -= 2e-4
+    assert (high - loss()) / 2e-4 == pytest.approx(bias, rel=0.02, abs=2e-4)
+
+
+def test_toxicity_is_told_by_the_beginnings_of_words():
+    # inflected forms that no fitted text holds, of one marked beginning
+    rng = random.Random(9)
+
+    def text(marked):
+        out = [f"w{rng.randrange(300)}" for _ in range(rng.randrange(40, 150))]
+        for _ in range(5 * marked):
+            out[rng.randrange(len(out))] = f"achli{rng.randrange(10**9)}"
+        return " ".join(out)
+
+    labels = np.array([i % 5 == 0 for i in range(600)], np.float32)
+    ids, ends = toxicity.word_ids(pa.array([text(y > 0) for y in labels]))
+    texts = [ids[:, a:b] for a, b in zip(ends, ends[1:])]
+    net = toxicity.fit(texts[:400], labels[:400])
+    scores = net.score(ids, ends, net.tables())[400:]
+    assert ((scores >= 0.7) == (labels[400:] > 0)).mean() >= 0.97
+    # scores of other folds tell as much
+    own = toxicity.out_of_fold(texts[:400], labels[:400])
+    assert ((own >= 0.7) == (labels[:400] > 0)).mean() >= 0.97
+
+
+def test_a_language_of_few_texts_is_not_set_by_one():
+    scores = np.concatenate([np.full(99, 0.1), [0.98]])
+    assert toxicity.calibrate(scores, np.zeros(100), ["es"] * 100) == {None: toxicity.FLOOR, "es": toxicity.FLOOR}
+    assert toxicity.calibrate(np.array([0.9]), np.zeros(1), ["es"]) == {None: toxicity.FLOOR}
+
+
 def test_thresholds_by_language():
     rng = np.random.default_rng(1)
     scores = np.concatenate([rng.uniform(0, 0.5, 400), rng.uniform(0.6, 0.9, 400), [0.95] * 10])
