@@ -20,11 +20,11 @@ row repeated exactly is one row here; a null id sorts last. Every paragraph of e
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
@@ -39,6 +39,7 @@ WORDS, STEP = 30, 16
 BANDS, ROWS = 3, 2
 SLICE = 1 << 20
 PERCENT = 80
+_START_BITS = 24  # of the place where a class occurs first
 _MOVED = 4  # words by which overlapping paragraphs may be moved and still reach the similarity
 _SIZE = WORDS - SHINGLE + 1  # shingles in a paragraph
 _SEEDS = [np.uint64((0x9E3779B97F4A7C15 * (k + 1)) & ((1 << 64) - 1)) for k in range(BANDS * ROWS)]
@@ -81,29 +82,27 @@ class Paragraphs:
         self.at = np.flatnonzero(chosen & room)
         self.text = text[self.at]
         self.start = (self.at - ends[:-1][self.text]).astype(np.int32)
+        sums = np.zeros(len(shingles) + 1, np.uint64)
+        np.cumsum(mix(shingles), out=sums[1:])
+        self.content = mix(sums[self.at + _SIZE] - sums[self.at]) if len(self.at) else np.zeros(0, np.uint64)
+
+    @cached_property
+    def bands(self) -> np.ndarray:
+        """One row per band, one column per paragraph."""
         bands = []
         for band in range(BANDS):
             key = np.full(len(self.at), band + 1, np.uint64)
             for row in range(ROWS):
-                low = sliding_min(mix(shingles ^ _SEEDS[band * ROWS + row]), _SIZE)
+                low = sliding_min(mix(self.shingles ^ _SEEDS[band * ROWS + row]), _SIZE)
                 key = mix(key + low[self.at]) if len(low) else key
             bands.append(key)
-        self.bands = np.stack(bands) if bands else np.zeros((0, 0), np.uint64)
-        sums = np.zeros(len(shingles) + 1, np.uint64)
-        np.cumsum(mix(shingles), out=sums[1:])
-        self.content = mix(sums[self.at + _SIZE] - sums[self.at]) if len(self.at) else np.zeros(0, np.uint64)
-
-    def band_lists(self, keep: np.ndarray) -> pa.ListArray:
-        flat = pa.array(np.ascontiguousarray(self.bands[:, keep].T).ravel().view(np.int64))
-        return pa.ListArray.from_arrays(pa.array(np.arange(len(keep) + 1, dtype=np.int32) * BANDS), flat)
+        return np.stack(bands)
 
-    def items(self, keep: np.ndarray, news: np.ndarray) -> pa.Array:
-        """The shingles in order of those that are new, null for the others."""
-        rows = self.shingles[self.at[keep[news]][:, None] + np.arange(_SIZE)[None]]
-        offsets = np.zeros(len(keep) + 1, np.int32)
-        np.cumsum(news * _SIZE * 8, out=offsets[1:])
-        made = pa.Array.from_buffers(pa.binary(), len(keep), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(rows))])
-        return pc.if_else(pa.array(news), made, pa.scalar(None, pa.binary()))
+    def items(self, keep: np.ndarray) -> pa.Array:
+        """The shingles of paragraphs in order, as bytes."""
+        rows = np.ascontiguousarray(self.shingles[self.at[keep][:, None] + np.arange(_SIZE)[None]])
+        offsets = np.arange(len(keep) + 1, dtype=np.int32) * (_SIZE * 8)
+        return pa.Array.from_buffers(pa.binary(), len(keep), [None, pa.py_buffer(offsets), pa.py_buffer(rows)])
 
 
 def close(x: np.ndarray, y: np.ndarray) -> bool:
@@ -111,6 +110,31 @@ def close(x: np.ndarray, y: np.ndarray) -> bool:
     return at_least(PERCENT)(np.unique(x), np.unique(y))
 
 
+def first_spelled(texts: DataFrame, members: DataFrame) -> DataFrame:
+    """(node, items): the shingles of each class of ``members`` (node, occurs), from the place where it occurs first.
+
+    ``texts``: text, place. Filters of fixed size choose texts and paragraphs, so a class of many copies is read once.
+    """
+    first = members.select("node", "occurs").distinct()
+    key = F.xxhash64(F.shiftrightunsigned("place", _START_BITS)).alias("key")
+    owners = first.select(F.col("occurs").alias("place")).select(key)
+    spots = first.select(F.col("node").bitwiseXOR(F.col("occurs")).alias("key"))
+    wanted = texts.sparkSession.sparkContext.broadcast((key_filter(owners, "key"), key_filter(spots, "key")))
+
+    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.take(pa.array(np.sort(passes(wanted.value[0], batch.column("key").to_numpy().view(np.uint64)))))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(chosen(batches), "text", SLICE):
+            found = Paragraphs(batch.column("text"))
+            occurs = batch.column("place").to_numpy()[found.text] | (found.start.astype(np.int64) & ((1 << _START_BITS) - 1))
+            keep = np.sort(passes(wanted.value[1], found.content ^ occurs.view(np.uint64)))
+            yield pa.record_batch([pa.array(found.content[keep].view(np.int64)), found.items(keep)], names=["node", "items"])
+
+    return texts.select("text", "place", key).mapInArrow(run, "node bigint, items binary").dropDuplicates(["node"])
+
+
 def beside(places: DataFrame) -> DataFrame:
     """(a, b) with a < b: classes of which one occurs only where the other does too, moved by a few words.
 
@@ -159,28 +183,29 @@ def repeated(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text")
         for batch in slices(batches, "text", SLICE):
             found = Paragraphs(batch.column("text"))
             keep = np.unique(passes(wanted.value, found.bands.ravel()) % max(len(found.at), 1))
-            _, once = np.unique(found.content[keep], return_index=True)
-            news = np.zeros(len(keep), bool)
-            news[once] = True
             rows = batch.select(["id", "text_hash"]).take(pa.array(found.text[keep]))
             yield pa.record_batch([
                 rows.column("id"), rows.column("text_hash"), pa.array(found.start[keep]), pa.array(found.content[keep].view(np.int64)),
-                found.band_lists(keep), found.items(keep, news),
-            ], names=["id", "text_hash", "start", "content", "bands", "items"])
+                *[pa.array(band[keep].view(np.int64)) for band in found.bands],
+            ], names=["id", "text_hash", "start", "content", *names])
 
-    schema = f"id {kind}, text_hash bigint, start int, content bigint, bands array<bigint>, items binary"
+    names = [f"band{k}" for k in range(BANDS)]
+    schema = f"id {kind}, text_hash bigint, start int, content bigint, " + ", ".join(f"{name} bigint" for name in names)
     places = written(texts.mapInArrow(candidates, schema), "paragraphs")
     # a class is placed where its first text, by a hash, has it: one that occurs there alone is no repeat of what overlaps it
-    occurs = F.shiftleft(F.xxhash64("id", "text_hash").bitwiseAND((1 << 39) - 1), 24).bitwiseOR(F.col("start").cast("bigint").bitwiseAND((1 << 24) - 1))
-    first = places.groupBy("content").agg(F.min(occurs).alias("occurs"), (F.min(occurs) != F.max(occurs)).alias("many"))
-    spelled = places.where("items is not null").dropDuplicates(["content"]).join(first, "content")
-    classes = written(spelled.select(F.col("content").alias("node"), "bands", "items", "occurs", "many"), "paragraph-classes")
-    members = classes.select(F.explode("bands").alias("group"), "node", "occurs", "many")
+    place = F.shiftleft(F.xxhash64("id", "text_hash").bitwiseAND((1 << 39) - 1), _START_BITS)
+    occurs = place.bitwiseOR(F.col("start").cast("bigint").bitwiseAND((1 << _START_BITS) - 1))
+    # equal paragraphs have equal bands
+    classes = places.groupBy(F.col("content").alias("node")).agg(
+        F.min(occurs).alias("occurs"), (F.min(occurs) != F.max(occurs)).alias("many"), *[F.min(name).alias(name) for name in names],
+    )
+    members = written(classes.select(F.explode(F.array(*names)).alias("group"), "node", "occurs", "many"), "paragraph-classes")
     several = members.groupBy("group").agg(
         F.min("occurs").alias("low"), F.max("occurs").alias("high"), F.count_if("many").alias("many"),
     ).where((F.col("high") - F.col("low") >= WORDS) | (F.col("many") > 1))
     members = written(members.join(several.select("group"), "group", "left_semi"), "bands")
 
+    spelled = written(first_spelled(texts.select("text", place.alias("place")), members), "paragraph-items")
     neighbours = written(beside(places), "neighbours")
 
     def apart(x: str, y: str) -> Column:
@@ -188,7 +213,7 @@ def repeated(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text")
 
     def check(pairs: DataFrame) -> DataFrame:
         pairs = pairs.join(neighbours, ["a", "b"], "left_anti")
-        return verified(written(pairs, "pairs"), classes.select("node", "items"), close)
+        return verified(written(pairs, "pairs"), spelled, close)
 
     roots = connect(members, ["occurs", "many"], apart, check)
     rows = places.select("id", "text_hash", "start", F.col("content").alias("node")).distinct()
