@@ -12,6 +12,7 @@ from waybill.operators import (
 from waybill.operators.intervals import as_of_join, gaps, overlaps, range_lookup, version_on, version_periods
 from waybill.operators.merge import DuplicateKeys
 from waybill.operators.unpivot import described, fixed, unpivot_charges
+from waybill.session import discard, written
 
 
 def rows(frame):
@@ -205,3 +206,24 @@ def test_versions_in_time(spark):
     ).withColumn("day", F.col("t").cast("date"))
     got = {r.i: r.version_id for r in as_of_join(facts, versions, ["scope"], "day").collect()}
     assert got == {1: None, 2: 1, 3: 3, 4: 4, 5: None, 6: 3}
+
+
+def test_written_tables_are_whole_and_discarded_ones_are_gone(spark, skewed):
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(setting, None)
+    grouped = groups_of(skewed)
+    table = written(grouped, "groups")
+    assert spark.conf.get(setting, None) == before
+    assert rows(table) == rows(grouped)
+    # the written frame is not tied to the shuffles that went with its write, nor is a later table to a discarded one
+    further = written(table.groupBy("n").agg(F.count("*").alias("keys")), "sizes")
+    discard(table)
+    assert sum(r["keys"] for r in further.collect()) == grouped.count()
+    with pytest.raises(Exception):
+        table.collect()
+
+
+def test_discarding_an_empty_table(spark, skewed):
+    table = written(skewed.where("k > 1000"), "none")
+    discard(table)
+    assert skewed.count() == 9000

@@ -25,6 +25,7 @@ RUNTIME_SETTINGS = {
 }
 
 _CHECKPOINT_SETTING = "spark.checkpoint.dir"
+_SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _fallback_dir: str | None = None
 
 
@@ -59,13 +60,30 @@ def remove_at_exit(spark: SparkSession, folder: str) -> None:
 
 
 def written(frame: DataFrame, label: str) -> DataFrame:
-    """The frame as a table in the shared folder: computed once, and kept when executors are lost."""
+    """The frame as a table in the shared folder: computed once, and kept when executors are lost.
+
+    The write is planned for itself, so nothing else reads its shuffles; they are deleted when it ends.
+    """
     spark = frame.sparkSession
     folder = fresh_dir(spark, label)
-    frame.write.parquet(folder)
+    before = spark.conf.get(_SHUFFLE_CLEANUP, None)
+    spark.conf.set(_SHUFFLE_CLEANUP, "true")
+    try:
+        frame.write.parquet(folder)
+    finally:
+        spark.conf.set(_SHUFFLE_CLEANUP, before) if before else spark.conf.unset(_SHUFFLE_CLEANUP)
     remove_at_exit(spark, folder)
     return spark.read.schema(frame.schema).parquet(folder)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete tables made by :func:`written` that no frame still to be computed reads."""
+    for table in tables:
+        spark = table.sparkSession
+        for folder in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(folder))
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def fresh_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
