@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..session import written
+from ..session import discard, written
 
 
 ONE_TASK_EDGES = 200_000
@@ -31,7 +31,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         hung = large.join(low, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = hung.unionByName(low.select("u", F.col("m").alias("v"))).distinct()
+        done = e
         e = written(small, "small-star")
+        discard(done, large)
         parents = e.groupBy("u").agg(F.count("*").alias("n"))
         several = parents.where("n > 1").limit(1).count()
         if not several and not e.join(e.select(F.col("u").alias("v")), "v", "left_semi").limit(1).count():

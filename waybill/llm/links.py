@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..session import written
+from ..session import discard, written
 from .components import components
 
 STAR_ROUNDS, STARS = 2, 8
@@ -77,13 +77,16 @@ def connect(
         pivots = pivots.select("group", F.explode(F.array(*[f"p{k}" for k in range(STARS)])).alias("p"))
         other = pivots.select("group", *[F.col(f"p.{c}").alias(f"y_{c}") for c in ("node", "comp", *attributes)])
         found = _checked(now, other, attributes, may_link, check, F.col("x_comp") != F.col("y_comp"))
+        discard(now)
         if found is None:
             break
         roots = _more(roots, found)
+    discard(large)
     now = _open(members, roots)
     other = now.select("group", *[F.col(c).alias(f"y_{c}") for c in ("node", "comp", *attributes)])
     wanted = (F.col("x_comp") != F.col("y_comp")) & (F.col("x_node") < F.col("y_node")) & first_meeting("x_", "y_")
     found = _checked(now, other, attributes, may_link, check, wanted)
+    discard(now)
     return roots if found is None else _more(roots, found)
 
 
@@ -109,4 +112,6 @@ def _checked(
 def _more(roots: DataFrame, found: DataFrame) -> DataFrame:
     """(node, root) after more links."""
     known = roots.where("node != root").select(F.col("root").alias("a"), F.col("node").alias("b"))
-    return written(components(known.unionByName(found)), "components")
+    more = written(components(known.unionByName(found)), "components")
+    discard(found, roots)
+    return more

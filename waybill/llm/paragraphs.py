@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from ..session import written
+from ..session import discard, written
 from .chunks import slices
 from .filters import key_filter, passes
 from .links import at_least, connect, verified
@@ -177,7 +177,9 @@ def repeated(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text")
     owned = texts.select("text", F.hash("id", "text_hash").alias("row"))
     looked = owned.mapInArrow(first_look, "band bigint, low int, high int")
     shared = looked.groupBy("band").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low != high").select("band")
-    wanted = spark.sparkContext.broadcast(key_filter(written(shared, "shared-bands"), "band"))
+    shared = written(shared, "shared-bands")
+    wanted = spark.sparkContext.broadcast(key_filter(shared, "band"))
+    discard(shared)
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", SLICE):
@@ -199,11 +201,12 @@ def repeated(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text")
     classes = places.groupBy(F.col("content").alias("node")).agg(
         F.min(occurs).alias("occurs"), (F.min(occurs) != F.max(occurs)).alias("many"), *[F.min(name).alias(name) for name in names],
     )
-    members = written(classes.select(F.explode(F.array(*names)).alias("group"), "node", "occurs", "many"), "paragraph-classes")
-    several = members.groupBy("group").agg(
+    all_members = written(classes.select(F.explode(F.array(*names)).alias("group"), "node", "occurs", "many"), "paragraph-classes")
+    several = all_members.groupBy("group").agg(
         F.min("occurs").alias("low"), F.max("occurs").alias("high"), F.count_if("many").alias("many"),
     ).where((F.col("high") - F.col("low") >= WORDS) | (F.col("many") > 1))
-    members = written(members.join(several.select("group"), "group", "left_semi"), "bands")
+    members = written(all_members.join(several.select("group"), "group", "left_semi"), "bands")
+    discard(all_members)
 
     spelled = written(first_spelled(texts.select("text", place.alias("place")), members), "paragraph-items")
     neighbours = written(beside(places), "neighbours")
@@ -216,6 +219,7 @@ def repeated(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text")
         return verified(written(pairs, "pairs"), spelled, close)
 
     roots = connect(members, ["occurs", "many"], apart, check)
+    discard(members, spelled, neighbours)
     rows = places.select("id", "text_hash", "start", F.col("content").alias("node")).distinct()
     rows = rows.join(roots, "node", "left").withColumn("cluster", F.coalesce("root", "node"))
     order = F.struct(F.col("id").isNull().alias("unknown"), "id", "text_hash", "start")
