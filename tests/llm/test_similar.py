@@ -183,6 +183,27 @@ def test_paragraphs_find_every_long_repeat(table, odd, prose):
     assert all(r.n_words >= 1 for r in removed)
 
 
+def test_bits_of_similar_paragraphs_differ_in_few_places(prose):
+    # word changes near the edges, so that similarities on both sides of the limit occur; repeated words make smaller sets
+    texts = []
+    for k in range(400):
+        words = (prose(50_000 + k, 30) if k % 3 else " ".join(prose(50_000 + k, 6).split() * 5)).split()
+        other = [*words]
+        for at in range(k % 4):
+            other[at if k % 2 else -1 - at] = f"new{k}x{at}"
+        texts += [" ".join(words), " ".join(other)]
+    found = paragraphs.Paragraphs(pa.array(texts))
+    assert found.text.tolist() == list(range(len(texts)))
+    bits = found.bits(np.arange(len(found.at)))
+    seen = set()
+    for k in range(0, len(texts), 2):
+        x, y = (found.shingles[found.at[j]:found.at[j] + paragraphs._SIZE] for j in (k, k + 1))
+        near = paragraphs.close(x, y)
+        seen.add(near)
+        assert not near or int(bits[k] ^ bits[k + 1]).bit_count() <= paragraphs._ALONE
+    assert seen == {True, False}
+
+
 def test_paragraphs_near_copies(table, prose):
     passage = prose(1, 200)
     rows = [(i, prose(10 + i, 30) + " " + edited(passage, i, 4) + " " + prose(60 + i, 30)) for i in range(30)]

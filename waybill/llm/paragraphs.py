@@ -7,11 +7,12 @@ Any passage of ``WORDS + STEP + 4`` words or more found in two texts has a parag
 
 Paragraphs have MinHash signatures over their shingles, in ``BANDS`` bands of ``ROWS`` values, tuned for recall: two
 paragraphs of Jaccard similarity 0.8 share a band with probability 0.95, equal ones always. Bands found in one text only
-are left out by an aggregate and a filter of fixed size. Paragraphs of equal content are one class; classes that share a band are verified
-by exact Jaccard similarity of at least ``PERCENT`` % through ``links.connect``, and its components are the clusters; a class
-that occurs only where another one overlaps it is not linked with that one, as neighbours are not repeats; paragraphs moved by a
-few words that occur apart are. In each cluster the first paragraph, by document id and place, is kept, and the words of the others that no kept paragraph holds
-are removed.
+are left out by an aggregate and a filter of fixed size. Paragraphs of equal content are one class. Of the classes that share a
+band, those whose sets of 64 bits differ in no more places than a similarity of ``PERCENT`` % allows are verified by exact
+Jaccard similarity through ``links.connect``, and its components are the clusters; a class that occurs only where another one
+overlaps it is not linked with that one, as neighbours are not repeats; paragraphs moved by a few words that occur apart are.
+In each cluster the first paragraph, by document id and place, is kept, and the words of the others that no kept paragraph
+holds are removed.
 
 Texts of fewer than ``WORDS`` words have no paragraphs. Null and empty texts have none. Rows are told apart by id and text, so a
 row repeated exactly is one row here; a null id sorts last. Every paragraph of every text is compared.
@@ -42,6 +43,8 @@ PERCENT = 80
 _START_BITS = 24  # of the place where a class occurs first
 _MOVED = 4  # words by which overlapping paragraphs may be moved and still reach the similarity
 _SIZE = WORDS - SHINGLE + 1  # shingles in a paragraph
+# shingles that only one of two similar paragraphs may hold: their union has as many, at most, as one and half of these
+_ALONE = int((100 - PERCENT) * _SIZE / (100 - (100 - PERCENT) / 2))
 _SEEDS = [np.uint64((0x9E3779B97F4A7C15 * (k + 1)) & ((1 << 64) - 1)) for k in range(BANDS * ROWS)]
 
 
@@ -98,6 +101,11 @@ class Paragraphs:
             bands.append(key)
         return np.stack(bands)
 
+    def bits(self, keep: np.ndarray) -> np.ndarray:
+        """A set of 64 bits for each paragraph, one bit by each shingle."""
+        one = np.uint64(1) << (mix(self.shingles) >> np.uint64(58))
+        return np.bitwise_or.reduce(one[self.at[keep][:, None] + np.arange(_SIZE)[None]], axis=1)
+
     def items(self, keep: np.ndarray) -> pa.Array:
         """The shingles of paragraphs in order, as bytes."""
         rows = np.ascontiguousarray(self.shingles[self.at[keep][:, None] + np.arange(_SIZE)[None]])
@@ -188,20 +196,20 @@ def repeated(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text")
             rows = batch.select(["id", "text_hash"]).take(pa.array(found.text[keep]))
             yield pa.record_batch([
                 rows.column("id"), rows.column("text_hash"), pa.array(found.start[keep]), pa.array(found.content[keep].view(np.int64)),
-                *[pa.array(band[keep].view(np.int64)) for band in found.bands],
-            ], names=["id", "text_hash", "start", "content", *names])
+                pa.array(found.bits(keep).view(np.int64)), *[pa.array(band[keep].view(np.int64)) for band in found.bands],
+            ], names=["id", "text_hash", "start", "content", "bits", *names])
 
     names = [f"band{k}" for k in range(BANDS)]
-    schema = f"id {kind}, text_hash bigint, start int, content bigint, " + ", ".join(f"{name} bigint" for name in names)
+    schema = f"id {kind}, text_hash bigint, start int, content bigint, bits bigint, " + ", ".join(f"{name} bigint" for name in names)
     places = written(texts.mapInArrow(candidates, schema), "paragraphs")
     # a class is placed where its first text, by a hash, has it: one that occurs there alone is no repeat of what overlaps it
     place = F.shiftleft(F.xxhash64("id", "text_hash").bitwiseAND((1 << 39) - 1), _START_BITS)
     occurs = place.bitwiseOR(F.col("start").cast("bigint").bitwiseAND((1 << _START_BITS) - 1))
     # equal paragraphs have equal bands
     classes = places.groupBy(F.col("content").alias("node")).agg(
-        F.min(occurs).alias("occurs"), (F.min(occurs) != F.max(occurs)).alias("many"), *[F.min(name).alias(name) for name in names],
+        F.min(occurs).alias("occurs"), (F.min(occurs) != F.max(occurs)).alias("many"), *[F.min(name).alias(name) for name in ("bits", *names)],
     )
-    all_members = written(classes.select(F.explode(F.array(*names)).alias("group"), "node", "occurs", "many"), "paragraph-classes")
+    all_members = written(classes.select(F.explode(F.array(*names)).alias("group"), "node", "occurs", "many", "bits"), "paragraph-classes")
     several = all_members.groupBy("group").agg(
         F.min("occurs").alias("low"), F.max("occurs").alias("high"), F.count_if("many").alias("many"),
     ).where((F.col("high") - F.col("low") >= WORDS) | (F.col("many") > 1))
@@ -211,6 +219,11 @@ def repeated(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text")
     spelled = written(first_spelled(texts.select("text", place.alias("place")), members), "paragraph-items")
     neighbours = written(beside(places), "neighbours")
 
+    def may_link(x: str, y: str) -> Column:
+        # a bit that differs is of a shingle that one of the two alone holds, so no similar pair is lost
+        alike = F.bit_count(F.col(f"{x}bits").bitwiseXOR(F.col(f"{y}bits"))) <= _ALONE
+        return alike & apart(x, y)
+
     def apart(x: str, y: str) -> Column:
         return (F.abs(F.col(f"{x}occurs") - F.col(f"{y}occurs")) >= WORDS) | (F.col(f"{x}many") & F.col(f"{y}many"))
 
@@ -218,7 +231,7 @@ def repeated(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text")
         pairs = pairs.join(neighbours, ["a", "b"], "left_anti")
         return verified(written(pairs, "pairs"), spelled, close)
 
-    roots = connect(members, ["occurs", "many"], apart, check)
+    roots = connect(members, ["occurs", "many", "bits"], may_link, check)
     discard(members, spelled, neighbours)
     rows = places.select("id", "text_hash", "start", F.col("content").alias("node")).distinct()
     rows = rows.join(roots, "node", "left").withColumn("cluster", F.coalesce("root", "node"))
