@@ -50,6 +50,12 @@ def test_dhl_delivery_of_several_files_is_one_invoice(spark, text_rows, monkeypa
     assert [(r["file_id"], float(r["header_total"]), float(r["detail_total"]), r["agrees"]) for r in got] == [(2, 25.0, 25.0, True), (3, 26.0, 25.0, False)]
 
 
+def test_mixed_case_plan_stays_small(spark, text_rows, monkeypatch):
+    monkeypatch.setattr(queries, "staged", lambda *_: _easypost(text_rows))
+    charges = queries.QUERIES["charges_mixed_case"].job(spark, "")
+    assert "xxhash64" not in charges._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_store_deletes_the_shuffles_of_its_writes(spark, tmp_path, monkeypatch):
     seen, write = [], Store._write_rows
 
