@@ -8,7 +8,7 @@ Any passage of ``WORDS + STEP + 4`` words or more found in two texts has a parag
 Paragraphs have MinHash signatures over their shingles, in ``BANDS`` bands of ``ROWS`` values, tuned for recall: two
 paragraphs of Jaccard similarity 0.8 share a band with probability 0.95, equal ones always. Bands found in one text only
 are left out by an aggregate and a filter of fixed size. Paragraphs of equal content are one class. Of the classes that share a
-band, those whose sets of 256 bits differ in no more places than a similarity of ``PERCENT`` % allows are verified by exact
+band, those whose sets of 256 bits differ in no more places than a similarity of ``PERCENT`` % allows for their numbers of shingles are verified by exact
 Jaccard similarity through ``links.connect``, and its components are the clusters; a class that occurs only where another one
 overlaps it is not linked with that one, as neighbours are not repeats; paragraphs moved by a few words that occur apart are.
 In each cluster the first paragraph, by document id and place, is kept, and the words of the others that no kept paragraph
@@ -111,6 +111,11 @@ class Paragraphs:
         places = self.at[keep][:, None] + np.arange(_SIZE)[None]
         return [np.bitwise_or.reduce(np.where(word == k, one, np.uint64(0))[places], axis=1) for k in range(BIT_WORDS)]
 
+    def distinct(self, keep: np.ndarray) -> np.ndarray:
+        """How many different shingles each paragraph holds."""
+        rows = np.sort(self.shingles[self.at[keep][:, None] + np.arange(_SIZE)[None]], axis=1)
+        return (1 + (rows[:, 1:] != rows[:, :-1]).sum(axis=1)).astype(np.int16)
+
     def items(self, keep: np.ndarray) -> pa.Array:
         """The shingles of paragraphs in order, as bytes."""
         rows = np.ascontiguousarray(self.shingles[self.at[keep][:, None] + np.arange(_SIZE)[None]])
@@ -123,6 +128,15 @@ def close(x: np.ndarray, y: np.ndarray) -> bool:
     return at_least(PERCENT)(np.unique(x), np.unique(y))
 
 
+def alone(both: Column) -> Column:
+    """How many shingles only one of two similar paragraphs may hold, which have ``both`` different ones together.
+
+    Twice their union is both and these; and these are odd in number where both are.
+    """
+    most = F.floor(both * (100 - PERCENT) / (100 + PERCENT)).cast("int")
+    return most - F.pmod(both - most, F.lit(2))
+
+
 def first_spelled(texts: DataFrame, members: DataFrame) -> DataFrame:
     """(node, items): the shingles of each class of ``members`` (node, occurs), from the place where it occurs first.
 
@@ -201,20 +215,20 @@ def repeated(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text")
             rows = batch.select(["id", "text_hash"]).take(pa.array(found.text[keep]))
             yield pa.record_batch([
                 rows.column("id"), rows.column("text_hash"), pa.array(found.start[keep]), pa.array(found.content[keep].view(np.int64)),
-                *[pa.array(word.view(np.int64)) for word in found.bits(keep)], *[pa.array(band[keep].view(np.int64)) for band in found.bands],
-            ], names=["id", "text_hash", "start", "content", *bits, *names])
+                pa.array(found.distinct(keep)), *[pa.array(word.view(np.int64)) for word in found.bits(keep)], *[pa.array(band[keep].view(np.int64)) for band in found.bands],
+            ], names=["id", "text_hash", "start", "content", "distinct", *bits, *names])
 
     names, bits = [f"band{k}" for k in range(BANDS)], [f"bits{k}" for k in range(BIT_WORDS)]
-    schema = f"id {kind}, text_hash bigint, start int, content bigint, " + ", ".join(f"{name} bigint" for name in [*bits, *names])
+    schema = f"id {kind}, text_hash bigint, start int, content bigint, distinct smallint, " + ", ".join(f"{name} bigint" for name in [*bits, *names])
     places = written(texts.mapInArrow(candidates, schema), "paragraphs")
     # a class is placed where its first text, by a hash, has it: one that occurs there alone is no repeat of what overlaps it
     place = F.shiftleft(F.xxhash64("id", "text_hash").bitwiseAND((1 << 39) - 1), _START_BITS)
     occurs = place.bitwiseOR(F.col("start").cast("bigint").bitwiseAND((1 << _START_BITS) - 1))
     # equal paragraphs have equal bands
     classes = places.groupBy(F.col("content").alias("node")).agg(
-        F.min(occurs).alias("occurs"), (F.min(occurs) != F.max(occurs)).alias("many"), *[F.min(name).alias(name) for name in (*bits, *names)],
+        F.min(occurs).alias("occurs"), (F.min(occurs) != F.max(occurs)).alias("many"), *[F.min(name).alias(name) for name in ("distinct", *bits, *names)],
     )
-    all_members = written(classes.select(F.explode(F.array(*names)).alias("group"), "node", "occurs", "many", *bits), "paragraph-classes")
+    all_members = written(classes.select(F.explode(F.array(*names)).alias("group"), "node", "occurs", "many", "distinct", *bits), "paragraph-classes")
     several = all_members.groupBy("group").agg(
         F.min("occurs").alias("low"), F.max("occurs").alias("high"), F.count_if("many").alias("many"),
     ).where((F.col("high") - F.col("low") >= WORDS) | (F.col("many") > 1))
@@ -227,7 +241,7 @@ def repeated(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text")
     def may_link(x: str, y: str) -> Column:
         # a bit that differs is of a shingle that one of the two alone holds, so no similar pair is lost
         differ = reduce(add, [F.bit_count(F.col(x + word).bitwiseXOR(F.col(y + word))) for word in bits])
-        return (differ <= _ALONE) & apart(x, y)
+        return (differ <= alone(F.col(f"{x}distinct").cast("int") + F.col(f"{y}distinct"))) & apart(x, y)
 
     def apart(x: str, y: str) -> Column:
         return (F.abs(F.col(f"{x}occurs") - F.col(f"{y}occurs")) >= WORDS) | (F.col(f"{x}many") & F.col(f"{y}many"))
@@ -236,7 +250,7 @@ def repeated(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text")
         pairs = pairs.join(neighbours, ["a", "b"], "left_anti")
         return verified(written(pairs, "pairs"), spelled, close)
 
-    roots = connect(members, ["occurs", "many", *bits], may_link, check)
+    roots = connect(members, ["occurs", "many", "distinct", *bits], may_link, check)
     discard(members, spelled, neighbours)
     rows = places.select("id", "text_hash", "start", F.col("content").alias("node")).distinct()
     rows = rows.join(roots, "node", "left").withColumn("cluster", F.coalesce("root", "node"))
