@@ -89,3 +89,15 @@ def test_billing_settings_end_with_billing_jobs(spark):
     finally:
         for n, v in before.items():
             spark.conf.set(n, v) if v is not None else spark.conf.unset(n)
+
+
+def test_deliveries_are_counted_in_one_pass(spark, text_rows, monkeypatch):
+    # a delivery's lines are made from whole tables, so each count of its files makes them again
+    table = _easypost(text_rows)
+    kind, counted = type(table), []
+    count = kind.count
+    monkeypatch.setattr(kind, "count", lambda self: counted.append(self) or count(self))
+    rows, parts, deliveries = file_queries.in_files(table, lines=10)
+    dealt = file_queries.dealt(rows, parts, deliveries)
+    assert (parts, deliveries, counted) == (3, 2, []) and dealt.rdd.getNumPartitions() == 6
+    assert file_queries.in_files(table.limit(0))[1:] == (1, 0)
