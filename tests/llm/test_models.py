@@ -5,6 +5,8 @@ from __future__ import annotations
 import collections
 import math
 import random
+import tracemalloc
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -123,6 +125,106 @@ def test_windows_and_lanes_do_not_change_a_score(monkeypatch):
         assert np.allclose(lm_scoring.log_likelihood(model, vocab, symbols, offsets), whole, rtol=1e-4)
 
 
+def few_words(counts):
+    total = np.concatenate([counts, np.zeros(lm_scoring.HEAD + lm_scoring.TAIL - len(counts), np.int64)])
+    head = total[:lm_scoring.HEAD]
+    classes = np.concatenate([head.reshape(-1, lm_scoring.WIDTH).sum(axis=1), total[lm_scoring.HEAD:]])
+    return lm_scoring.Vocabulary(0, 0, 1, np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32),
+                                 np.ones(lm_scoring.TAIL), head, classes)
+
+
+def test_lanes_are_filled_from_several_batches(monkeypatch):
+    """A long text of each small batch must not run alone: it runs beside those of the other batches."""
+    vocab = few_words(np.ones(9, np.int64))
+    steps = []
+    run_state = lm_scoring.run_state
+
+    def counted(model, source, *rest):
+        steps.append(source.shape)
+        return run_state(model, source, *rest)
+
+    monkeypatch.setattr(lm_scoring, "run_state", counted)
+    monkeypatch.setattr(lm_scoring, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    texts = [["a b " * 200, "c", None, "d e"] for _ in range(30)]
+    batches = [pa.record_batch([pa.array(t, pa.string())], names=["text"]) for t in texts]
+    found = list(lm_scoring._replica(SimpleNamespace(value=vocab), SimpleNamespace(value=lm_scoring.Model.fresh(vocab)), 0)(iter(batches)))
+    assert found[0].column("words")[0].as_py() == 30 * (401 + 2 + 1 + 3)
+    assert len(steps) == -(-401 // lm_scoring.TRAIN_WINDOW) and max(n for _, n in steps) == 120
+
+
+def test_lanes_of_one_long_text_take_no_more_than_its_words():
+    sizes = [400_000] + [50] * 300
+    offsets = np.concatenate([[0], np.cumsum(sizes)])
+    symbols = np.arange(offsets[-1]).astype(np.int32) % 1000
+    tracemalloc.start()
+    lanes = lm_scoring.Lanes(symbols, offsets, 256)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 40 * offsets[-1]  # 256 lanes of the longest text take 1.3 GB
+    met = np.concatenate([np.stack([doc[target >= 0], target[target >= 0]]) for _, target, _, doc in lanes.windows(4096)], axis=1)
+    order = np.argsort(met[0], kind="stable")
+    counts = np.bincount(met[0])
+    assert counts.tolist() == [n + 1 for n in sizes]
+    assert sorted(met[1][met[0] == 0].tolist()) == sorted([*symbols[:400_000].tolist(), lm_scoring._END])
+    assert sorted(met[1][order].tolist()) == sorted([*symbols.tolist(), *[lm_scoring._END] * len(sizes)])
+
+
+def test_recurrence_is_that_of_a_plain_loop():
+    """Lanes with several documents each, their states and outputs, against one word after the other."""
+    rng = np.random.default_rng(7)
+    vocab = few_words(rng.integers(1, 50, lm_scoring.HEAD + lm_scoring.TAIL))
+    model = lm_scoring.Model.fresh(vocab)
+    sizes = [0, 3, 17, 1, 40, 0, 6]
+    offsets = np.concatenate([[0], np.cumsum(sizes)])
+    symbols = rng.integers(0, lm_scoring.HEAD + lm_scoring.TAIL, offsets[-1]).astype(np.int32)
+    size, width, groups = lm_scoring.HIDDEN, lm_scoring.WIDTH, lm_scoring.HEAD // lm_scoring.WIDTH
+
+    def plain(text):
+        h, last, total = np.zeros(size), lm_scoring._END, 0.0
+        for y in [*text, lm_scoring._END]:
+            x, u = model.inputs[last].astype(float), h @ model.state
+            z, r = (1 / (1 + np.exp(-(x + u)[k * size:(k + 1) * size])) for k in (0, 1))
+            new = np.tanh(x[2 * size:] + r * u[2 * size:])
+            h = z * h + (1 - z) * new
+            group = y // width if y < lm_scoring.HEAD else groups + y - lm_scoring.HEAD
+            total += lm_scoring._log_softmax((h @ model.to_class + model.class_bias)[None])[0, group]
+            if y < lm_scoring.HEAD:
+                total += lm_scoring._log_softmax((h @ model.to_word[group] + model.word_bias[group])[None])[0, y % width]
+            last = y
+        return total / math.log(10)
+
+    want = [plain(symbols[a:b].tolist()) for a, b in zip(offsets, offsets[1:])]
+    assert np.allclose(lm_scoring.log_likelihood(model, vocab, symbols, offsets), want, rtol=1e-4)
+
+
+def test_gradients_of_lanes_with_several_documents(monkeypatch):
+    monkeypatch.setattr(lm_scoring, "RATE", 0.0)
+    monkeypatch.setattr(lm_scoring, "TRAIN_LANES", 2)
+    rng = np.random.default_rng(5)
+    vocab = few_words(np.ones(lm_scoring.HEAD + lm_scoring.TAIL, np.int64))
+    offsets = np.cumsum([0, 3, 0, 4, 2, 1])
+    symbols = rng.integers(0, lm_scoring.HEAD + lm_scoring.TAIL, 10).astype(np.int32)
+    trainer = lm_scoring.Trainer(lm_scoring.Model.fresh(vocab))
+    before = [s.copy() for s in trainer.seen]
+    trainer.learn(symbols, offsets)
+    squares = [s - b for s, b in zip(trainer.seen, before)]
+
+    def loss():
+        return -lm_scoring.log_likelihood(trainer.model, vocab, symbols, offsets).sum() * math.log(10) / 64
+
+    rows = symbols[[0, 4, 8]].astype(int) * 3 * lm_scoring.HIDDEN
+    for k, places in ((0, [r + c for r in rows for c in (0, 30, 60)]), (1, rng.choice(24 * 72, 8, replace=False)), (2, rng.choice(24 * 96, 8, replace=False))):
+        flat, square = trainer.model.parts()[k].reshape(-1), squares[k].reshape(-1)
+        for at in places:
+            old, step = flat[at], 0.02
+            flat[at] = old + step
+            up = loss()
+            flat[at] = old - step
+            slope = (up - loss()) / (2 * step)
+            flat[at] = old
+            assert abs(slope**2 - square[at]) < 0.1 * slope**2 + 2e-6
+
+
 def test_gradients(monkeypatch):
     """Backpropagation against differences of the loss."""
     monkeypatch.setattr(lm_scoring, "RATE", 0.0)

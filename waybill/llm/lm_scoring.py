@@ -6,7 +6,7 @@ head in classes of ``WIDTH`` words of similar frequency, and the tail's), then t
 in the head, by add-one counts in the tail. Probabilities of all words, and of one unseen word per class, sum to one.
 
 A gated recurrent unit runs over the words of a document from its first to its last; many documents run side by side, and the
-state is carried from window to window, so long texts are scored whole in bounded memory. It is trained in numpy by truncated
+state is carried from window to window, so long texts are scored whole; memory holds a number for each of their words. It is trained in numpy by truncated
 backpropagation: a first model on a bounded sample (``WARM_DOCS`` documents), then, in ``ROUNDS`` rounds, one replica per
 partition of all training documents; the replicas' weights are averaged by their numbers of words. Every training document
 is counted and learned from.
@@ -20,6 +20,7 @@ all counts are 0.
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -47,6 +48,9 @@ _END = HEAD - 1
 _COUNTED = 1 << 21
 _SLICE = 8 << 20
 _CHUNK = 1 << 14
+_TOKENS = 1 << 22  # words whose texts run side by side: batches are gathered up to it, or a few lanes hold the longest texts alone
+_THREE = np.arange(3, dtype=np.int32)[:, None]  # gates
+_GROUP_OF = np.concatenate([np.arange(HEAD) // WIDTH, _GROUPS + np.arange(TAIL)]).astype(np.uint8)
 
 
 def tail_class(tails: np.ndarray) -> np.ndarray:
@@ -170,11 +174,14 @@ class Model:
         return Model(*out)
 
 
+def _by_gate(state: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(state.reshape(HIDDEN, 3, HIDDEN).transpose(1, 0, 2))
+
+
 def _gate(x: np.ndarray) -> np.ndarray:
     """The logistic function, in place."""
     np.negative(x, out=x)
-    with np.errstate(over="ignore"):
-        np.exp(x, out=x)
+    np.exp(x, out=x)
     x += 1
     return np.reciprocal(x, out=x)
 
@@ -190,17 +197,17 @@ def _bounded(weights: np.ndarray, bias: np.ndarray) -> bool:
 
 
 class Lanes:
-    """Documents side by side: each lane holds documents one after the other, the lanes from longest to shortest."""
+    """Documents side by side: each lane holds documents one after the other, the lanes from longest to shortest.
+
+    The lanes' words lie one lane after the other, behind an end mark each, and only windows of them are laid side by side.
+    """
 
     def __init__(self, symbols: np.ndarray, offsets: np.ndarray, lanes: int) -> None:
         sizes = np.diff(offsets) + 1  # and the end mark
-        self.offsets = offsets
         order = np.argsort(-sizes, kind="stable")
         n = max(1, min(lanes, len(sizes)))
         load = [(0, k) for k in range(n)]
         own: list[list[int]] = [[] for _ in range(n)]
-        import heapq
-
         for i in order.tolist():
             length, k = heapq.heappop(load)
             own[k].append(i)
@@ -208,54 +215,70 @@ class Lanes:
         lengths = np.array([sum(int(sizes[i]) for i in docs) for docs in own])
         rank = np.argsort(-lengths, kind="stable")
         self.lengths = lengths[rank]
-        steps = int(self.lengths[0]) if len(self.lengths) else 0
-        self.target = np.full((steps, n), -1, np.int32)
-        self.doc = np.zeros((steps, n), np.int32)
-        self.source = np.full((steps, n), _END, np.int32)  # the symbol before; the end mark opens a document
-        self.opens = np.zeros((steps, n), bool)
-        for lane, k in enumerate(rank.tolist()):
-            at = 0
-            for i in own[k]:
+        self.starts = np.cumsum(self.lengths + 1) - self.lengths - 1
+        self.text = np.full(int(lengths.sum()) + n, _END, np.uint16)
+        self.doc = np.zeros(len(self.text), np.int32)
+        self.first = np.zeros(len(self.text), bool)  # the place before a document's first word
+        for k, at in zip(rank.tolist(), self.starts.tolist()):
+            for i in sorted(own[k]):  # as they came, long and short mixed
                 to = at + int(sizes[i])
-                text = symbols[offsets[i]:offsets[i + 1]]
-                self.target[at:to - 1, lane] = text
-                self.target[to - 1, lane] = _END
-                self.source[at + 1:to, lane] = text
-                self.opens[at, lane] = True
-                self.doc[at:to, lane] = i
+                self.text[at + 1:to] = symbols[offsets[i]:offsets[i + 1]]
+                self.doc[at:to] = i
+                self.first[at] = True
                 at = to
 
-    def windows(self, width: int) -> Iterator[tuple[slice, int]]:
-        for at in range(0, len(self.target), width):
-            yield slice(at, at + width), int((self.lengths > at).sum())
+    def window(self, at: int, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of the lanes that are not at their end, steps as rows: symbol before, symbol (-1: none), opens a document, document."""
+        n = int((self.lengths > at).sum())
+        steps = np.arange(at, min(at + width, int(self.lengths[0])))[:, None]
+        live = steps < self.lengths[:n]
+        place = np.where(live, self.starts[:n] + steps, 0)
+        target = np.where(live, self.text[place + live], np.int32(-1))
+        return np.where(live, self.text[place], np.uint16(_END)), target, self.first[place] & live, self.doc[place]
+
+    def windows(self, width: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        for at in range(0, int(self.lengths[0]), width):
+            yield self.window(at, width)
+
+    @property
+    def source(self) -> np.ndarray:
+        return self.window(0, int(self.lengths[0]))[0]
+
+    @property
+    def opens(self) -> np.ndarray:
+        return self.window(0, int(self.lengths[0]))[2]
 
 
 def run_state(model: Model, source: np.ndarray, opens: np.ndarray, h: np.ndarray, keep: bool) -> tuple:
-    """States after each step of a window, and what backpropagation needs of each, with lanes as columns."""
+    """States after each step of a window, the last, and for backpropagation: states before, gates, their recurrent share."""
     steps, lanes = source.shape
-    out = np.empty((steps, HIDDEN, lanes), np.float32)
-    inputs = np.ascontiguousarray(model.inputs[source].transpose(0, 2, 1))
-    state = np.ascontiguousarray(model.state.T)
-    h = np.ascontiguousarray(h.T)
-    saved = []
-    for t in range(steps):
-        x = inputs[t]
-        if opens[t].any():
-            h = h * ~opens[t]
-        u = state @ h
-        x[:2 * HIDDEN] += u[:2 * HIDDEN]
-        both = _gate(x[:2 * HIDDEN])
-        z, r, new = both[:HIDDEN], both[HIDDEN:], x[2 * HIDDEN:]
-        new += r * u[2 * HIDDEN:]
-        np.tanh(new, out=new)
-        if keep:
-            saved.append((h, z, r, new, u[2 * HIDDEN:]))
-        after = out[t]
-        np.subtract(h, new, out=after)
-        after *= z
-        after += new
-        h = after
-    return out.transpose(0, 2, 1), h.T, saved
+    out = np.empty((steps + 1, lanes, HIDDEN), np.float32)
+    out[0] = h
+    gates = model.inputs.reshape(-1, HIDDEN).take(source[:, None].astype(np.int32) * 3 + _THREE, axis=0)
+    state = _by_gate(model.state)
+    shares = np.empty((steps if keep else 1, 3, lanes, HIDDEN), np.float32)
+    some = opens.any(axis=1).tolist()
+    part = np.empty((lanes, HIDDEN), np.float32)
+    with np.errstate(over="ignore"):
+        for t in range(steps):
+            before, after, u = out[t], out[t + 1], shares[t if keep else 0]
+            if some[t]:
+                before = before * ~opens[t][:, None]
+            both, new = gates[t, :2], gates[t, 2]
+            np.matmul(before, state, out=u)
+            both += u[:2]
+            _gate(both)
+            np.multiply(both[1], u[2], out=part)
+            new += part
+            np.tanh(new, out=new)
+            np.subtract(before, new, out=after)
+            after *= both[0]
+            after += new
+    before = None
+    if keep:
+        before = out[:-1].copy()
+        before[opens] = 0
+    return out[1:], out[-1], (before, gates, shares)
 
 
 class Outputs:
@@ -264,10 +287,10 @@ class Outputs:
     def __init__(self, model: Model, states: np.ndarray, target: np.ndarray) -> None:
         self.live = np.flatnonzero(target.ravel() >= 0)
         y = target.ravel()[self.live]
-        group = np.where(y < HEAD, y // WIDTH, _GROUPS + y - HEAD)
-        order = np.argsort(group.astype(np.uint8), kind="stable")
+        group = _GROUP_OF[y]
+        order = np.argsort(group, kind="stable")
         self.live, self.y, self.group = self.live[order], y[order], group[order]
-        self.x = np.ascontiguousarray(states).reshape(-1, HIDDEN)[self.live]
+        self.x = states.reshape(-1, HIDDEN).take(self.live, axis=0)
         self.cuts = np.searchsorted(self.group, np.arange(_GROUPS + 1)).tolist()
         self.heads = self.cuts[-1]
         self.within = self.y[:self.heads] % WIDTH
@@ -310,14 +333,14 @@ def log_likelihood(model: Model, vocab: Vocabulary, symbols: np.ndarray, offsets
     """Each text's log10 probability, without the counts of its tail words."""
     lanes = Lanes(symbols, offsets, LANES)
     sums = np.zeros(len(offsets) - 1)
-    h = np.zeros((lanes.target.shape[1], HIDDEN), np.float32)
+    h = np.zeros((len(lanes.lengths), HIDDEN), np.float32)
     tail = -np.log(vocab.class_norm)
-    for part, n in lanes.windows(WINDOW):
-        states, h, _ = run_state(model, lanes.source[part, :n], lanes.opens[part, :n], h[:n], False)
-        found = Outputs(model, states, lanes.target[part, :n])
+    for source, target, opens, doc in lanes.windows(WINDOW):
+        states, h, _ = run_state(model, source, opens, h[:source.shape[1]], False)
+        found = Outputs(model, states, target)
         value = found.values()
         value[found.heads:] += tail[found.y[found.heads:] - HEAD]
-        sums += np.bincount(lanes.doc[part, :n].ravel()[found.live], value, len(sums))
+        np.add.at(sums, doc.ravel()[found.live], value)
     return sums / np.log(10)
 
 
@@ -327,81 +350,125 @@ class Trainer:
     def __init__(self, model: Model) -> None:
         self.model = Model(*[p.copy() for p in model.parts()])
         self.seen = [np.full(p.shape, 0.02, np.float32) for p in model.parts()]
+        self.spare = [np.empty((2, *p.shape), np.float32) for p in model.parts()[1:]]  # gradients and steps
         self.words = 0
 
     def learn(self, symbols: np.ndarray, offsets: np.ndarray) -> None:
         lanes = Lanes(symbols, offsets, TRAIN_LANES)
-        h = np.zeros((lanes.target.shape[1], HIDDEN), np.float32)
-        for part, n in lanes.windows(TRAIN_WINDOW):
-            h = self.step(lanes.source[part, :n], lanes.target[part, :n], lanes.opens[part, :n], h[:n])
+        h = np.zeros((len(lanes.lengths), HIDDEN), np.float32)
+        for source, target, opens, _ in lanes.windows(TRAIN_WINDOW):
+            h = self.step(source, target, opens, h[:source.shape[1]])
         self.words += int(offsets[-1]) + len(offsets) - 1
 
     def step(self, source: np.ndarray, target: np.ndarray, opens: np.ndarray, h: np.ndarray) -> np.ndarray:
         m = self.model
         states, last, saved = run_state(m, source, opens, h, True)
         found = Outputs(m, states, target)
+        to_state, to_class, class_bias, to_word, word_bias = grads = [g for g, _ in self.spare]
         x = found.x
         d, e = found.errors(np.float32(1 / 64))
+        ones = np.ones(len(d), np.float32)
         dx = d @ m.to_class.T
-        grads = [None, None, x.T @ d, np.ones(len(d), np.float32) @ d, np.zeros_like(m.to_word), np.zeros_like(m.word_bias)]
+        np.matmul(x.T, d, out=to_class)
+        np.matmul(ones, d, out=class_bias)
+        dx_words = np.empty((found.heads, HIDDEN), np.float32)
         for g in range(_GROUPS):
             own = slice(found.cuts[g], found.cuts[g + 1])
             if own.start < own.stop:
-                grads[4][g], grads[5][g] = x[own].T @ e[own], e[own].sum(axis=0)
-                dx[own] += e[own] @ m.to_word[g].T
-        steps, lanes = source.shape
-        d_states = np.zeros((steps * lanes, HIDDEN), np.float32)
+                errors = e[own]
+                np.matmul(x[own].T, errors, out=to_word[g])
+                np.matmul(ones[own], errors, out=word_bias[g])
+                np.matmul(errors, m.to_word[g].T, out=dx_words[own])
+            else:
+                to_word[g], word_bias[g] = 0, 0
+        dx[:found.heads] += dx_words
+        d_states = np.zeros((source.size, HIDDEN), np.float32)
         d_states[found.live] = dx
-        d_states = np.ascontiguousarray(d_states.reshape(steps, lanes, HIDDEN).transpose(0, 2, 1))
-        d_in = np.empty((steps, 3 * HIDDEN, lanes), np.float32)
-        d_u = np.empty((3 * HIDDEN, lanes), np.float32)
-        grads[1] = np.zeros_like(m.state)
-        dh = np.zeros((HIDDEN, lanes), np.float32)
-        for t in range(steps - 1, -1, -1):
-            before, z, r, new, un = saved[t]
-            d_z, d_r, d_new = (d_in[t, k * HIDDEN:(k + 1) * HIDDEN] for k in range(3))
-            dh += d_states[t]
-            rest = 1 - z
-            rest *= dh
-            np.multiply(new, new, out=d_new)
-            np.subtract(1, d_new, out=d_new)
-            d_new *= rest
-            np.subtract(before, new, out=d_z)
-            d_z *= z
-            d_z *= rest
-            back = d_u[2 * HIDDEN:]
-            np.multiply(d_new, r, out=back)
-            np.subtract(1, r, out=d_r)
-            d_r *= un
-            d_r *= back
-            d_u[:2 * HIDDEN] = d_in[t, :2 * HIDDEN]
-            grads[1] += before @ d_u.T
-            dh *= z
-            dh += m.state @ d_u
-            if opens[t].any():
-                dh *= ~opens[t]
+        moved = self._back(d_states.reshape(*source.shape, HIDDEN), opens, saved, to_state)
+        lanes = source.shape[1]
         flat = source.ravel()
-        order = np.argsort(flat.astype(np.uint16), kind="stable")
+        order = np.argsort(flat, kind="stable")
         met = flat[order]
         first = np.flatnonzero(np.concatenate([[True], met[1:] != met[:-1]]))
         rows = met[first]
-        moved = np.add.reduceat(np.ascontiguousarray(d_in.transpose(0, 2, 1)).reshape(-1, 3 * HIDDEN)[order], first, axis=0)
+        place = (order + order // lanes * (2 * lanes))[:, None] + np.arange(3) * lanes
+        each = moved.reshape(-1, HIDDEN).take(place, axis=0).reshape(-1, 3 * HIDDEN)
+        moved = np.add.reduceat(each, first, axis=0)
         np.clip(moved, -1, 1, out=moved)
-        self.seen[0][rows] += moved**2
-        m.inputs[rows] -= RATE * moved / np.sqrt(self.seen[0][rows])
-        for p, s, g in zip(m.parts()[1:], self.seen[1:], grads[1:]):
+        seen = self.seen[0][rows]
+        seen += moved**2
+        self.seen[0][rows] = seen
+        moved *= RATE
+        moved /= np.sqrt(seen)
+        m.inputs[rows] -= moved
+        for p, s, (g, step) in zip(m.parts()[1:], self.seen[1:], self.spare):
             np.clip(g, -1, 1, out=g)
-            s += g * g
-            p -= RATE * g / np.sqrt(s)
+            np.multiply(g, g, out=step)
+            s += step
+            np.sqrt(s, out=step)
+            np.divide(g, step, out=step)
+            step *= RATE
+            p -= step
         return last
 
+    def _back(self, dh: np.ndarray, opens: np.ndarray, saved: tuple, to_state: np.ndarray) -> np.ndarray:
+        """Gradients of the gates' inputs, from those of the states, to which what flows back is added; that of ``state`` is set."""
+        before, gates, shares = saved
+        z, r, new = gates[:, 0], gates[:, 1], gates[:, 2]
+        # all gradients of a step are its state's times what does not depend on it
+        rest = 1 - z
+        flow = np.empty_like(gates)
+        by_z, by_r, by_new = flow[:, 0], flow[:, 1], flow[:, 2]
+        np.subtract(before, new, out=by_z)
+        by_z *= z
+        by_z *= rest
+        np.multiply(new, new, out=new)
+        np.subtract(1, new, out=new)
+        new *= rest
+        np.multiply(new, r, out=by_new)
+        np.subtract(1, r, out=by_r)
+        by_r *= shares[:, 2]
+        by_r *= by_new
+        state = np.ascontiguousarray(_by_gate(self.model.state).transpose(0, 2, 1))
+        some = opens.any(axis=1).tolist()
+        back = shares[0]
+        for t in range(len(dh) - 1, -1, -1):
+            flow[t] *= dh[t]
+            if t:
+                np.matmul(flow[t], state, out=back)
+                carried = z[t]
+                carried *= dh[t]
+                for part in back:
+                    carried += part
+                if some[t]:
+                    carried *= ~opens[t][:, None]
+                dh[t - 1] += carried
+        cells = before.reshape(-1, HIDDEN).T
+        for k in range(3):
+            to_state[:, k * HIDDEN:(k + 1) * HIDDEN] = cells @ flow[:, k].reshape(-1, HIDDEN)
+        np.multiply(new, dh, out=by_new)
+        return flow
+
+
+def _joined(texts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Symbols of several batches, and where each text begins, as of one."""
+    sizes = np.concatenate([np.diff(offsets) for _, offsets in texts])
+    return np.concatenate([symbols for symbols, _ in texts]), np.concatenate([[0], np.cumsum(sizes)])
+
 
 def _replica(vocab, weights, rounds_seed):  # noqa: ANN001, ANN202
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trainer = Trainer(weights.value)
+        texts, held = [], 0
         for batch in slices(batches, "text", _SLICE):
             symbols, _, _, offsets = vocab.value.symbols_of(batch.column("text"))
-            trainer.learn(symbols, offsets)
+            texts.append((symbols.astype(np.uint16), offsets))
+            held += len(symbols) + batch.num_rows
+            if held >= _TOKENS:
+                trainer.learn(*_joined(texts))
+                texts, held = [], 0
+        if texts:
+            trainer.learn(*_joined(texts))
         if trainer.words:
             flat = trainer.model.packed().astype(np.float64) * trainer.words
             cuts = range(0, len(flat), _CHUNK)
@@ -455,6 +522,16 @@ def score(docs: DataFrame, learn: Column, *, id_col: str = "doc_id", text_col: s
         v = vocab.value
         norm = np.log10(v.total + v.distinct + 1)
         row = TaskContext.get().partitionId() << 40
+        texts, columns, held = [], [], 0
+
+        def out() -> Iterator[pa.RecordBatch]:
+            values = log_likelihood(final.value, v, *_joined(texts))
+            at = 0
+            for *front, value, rest in columns:
+                value += values[at:at + len(value)]
+                at += len(value)
+                yield pa.record_batch([*front, pa.array(value), rest], names=["row", id_col, "n_tokens", "n_known", "base_score", "score", "rest"])
+
         for batch in slices(batches, "text", _SLICE):
             symbols, count, hashes, offsets = v.symbols_of(batch.column("text"))
             n = batch.num_rows
@@ -463,18 +540,22 @@ def score(docs: DataFrame, learn: Column, *, id_col: str = "doc_id", text_col: s
             met = count >= 0
             base = np.bincount(own[met], np.log10(count[met] + 1.0), n) + np.log10(v.end_count + 1.0) - tokens * norm
             known = np.bincount(own[met], minlength=n) + (v.end_count > 0)
-            value = log_likelihood(final.value, v, symbols, offsets)
             # known words of the tail: their counts are at hand
             near = met & (symbols >= HEAD)
-            value += np.bincount(own[near], np.log10(count[near] + 1.0), n)
+            value = np.bincount(own[near], np.log10(count[near] + 1.0), n).astype(np.float64)
             far = np.flatnonzero(~met)
             cuts = np.searchsorted(far, offsets).astype(np.int32)
             rest = pa.ListArray.from_arrays(pa.array(cuts), pa.array(hashes[far].view(np.int64)))
-            yield pa.record_batch([
-                pa.array(row + np.arange(n)), batch.column(id_col), pa.array(tokens.astype(np.int64)), pa.array(known.astype(np.int64)),
-                pa.array(base), pa.array(value), rest,
-            ], names=["row", id_col, "n_tokens", "n_known", "base_score", "score", "rest"])
+            ids = batch.column(id_col).take(pa.array(np.arange(n)))  # a copy, so that the batch with its texts can go
+            columns.append((pa.array(row + np.arange(n)), ids, pa.array(tokens.astype(np.int64)), pa.array(known.astype(np.int64)), pa.array(base), value, rest))
+            texts.append((symbols.astype(np.uint16), offsets))
             row += n
+            held += len(symbols) + n
+            if held >= _TOKENS:
+                yield from out()
+                texts, columns, held = [], [], 0
+        if texts:
+            yield from out()
 
     schema = f"row bigint, `{id_col}` {kind}, n_tokens bigint, n_known bigint, base_score double, score double, rest array<bigint>"
     near = written(texts.mapInArrow(run, schema), "scored")
